@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,19 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def held_out() -> Column:
+    from .quality_knn import fold
+
+    return (fold(F.col("doc_id")) == 0).alias("held_out")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+
+    found = toxicity_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out(), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import matches
 
@@ -39,6 +52,19 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import pseudo_likelihood
+
+    return pseudo_likelihood(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_knn import quality_scores
+
+    found = quality_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out(), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_duplicates
 
@@ -46,7 +72,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_store, op3_packing, op5_decontamination, op6_url_filter, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_token_store, op3_packing, op4_toxicity, op5_decontamination, op6_url_filter, op8_lm_score, op9_quality_knn, op10_exact_dedup)}
 
 ORACLES = {
     "op10_exact_dedup": r"""
