@@ -102,36 +102,30 @@ def beginnings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tup
 def learn_terms(sample: DataFrame, base: float) -> np.ndarray:
     """Hashes of words and beginnings whose documents are toxic far above the base rate."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch], among=None) -> Iterator[pa.RecordBatch]:
+        """(term, documents of the slice that hold it)"""
         for batch in batches:
-            y = batch.column("y").to_numpy()
-            for row, data, off in tx.slices(batch.column("text")):
-                low = tx.LOWER[data]
+            for _, data, off in tx.slices(batch.column("text")):
                 start, end, first = tx.spans(data, off, tx.ALNUM)
                 doc = np.repeat(np.arange(len(off) - 1), np.diff(first)).astype(np.uint64)
-                got = beginnings(low, start, end)
-                h = np.concatenate([h for _, h in got])
-                d = np.concatenate([doc[at] for at, _ in got])
-                pair = np.unique(np.stack([h, d]), axis=1)
-                term, where = np.unique(pair[0], return_inverse=True)
-                bad = np.bincount(where, y[row + pair[1].astype(np.int64)], len(term)).astype(np.int64)
-                keep = bad > 0
-                yield pa.RecordBatch.from_arrays([pa.array(term[keep].view(np.int64)), pa.array(np.bincount(where)[keep]), pa.array(bad[keep])], names=["term", "n", "bad"])
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, data, off in tx.slices(batch.column("text")):
-                start, end, _ = tx.spans(data, off, tx.ALNUM)
-                h = np.concatenate([h for _, h in beginnings(tx.LOWER[data], start, end)])
-                found = np.unique(h[member(h, known.value)])
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["term"])
-
-    bad = sample.where("y = 1").mapInArrow(count, "term long, n long, bad long").groupBy("term").agg(F.sum("bad").alias("bad")).where("bad >= 5")
-    bad = bad.orderBy(F.desc("bad"), "term").limit(40 * MAX_TERMS).toArrow()
+                found = beginnings(tx.LOWER[data], start, end)
+                h, d = np.concatenate([h for _, h in found]), np.concatenate([doc[at] for at, _ in found])
+                if among is not None:
+                    here = member(h, among.value)
+                    h, d = h[here], d[here]
+                order = np.lexsort((d, h))
+                h, d = h[order], d[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
+                term, n = np.unique(h[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n)], names=["term", "n"])
+
+    bad = sample.where("y = 1").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).where("n >= 5")
+    bad = bad.orderBy(F.desc("n"), "term").limit(40 * MAX_TERMS).toArrow()
     order = np.argsort(bad["term"].to_numpy().view(np.uint64))
-    terms, toxic = bad["term"].to_numpy().view(np.uint64)[order], bad["bad"].to_numpy()[order]
+    terms, toxic = bad["term"].to_numpy().view(np.uint64)[order], bad["n"].to_numpy()[order]
     known = sample.sparkSession.sparkContext.broadcast(terms)
-    good = sample.where("y = 0").mapInArrow(clean, "term long").groupBy("term").agg(F.count("*").alias("n")).toArrow()
+    good = sample.where("y = 0").mapInArrow(lambda batches: count(batches, known), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     n = toxic.astype(float)
     n[np.searchsorted(terms, good["term"].to_numpy().view(np.uint64))] += good["n"].to_numpy()
     share = toxic / np.maximum(n, 1)
