@@ -52,6 +52,12 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import similar_components
+
+    return similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_score import pseudo_likelihood
 
@@ -72,7 +78,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_store, op3_packing, op4_toxicity, op5_decontamination, op6_url_filter, op8_lm_score, op9_quality_knn, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_token_store, op3_packing, op4_toxicity, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_lm_score, op9_quality_knn, op10_exact_dedup)}
 
 ORACLES = {
     "op10_exact_dedup": r"""
