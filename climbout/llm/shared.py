@@ -28,8 +28,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """The rows of df as a table in the shared folder: later stages do not depend on lost executors."""
+    """The rows of df as a table in the shared folder: later stages do not depend on lost executors.
+
+    The shuffle files that made the table go as soon as it is written.
+    """
     path = shared_folder(df.sparkSession, name)
+    df.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
