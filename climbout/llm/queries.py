@@ -10,6 +10,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_store import read_tokens, write_tokens
 
@@ -78,7 +85,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_store, op3_packing, op4_toxicity, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_lm_score, op9_quality_knn, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_store, op3_packing, op4_toxicity, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_lm_score, op9_quality_knn, op10_exact_dedup)}
 
 ORACLES = {
     "op10_exact_dedup": r"""
