@@ -135,14 +135,15 @@ def decode(raw: bytes) -> list[np.ndarray]:
 
 
 def ordered(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Rows by core, surroundings and place; which ones repeat the surroundings before; which ones open a core."""
+    """Rows by core, surroundings and place; which ones repeat surroundings that start earlier; which ones open a core."""
     order = np.lexsort((rows[4], rows[2], rows[1], rows[0]))
     rows = [c[order] for c in rows]
     opened = np.ones(len(order), bool)
     opened[1:] = rows[0][1:] != rows[0][:-1]
-    later = np.zeros(len(order), bool)
-    later[1:] = ~opened[1:] & (rows[1][1:] == rows[1][:-1])
-    return rows, later, opened
+    new = opened.copy()
+    new[1:] |= rows[1][1:] != rows[1][:-1]
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return rows, (rows[2] != rows[2][lead]) | (rows[4] != rows[4][lead]), opened
 
 
 def settle(nodes: DataFrame, width: int, name: str) -> DataFrame:
