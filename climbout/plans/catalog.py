@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES, ORACLES = queries.QUERIES, queries.ORACLES
 FLAGSHIP = "findings_report"
