@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import queries
+from . import procedure_queries, queries  # noqa: F401
 
 QUERIES, ORACLES = queries.QUERIES, queries.ORACLES
 FLAGSHIP = "findings_report"
