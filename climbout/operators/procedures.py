@@ -52,18 +52,25 @@ LEGS: tuple[tuple[str, str, tuple[str, ...]], ...] = (
 TURN = rf"^(?:climbing )?(?:{SIDE}|turn)(?: turn)?(?: to)?(?: (.+))?\z"
 
 
-def match(piece: Column, table: tuple = LEGS) -> Column:
-    """struct<node, fields...> of the first pattern that fits the whole piece; null if none does."""
-    out = F.lit(None)
-    for node, pattern, names in reversed(table):
-        whole = rf"^(?:{pattern})\z"
-        at = {name: i for i, name in enumerate(names, 1) if name}
-        fields = []
-        for f in FIELDS:
-            got = F.nullif(F.regexp_extract(piece, whole, at[f]), F.lit("")) if f in at else F.lit(None).cast("string")
-            fields.append((got.cast("int") if f in NUMBERS else got).alias(f))
-        out = F.when(piece.rlike(whole), F.struct(F.lit(node).alias("node"), *fields)).otherwise(out)
-    return out
+def with_leg(rows: DataFrame, piece: str, table: tuple = LEGS) -> DataFrame:
+    """rows with `leg`: struct<node, fields...> of the first pattern that fits the whole piece; null if none does.
+
+    The pattern is found first; each field then looks only at the patterns that capture it.
+    """
+    which = F.lit(None).cast("int")
+    for k in reversed(range(len(table))):
+        which = F.when(F.col(piece).rlike(rf"^(?:{table[k][1]})\z"), k).otherwise(which)
+    rows = rows.withColumn("_which", which)
+    fields = []
+    for f in FIELDS:
+        got = F.lit(None).cast("string")
+        for k, (_, pattern, names) in enumerate(table):
+            if f in names:
+                got = F.when(F.col("_which") == k, F.regexp_extract(piece, rf"^(?:{pattern})\z", names.index(f) + 1)).otherwise(got)
+        got = F.nullif(got, F.lit(""))
+        fields.append((got.cast("int") if f in NUMBERS else got).alias(f))
+    node = F.element_at(F.array(*[F.lit(t[0]) for t in table]), F.col("_which") + 1)
+    return rows.withColumn("leg", F.when(F.col("_which").isNotNull(), F.struct(node.alias("node"), *fields))).drop("_which")
 
 
 def groups(procedures: DataFrame) -> DataFrame:
@@ -87,7 +94,7 @@ def legs(group_rows: DataFrame) -> DataFrame:
     side = F.upper(F.substring(F.regexp_extract("piece", TURN, 1), 1, 1))
     onto = F.regexp_extract("piece", TURN, 2)
     rows = rows.withColumn("turns", turning & F.col("piece").rlike(TURN)).withColumn("onto", F.when(F.col("turns"), onto).otherwise(F.col("piece")))
-    rows = rows.withColumn("side", F.when(F.col("turns"), F.nullif(side, F.lit("")))).withColumn("leg", match(F.col("onto")))
+    rows = with_leg(rows.withColumn("side", F.when(F.col("turns"), F.nullif(side, F.lit("")))), "onto")
     bare = F.col("turns") & (F.col("onto") == "")
     failed = F.col("leg").isNull() & ~bare
     return rows.select("block", "line", "seq", "piece", "turns", "side", "leg", F.when(failed, F.concat(F.lit('unmatched phrase "'), signatures.phrase_signature(F.col("piece")), F.lit('"'))).alias("signature"))
