@@ -95,3 +95,20 @@ def test_summary_line(spark):
 def test_leg_kinds(spark, text, kind):
     groups, failed = parsed(spark, x=text)
     assert not failed and groups["x", 0].legs[0].leg.node == kind
+
+
+def test_shapes(spark):
+    from pyspark.sql import functions as F
+
+    from climbout.operators import shapes
+
+    one = spark.range(1)
+    lit = lambda *x: [F.lit(float(v)) for v in x]
+    leg = one.select(shapes.direct(*lit(0, 2, 360), *lit(8, 0), F.lit("R"), F.lit(0.8)).alias("l")).first().l
+    assert (leg.x, leg.y, leg.failure) == (8, 0, None) and 90 < leg.course < 180
+    assert one.select(shapes.direct(*lit(0, 2, 360), *lit(0.5, 2.0), F.lit("R"), F.lit(0.8)).alias("l")).first().l.failure == "fix inside turn circle"
+    at = one.select(shapes.intercept(*lit(0, 0, 90, 10, 10, 180)).alias("p")).first().p
+    assert (round(at.x, 6), round(at.y, 6), at.failure) == (10, 0, None)
+    assert one.select(shapes.intercept(*lit(0, 0, 90, -10, 10, 180)).alias("p")).first().p.failure == "radial intercept behind"
+    track = one.select(shapes.racetrack(*lit(0, 6, 360), F.lit("R"), F.lit(2.5), F.lit(0.8)).alias("t")).first().t
+    assert max(p.x for p in track) == pytest.approx(1.6) and min(p.y for p in track) == pytest.approx(6 - 2.5 - 0.8) and track[0] == track[-1]
