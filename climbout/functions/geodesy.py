@@ -10,6 +10,11 @@ EARTH_NM, FEET_PER_NM = 3440.065, 6076.11549
 BANK_CONSTANT, STANDARD_RATE = 68626.0, 188.5
 
 
+def let(f, **values: Column) -> Column:
+    """f(struct of the values), each computed once however often f names it."""
+    return F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), f)[0]
+
+
 def wrap360(deg: Column) -> Column:
     return F.pmod(deg, F.lit(360.0))
 

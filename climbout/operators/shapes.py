@@ -17,16 +17,29 @@ def direct(x: Column, y: Column, course: Column, tx: Column, ty: Column, side: C
 
     The line leaves the turn's circle at the tangent to the fix; the side is the printed one or the shorter way.
     """
-    to = geodesy.wrap360(F.degrees(F.atan2(tx - x, ty - y)))
-    hand = F.when(side == "R", 1.0).when(side == "L", -1.0).otherwise(F.when(geodesy.signed_turn(course, to) < 0, -1.0).otherwise(1.0))
-    cx, cy = x + radius * F.sin(F.radians(course + 90 * hand)), y + radius * F.cos(F.radians(course + 90 * hand))
-    d = F.sqrt((tx - cx) * (tx - cx) + (ty - cy) * (ty - cy))
-    off = F.degrees(F.acos(F.least(radius / d, F.lit(1.0))))
-    at = F.degrees(F.atan2(tx - cx, ty - cy)) - hand * off
-    turn = F.pmod(hand * (at - (course - 90 * hand)), F.lit(360.0))
-    rest = F.sqrt(F.greatest(d * d - radius * radius, F.lit(0.0)))
-    failure = F.when(d < radius, "fix inside turn circle").when(rest < 0.5, "fix too close")
-    return F.struct(tx.alias("x"), ty.alias("y"), geodesy.wrap360(at + 90 * hand).alias("course"), (radius * F.radians(turn) + rest).alias("nm"), failure.alias("failure"))
+
+    def circle(v: Column) -> Column:
+        hand = F.when(v["side"] == "R", 1.0).when(v["side"] == "L", -1.0).otherwise(F.when(v["short"] < 0, -1.0).otherwise(1.0))
+        return geodesy.let(centre, x=v["x"], y=v["y"], course=v["course"], tx=v["tx"], ty=v["ty"], r=v["r"], hand=hand)
+
+    def centre(v: Column) -> Column:
+        out = F.radians(v["course"] + 90 * v["hand"])
+        return geodesy.let(tangent, course=v["course"], hand=v["hand"], r=v["r"], tx=v["tx"], ty=v["ty"], dx=v["tx"] - v["x"] - v["r"] * F.sin(out), dy=v["ty"] - v["y"] - v["r"] * F.cos(out))
+
+    def tangent(v: Column) -> Column:
+        d = F.sqrt(v["dx"] * v["dx"] + v["dy"] * v["dy"])
+        at = F.degrees(F.atan2(v["dx"], v["dy"])) - v["hand"] * F.degrees(F.acos(F.least(v["r"] / d, F.lit(1.0))))
+        rest = F.sqrt(F.greatest(d * d - v["r"] * v["r"], F.lit(0.0)))
+        return geodesy.let(leg, v=v, d=d, at=at, rest=rest)
+
+    def leg(w: Column) -> Column:
+        v = w["v"]
+        turn = F.pmod(v["hand"] * (w["at"] - (v["course"] - 90 * v["hand"])), F.lit(360.0))
+        failure = F.when(w["d"] < v["r"], "fix inside turn circle").when(w["rest"] < 0.5, "fix too close")
+        return F.struct(v["tx"].alias("x"), v["ty"].alias("y"), geodesy.wrap360(w["at"] + 90 * v["hand"]).alias("course"), (v["r"] * F.radians(turn) + w["rest"]).alias("nm"), failure.alias("failure"))
+
+    short = geodesy.signed_turn(course, F.degrees(F.atan2(tx - x, ty - y)))
+    return geodesy.let(circle, x=x, y=y, course=course, tx=tx, ty=ty, r=radius, side=side, short=short)
 
 
 def intercept(x: Column, y: Column, heading: Column, nx: Column, ny: Column, radial: Column, least_angle: float = 15.0) -> Column:
