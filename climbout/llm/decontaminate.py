@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .shared import BROADCAST_ROWS, materialize
 
 #: Words of one automaton at most; more items are dealt into several automata, one pass each.
 BLOCK_WORDS = 2_000_000
@@ -215,14 +215,48 @@ def scan_slice(block: tuple[list[str], Automaton], data: np.ndarray, off: np.nda
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5) -> DataFrame:
     """docs without the matched spans; documents with more than max_coverage of their words hit go whole.
 
-    Keeps all columns and the order of the remaining text; a document without hits is left as it is.
+    Keeps all columns and the order of the remaining text; a document without hits is left as it is.  Rows are
+    cut where they stand, so nothing is joined or shuffled and rows that repeat a doc_id are judged one by one.
     """
-    found = matches(docs, benchmark, window).where("n_hit > 0").select(F.col("doc_id").alias("_id"), "n_words", "n_hit", "spans")
-    found = materialize(found, "decontaminate-hits").dropDuplicates(["_id"])
-    few = found.count() <= BROADCAST_ROWS
-    joined = docs.join(F.broadcast(found) if few else found, docs.doc_id == found._id, "left").where(f"n_hit is null or n_hit <= {max_coverage} * n_words")
-    raw = "encode(text, 'UTF-8')"
-    kept = f"""concat_ws('', transform(sequence(0, size(spans)), i -> decode(substring({raw},
-        int(if(i = 0, 0, spans[i - 1].end)) + 1,
-        int(if(i = size(spans), octet_length(text), spans[i].start) - if(i = 0, 0, spans[i - 1].end))), 'UTF-8')))"""
-    return joined.withColumn("text", F.expr(f"if(spans is null, text, {kept})")).select(docs.columns)
+    sc = docs.sparkSession.sparkContext
+    columns = docs.columns
+    rows = docs.toDF(*[f"c{i}" for i in range(len(columns))]).withColumn("bits", F.lit(None).cast("binary"))
+    text = f"c{columns.index('text')}"
+    dealt = blocks(benchmark, window)
+    for k, block in enumerate(dealt):
+        shared, last = sc.broadcast(block), k == len(dealt) - 1
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                bits = batch.column("bits").to_pylist()
+                for row, data, off in tx.slices(batch.column(text)):
+                    n = len(off) - 1
+                    part = batch.slice(row, n)
+                    found = scan_slice(shared.value, data, off, bits[row : row + n], [[] for _ in range(n)], np.zeros(n, np.int64), last)
+                    if not last:
+                        yield part.set_column(part.schema.get_field_index("bits"), "bits", found[0])
+                        continue
+                    words, hit, _, _, spans = found
+                    part = part.drop_columns(["bits"])
+                    if pa.compute.any(pa.compute.greater(hit, 0)).as_py():
+                        at = part.schema.get_field_index(text)
+                        part = part.set_column(at, part.schema.field(at), pa.array(without(part.column(text).to_pylist(), spans.to_pylist()), part.schema.field(at).type))
+                    fine = hit.to_numpy() <= max_coverage * words.to_numpy()
+                    yield part.filter(pa.array(fine))
+
+        rows = rows.mapInArrow(scan, rows.drop("bits").schema if last else rows.schema)
+    return rows.toDF(*columns)
+
+
+def without(texts: list[str | None], spans: list[list[dict]]) -> list[str | None]:
+    """The texts without their spans of UTF-8 bytes."""
+    out = []
+    for text, cuts in zip(texts, spans, strict=True):
+        if cuts:
+            raw, at, kept = text.encode(), 0, []
+            for cut in cuts:
+                kept.append(raw[at : cut["start"]])
+                at = cut["end"]
+            text = b"".join([*kept, raw[at:]]).decode()
+        out.append(text)
+    return out

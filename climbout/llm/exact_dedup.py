@@ -95,5 +95,5 @@ def survivors(docs: DataFrame) -> DataFrame:
         return keyed.join(side, keyed.doc_id.eqNullSafe(side.doc_id) & (keyed._digest == side.digest) & (keyed._points == side.points), how)
 
     alone = joined(dropped, "left_anti")
-    chosen = joined(dropped.where("kept").select("doc_id", "digest", "points"), "left_semi").dropDuplicates(["_digest"])
+    chosen = joined(dropped.where("kept").select("doc_id", "digest", "points"), "left_semi").dropDuplicates(["_digest", "_points", "doc_id"])
     return union(alone, chosen).drop("_digest", "_points")
