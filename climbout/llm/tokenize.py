@@ -16,9 +16,9 @@ import pandas as pd
 from . import text as tx
 
 #: Distinct words that a worker remembers before it starts anew.
-CACHE_WORDS = 3_000_000
+CACHE_WORDS = 400_000
 #: Cells of the table of remembered words.
-TABLE = 1 << 22
+TABLE = 1 << 20
 #: Words that go to the library as one string; the offsets of its ids tell them apart.
 RUN = 256
 
