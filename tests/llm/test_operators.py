@@ -403,3 +403,25 @@ def test_slices_cover_all_rows():
     column = pa.array(["abc", None, "", "d" * 50, "é"])
     parts = [(row, data.tobytes(), off.tolist()) for row, data, off in tx.slices(column, 4)]
     assert b"".join(p[1] for p in parts).decode() == "abc" + "d" * 50 + "é" and sum(len(p[2]) - 1 for p in parts) == 5
+
+
+# --- plumbing ------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_and_cold_keys_are_joined_alike(spark, monkeypatch, how):
+    from climbout.llm import shared
+
+    left = spark.createDataFrame([(0 if i % 3 else i % 50, i) for i in range(300)], "k long, v long")
+    right = left.where("k <> 7").groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("least"))
+    want = sorted(map(tuple, left.join(right, ["k"], how).select("k", "v", "least").collect()), key=str)
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(shared, "HOT_SHARE", 0.3)
+    assert sorted(map(tuple, shared.attach(left, right, ["k"], how).select("k", "v", "least").collect()), key=str) == want
+
+
+def test_components_follow_long_chains(spark):
+    from climbout.llm import shared
+
+    edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (101, 100), (200, 200)], "a long, b long")
+    assert {(r.node, r.component) for r in shared.components(edges).collect()} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
