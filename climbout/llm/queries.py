@@ -87,7 +87,29 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_store, op3_packing, op4_toxicity, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_lm_score, op9_quality_knn, op10_exact_dedup)}
 
+
+
+def _url_sql() -> str:
+    """op6 in SQL, from the same rules and terms."""
+    from .url_filter import RULES, SOFT, SOFT_LIMIT, STRICT
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    fits = " ".join(f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{h}{p}'" for _, h, p in sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2])))
+    actions = " ".join(f"when '{h}{p}' then '{a}'" for a, h, p in RULES)
+    weights = " + ".join(f"case when contains(low, '{t}') then {w} else 0 end" for t, w in SOFT.items())
+    terms = " + ".join(f"case when contains(low, '{t}') then 1 else 0 end" for t in SOFT)
+    return rf"""
+        with u as (select page_id, coalesce(url, '') as url, translate(coalesce(url, ''), '{upper}', '{lower}') as low from pages),
+        s as (select page_id, low, case when contains(url, '://') then regexp_replace(url, '(?s)^.*?://', '') else '' end as rest from u),
+        p as (select page_id, low, translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), '{upper}', '{lower}') as host, regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) as path from s),
+        r as (select *, case {fits} end as rule from p)
+        select page_id, host, path, rule, coalesce(case rule {actions} end,
+               case when regexp_matches(low, '(^|[^a-z0-9])({"|".join(STRICT)})($|[^a-z0-9])') or ({terms} > 1 and {weights} >= {SOFT_LIMIT}) then 'block' else 'allow' end) as verdict
+        from r"""
+
+
 ORACLES = {
+    "op6_url_filter": _url_sql(),
     "op10_exact_dedup": r"""
         with t as (
             select doc_id, length(coalesce(text, '')) as points,
