@@ -13,9 +13,11 @@ segment that is not empty, provided the document has more filled segments than d
 3. documents still too poor also take the smallest hashes of their set, a plain prefix filter.
 
 Documents with equal sets are one node from the start.  Words are sent packed, grouped in tasks, and groups
-with the same members are kept once.  Candidate pairs are hub against members; groups whose members the
-verified links have not joined take further hubs, until every pair that shares a word is linked,
-connected by links, or verified as too different.  No step writes all pairs of a group.
+with the same members are kept once.  In a group, hubs meet the members that follow them, in the task that
+streams the group: parity bit sketches of the whole sets (one bit per shingle, XOR) give a Hamming distance that
+bounds the symmetric difference from below, and only pairs within the bound are written and verified on
+the sets.  The first round has one hub per group; groups whose members the verified links have not
+joined take further hubs, until every pair that shares a word is connected by links or too different.
 
 Defined results: null or wordless texts have an empty set and are alone; a text of fewer words than a
 shingle has its whole sequence as its one shingle; null doc_ids take part, and a component of only such
@@ -39,7 +41,9 @@ PERCENT, WORDS = 80, 5
 #: One node in SAMPLE is asked for common shingles; those of at least COMMON of them, COMMON_MOST at most, are left out of step 1.
 SAMPLE, COMMON, COMMON_MOST = 16, 4, 200_000
 #: Words held by a task before they are sent; members of one word in them that make it hot.
-FLUSH, HOT = 1_500_000, 96
+FLUSH, HOT = 700_000, 64
+#: Hubs of a group after each round; beyond, sixteen times as many each time.
+ROUNDS = (1, 16, 4096)
 #: Pairs of one hub verified in one task; nodes whose sets may be named in a broadcast.
 HUB_RUN, NAMED = 64, 1_000_000
 _BOUNDS = [0, 1]
@@ -213,12 +217,75 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return materialize(rows.repartition(parts, "part").mapInArrow(group, "word long, node long"), "jaccard-groups", compression="zstd")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, hashes): sorted u64 hashes of the sets of the wanted (node, doc_id), in the shared folder."""
+def parity_bits(hashes: np.ndarray) -> bytes:
+    """Bit sketch of a set: each shingle flips one bit; three quarters to three halves of a bit per shingle, a power of two."""
+    size = 1 << max(6, (3 * len(hashes) // 4).bit_length())
+    bits = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(bool), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of the same set in `size` 64-bit words: halves are XORed onto each other."""
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def within_bound(hubs: list, members: list) -> Iterator[tuple[int, int]]:
+    """Pairs (hub, member) by number whose sizes and sketches allow the similarity."""
+    size = min(len(x[3]) for x in (*hubs, *members))
+    a, b = (np.stack([folded(x[3], size) for x in side]) for side in (hubs, members))
+    na, nb = (np.array([x[2] for x in side]) for side in (hubs, members))
+    ca, cb = (np.array([x[1] for x in side]) for side in (hubs, members))
+    block = max(1, 2_000_000 // (size * len(members)))
+    for k in range(0, len(hubs), block):
+        at = slice(k, k + block)
+        apart = np.bitwise_count(a[at, None, :] ^ b[None, :, :]).sum(2, dtype=np.int64)
+        both = na[at, None] + nb[None, :]
+        fine = ((100 + PERCENT) * apart <= (100 - PERCENT) * both) & (ca[at, None] != cb[None, :])
+        fine &= 100 * np.minimum(na[at, None], nb[None, :]) >= PERCENT * np.maximum(na[at, None], nb[None, :])
+        for i, j in np.argwhere(fine).tolist():
+            yield k + i, j
+
+
+def near_pairs(groups: DataFrame, sketches: DataFrame, done: int, upto: int) -> DataFrame:
+    """(a, b) of each group's hubs, in places done < place <= upto, and the members behind them that they may be linked to.
+
+    Groups stream through their task in order of place, so it holds the hubs of one group at a time.
+    """
+    rows = groups.join(sketches.select("node", "n", F.col("value").alias("bits")), "node").select("word", "place", "node", "component", "n", "bits")
+    rows = rows.repartition("word").sortWithinPartitions("word", "place")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, hubs = None, []
+        for batch in batches:
+            word, place, node, component, n = (batch.column(c).to_numpy() for c in ("word", "place", "node", "component", "n"))
+            bits = batch.column("bits")
+            edge = np.concatenate([[0], np.flatnonzero(word[1:] != word[:-1]) + 1, [len(word)]])
+            found = []
+            for a, b in zip(edge.tolist(), edge[1:].tolist(), strict=False):
+                if word[a] != current:
+                    current, hubs = word[a], []
+                rows = [(node[i], component[i], n[i], np.frombuffer(bits[i].as_buffer(), np.uint64), place[i]) for i in range(a, b)]
+                fresh = [r for r in rows if done < r[4] <= upto]
+                if hubs:
+                    found += [(hubs[i][0], rows[j][0]) for i, j in within_bound(hubs, rows)]
+                if fresh and len(rows) > 1:
+                    found += [(fresh[i][0], rows[j][0]) for i, j in within_bound(fresh, rows) if rows[j][4] > fresh[i][4]]
+                hubs += fresh
+            if found:
+                x, y = zip(*set(found), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, what: str) -> DataFrame:
+    """(node, n, value) of the wanted (node, doc_id), in the shared folder: the bit sketch or the sorted u64 hashes."""
     narrow = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    few = wanted.count() <= NAMED
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(wanted.select("node").toArrow()["node"].to_numpy()) if few else None)
-    if not few:
+    rows = wanted.count()
+    shared = docs.sparkSession.sparkContext.broadcast(np.sort(wanted.select("node").toArrow()["node"].to_numpy()) if rows <= NAMED else None)
+    if rows > NAMED:
         narrow = narrow.join(wanted.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,14 +296,15 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 hashes, first = tx.shingles(data, off, WORDS)
                 node = node_of(hashes, first)
                 keep = np.flatnonzero(np.isin(node, known)) if known is not None else np.flatnonzero(np.diff(first) > 0)
-                yield pa.RecordBatch.from_arrays([pa.array(node[keep]), ids.slice(row, len(node)).take(pa.array(keep)), pa.array([hashes[first[k] : first[k + 1]].tobytes() for k in keep], pa.binary())], names=["node", "doc_id", "hashes"])
+                each = [hashes[first[k] : first[k + 1]] for k in keep]
+                value = [parity_bits(x) if what == "bits" else x.tobytes() for x in each]
+                yield pa.RecordBatch.from_arrays([pa.array(node[keep]), ids.slice(row, len(node)).take(pa.array(keep)), pa.array(np.diff(first)[keep]), pa.array(value, pa.binary())], names=["node", "doc_id", "n", "value"])
 
-    found = narrow.mapInArrow(run, "node long, doc_id long, hashes binary")
+    found = narrow.mapInArrow(run, "node long, doc_id long, n long, value binary")
     # a set comes from the row that stands for it, not from each of its copies
     named = wanted.select(F.col("node").alias("_node"), F.col("doc_id").alias("_doc"))
     match = (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    few_rows = few and wanted.count() <= BROADCAST_ROWS
-    return materialize(found.join(F.broadcast(named) if few_rows else named, match, "left_semi").select("node", "hashes"), "jaccard-members")
+    return materialize(found.join(F.broadcast(named) if rows <= BROADCAST_ROWS else named, match, "left_semi").drop("doc_id"), f"jaccard-{what}")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -245,10 +313,10 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     A hub's set is sent once for every HUB_RUN of its pairs, so hubs of any degree are dealt over tasks.
     """
     runs = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_RUN).cast("int").alias("runs"))
-    hubs = sets.join(runs, sets.node == runs.a).select("a", "hashes", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), "runs")
+    hubs = sets.join(runs, sets.node == runs.a).select("a", F.col("value").alias("hashes"), F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), "runs")
     hub = hubs.select("a", "run", F.col("hashes").alias("left"))
     sizes = attach(pairs, runs.withColumn("n", F.col("runs").cast("long")), ["a"], "inner").withColumn("run", F.pmod(F.xxhash64("b"), F.col("runs")).cast("int"))
-    both = sizes.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("right")), "b").join(hub, ["a", "run"])
+    both = sizes.join(sets.select(F.col("node").alias("b"), F.col("value").alias("right")), "b").join(hub, ["a", "run"])
     near = F.least(F.length("left"), F.length("right")) * 100 >= F.greatest(F.length("left"), F.length("right")) * PERCENT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,25 +337,27 @@ def links(docs: DataFrame, measured: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links (a, b) between nodes that connect all similar nodes, components (node, component))."""
     words = memberships(docs, common_shingles(measured))
     wanted = words.select("node").distinct().join(measured.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
-    sets = sets_of(docs, materialize(wanted, "jaccard-wanted"))
+    wanted = materialize(wanted, "jaccard-wanted")
+    sketches = sets_of(docs, wanted, "bits")
     order = Window.partitionBy("word").orderBy("node")
-    ranked = words.withColumn("place", F.dense_rank().over(order)).withColumn("hub", F.first("node").over(order))
-    pairs = ranked.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    found = [materialize(verified(materialize(pairs, "jaccard-pairs"), sets), "jaccard-links")]
-    done, upto, label = 1, 16, None  # every pair of a word whose hub has a place up to `done` is settled
+    found, label, done, upto = [], None, 0, ROUNDS[0]  # pairs with a hub in a place up to `done` are settled
+    left = words.withColumn("component", F.col("node"))
     while True:
+        placed = left.select("word", "node", "component", F.dense_rank().over(order).alias("place"))
+        pairs = materialize(near_pairs(placed, sketches, done, upto), "jaccard-pairs")
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = sets_of(docs, materialize(wanted.join(ends, "node"), "jaccard-ends"), "hashes")
+        found.append(materialize(verified(pairs, sets), "jaccard-links"))
         if label is None or not found[-1].isEmpty():
             label = components(union(*found), "jaccard-components")
         named = words.join(label, "node", "left").select("word", "node", F.coalesce("component", "node").alias("component"))
-        apart = named.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("word")
-        left = materialize(named.join(apart, "word").select("word", "node", "component", F.dense_rank().over(order).alias("place")), "jaccard-open")
-        if left.where(F.col("place") > done + 1).isEmpty():
+        open_ = named.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+        # a group has at most as many places as rows; all pairs of the first `upto` + 1 places are settled
+        open_ = open_.where((F.col("x") != F.col("y")) & (F.col("n") > upto + 1)).select("word")
+        left = materialize(named.join(open_, "word"), "jaccard-open")
+        if left.isEmpty():
             return union(*found), label
-        hub = left.where(F.col("place").between(done + 1, upto)).select("word", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("place").alias("pa"))
-        more = left.join(hub, "word").where((F.col("place") > F.col("pa")) & (F.col("component") != F.col("ca")))
-        pairs = materialize(more.select("a", F.col("node").alias("b")).distinct(), "jaccard-pairs")
-        found.append(materialize(verified(pairs, sets), "jaccard-links"))
-        done, upto = upto, upto * 16
+        done, upto = upto, next((r for r in ROUNDS if r > upto), upto * 16)
 
 
 def similar_components(docs: DataFrame) -> DataFrame:

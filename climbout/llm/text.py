@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; each costs about 60 bytes of working memory.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
