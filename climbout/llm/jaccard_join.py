@@ -42,6 +42,8 @@ PERCENT, WORDS = 80, 5
 SAMPLE, COMMON, COMMON_MOST = 16, 4, 200_000
 #: Words held by a task before they are sent; members of one word in them that make it hot.
 FLUSH, HOT = 700_000, 64
+#: What a run of words holds: rows of the owner, the smallest node of hot words, all nodes of hot words.
+OWNED, LEAD, MEMBER = 0, 1, 2
 #: Hubs of a group after each round; beyond, sixteen times as many each time.
 ROUNDS = (1, 16, 4096)
 #: Pairs of one hub verified in one task; nodes whose sets may be named in a broadcast.
@@ -144,7 +146,8 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """(word, node) of all words that more than one node has, in the shared folder.
 
     Words travel packed to the task that owns them.  A word that one task sees for many nodes is hot: its
-    members are dealt over all tasks and passed on as they are, only the smallest goes to the owner.
+    members are dealt over all tasks and passed on as they are, only the smallest goes to the owner, marked
+    as a lead: the owner does not see such a word's members, so it keeps its group whatever the others hold.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -162,17 +165,17 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
             start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             count = np.diff(np.append(start, len(word)))
             hot = np.repeat(count > HOT, count)
-            owned = ~hot
-            owned[start] = True
+            lead = np.zeros(len(word), bool)
+            lead[start] = hot[start]
             rows = []
-            for kind, pick in ((False, owned), (True, hot)):
+            for kind, pick in ((OWNED, ~hot), (LEAD, lead), (MEMBER, hot)):
                 n, w = node[pick], word[pick]
-                to = ((w ^ n.view(np.uint64) if kind else w) % np.uint64(parts)).astype(np.int64)
+                to = ((w ^ n.view(np.uint64) if kind == MEMBER else w) % np.uint64(parts)).astype(np.int64)
                 order = np.lexsort((n, to))
                 n, w, to = n[order], w[order], to[order]
                 edge = np.searchsorted(to, np.arange(parts + 1))
                 rows += [(p, kind, encode_run(n[a:b], w[a:b])) for p, (a, b) in enumerate(zip(edge, edge[1:], strict=False)) if b > a]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), pa.binary()), strict=True)], names=["part", "hot", "run"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int8(), pa.binary()), strict=True)], names=["part", "kind", "run"])
 
         for batch in batches:
             for _, data, off in tx.slices(batch.column("text")):
@@ -189,14 +192,16 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
             yield flush()
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held, leads = [], []
         for batch in batches:
-            for hot, run in zip(batch.column("hot").to_pylist(), batch.column("run"), strict=True):
+            for kind, run in zip(batch.column("kind").to_pylist(), batch.column("run"), strict=True):
                 node, word = decode_run(run.as_buffer())
-                if hot:
+                if kind == MEMBER:
                     yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(node)], names=["word", "node"])
                 else:
                     held.append((node, word))
+                    if kind == LEAD:
+                        leads.append(word)
         if not held:
             return
         node, word = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -207,13 +212,16 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
         start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         count = np.diff(np.append(start, len(word)))
         members = np.add.reduceat(tx.mix(node.view(np.uint64)), start)
+        if leads:  # a group whose members are elsewhere is like no other
+            elsewhere = np.isin(word[start], np.concatenate(leads))
+            members[elsewhere] = tx.mix(members[elsewhere] ^ tx.mix(word[start][elsewhere]))
         several = np.flatnonzero(count > 1)
         once = several[np.unique(members[several], return_index=True)[1]]  # groups of the same members, once
         at = tx.ragged(start[once], count[once])
         for a in range(0, len(at), 500_000):
             yield pa.RecordBatch.from_arrays([pa.array(word[at[a : a + 500_000]].view(np.int64)), pa.array(node[at[a : a + 500_000]])], names=["word", "node"])
 
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(send, "part int, hot boolean, run binary")
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(send, "part int, kind byte, run binary")
     return materialize(rows.repartition(parts, "part").mapInArrow(group, "word long, node long"), "jaccard-groups", compression="zstd")
 
 

@@ -287,6 +287,31 @@ def test_sketches_of_linked_sets_always_meet():
                 assert not len(b) or np.isin(*both).any()
 
 
+def test_hot_words_keep_members_that_other_tasks_hold(spark, monkeypatch):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    name = lambda t: int(jaccard_join.node_of(*tx.shingles(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), 5))[0])
+    b = text(44)
+    near = b + " end"  # 40 of 41 shingles
+    far = [text(n) for n in (55, 56)]
+    least = text(60)
+    while name(least) > min(map(name, [b, near, *far])):
+        least = text(60)
+    # word 8 has least, near and far in one task and b in the other; word 4 only least and b
+    words = {56: [4, 8], 41: [8], 51: [8], 52: [8], 40: [4, 8]}
+
+    def sketch(hashes, first, common):
+        each = [(k, w) for k, n in enumerate(np.diff(first).tolist()) for w in words[n]]
+        return np.array([k for k, _ in each]), np.array([w for _, w in each], np.uint64)
+
+    monkeypatch.setattr(jaccard_join, "sketch", sketch)
+    monkeypatch.setattr(jaccard_join, "HOT", 2)
+    tasks = [[(1, least), (2, near), (3, far[0]), (4, far[1])], [(5, b)]]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(tasks, 2).flatMap(lambda x: x), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_components(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 2}
+
+
 def test_one_of_each_component_stays(docs, rows, empty):
     want = plain_components(rows)
     left = jaccard_join.keep_one(docs)
