@@ -190,6 +190,17 @@ def token_counts(spark, sf_dir):
     return o.select(F.explode(signatures.tokens(line)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
+@query(
+    r"""select token, count(*) as n from (
+        select unnest(regexp_extract_all(o_orderpriority || ' R-' || o_custkey || ' to ' || o_totalprice || 'ft ... (NA)', '(\.\.\.|R-[0-9]+|[0-9]+(?:\.[0-9]+)?[A-Za-z]*|[A-Za-z][A-Za-z0-9]*|\S)', 1)) as token from orders)
+    group by 1"""
+)
+def token_counts_whole(spark, sf_dir):
+    """token_counts over every order."""
+    line = text(F.col("o_orderpriority"), " R-", F.col("o_custkey"), " to ", F.col("o_totalprice"), "ft ... (NA)")
+    return table(spark, sf_dir, "orders").select(F.explode(signatures.tokens(line)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+
+
 @query(
     """select p_partkey, 'rwy <n>, climb <id> vortac r-<n> to <n>' || case when p_partkey % 2 = 0 then ' ndb' else ' <id>' end as signature,
        p_partkey % 2 <> 0 as names from part"""
