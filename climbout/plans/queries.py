@@ -384,6 +384,12 @@ def neighbour_pairs(spark, sf_dir):
     return facilities.neighbours(points, 40.0).select("a", "b", F.round("nm", 6).alias("nm"))
 
 
+@query(None)
+def neighbour_pairs_whole(spark, sf_dir):
+    """neighbour_pairs of all customers; the tests compare it with all pairs, which SQL would have to form."""
+    return facilities.neighbours(places(spark, sf_dir, "customer", "c_custkey"), 40.0).select("a", "b", F.round("nm", 6).alias("nm"))
+
+
 @query(None)
 def greedy_palette(spark, sf_dir):
     points = places(spark, sf_dir, "supplier", "s_suppkey")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from climbout.plans.catalog import QUERIES
+from tests.engine.test_operators import nm
 
 
 @pytest.fixture(scope="module")
@@ -20,3 +21,10 @@ def test_tokens_of_all_orders(spark, sf_dir):
     got = {r.token: r.n for r in QUERIES["token_counts_whole"](spark, sf_dir).collect()}
     assert got["URGENT"] == got["..."] == got["NA"] == 400
     assert all(got[f"R-{k * 7}"] == got[f"{k}.25ft"] == 1 for k in range(1, 401))
+
+
+def test_neighbours_of_all_customers(spark, sf_dir):
+    place = {k: (30 + k * 37 % 1000 / 100, -120 + k * 91 % 2000 / 100) for k in range(1, 1301)}
+    want = {(a, b) for a in place for b in place if a < b and abs(place[a][0] - place[b][0]) < 1 and nm(place[a], place[b]) <= 40}
+    got = [(r.a, r.b) for r in QUERIES["neighbour_pairs_whole"](spark, sf_dir).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
