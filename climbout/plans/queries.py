@@ -240,6 +240,22 @@ BLOCK_LINES = ("RENO, NV", "AIRPORT {k} ({lid})", "TAKEOFF MINIMUMS AND (OBSTACL
 )
 def airport_blocks(spark, sf_dir):
     """Pages of two airports each, through all line and section operators, and back to one row per airport."""
+    return blocks_of(table(spark, sf_dir, "customer").where("c_custkey % 1000 > 0"))
+
+
+@query(
+    """select 'K' || lpad(cast(c_custkey % 1000 as varchar), 3, '0') as lid, c_custkey // 1000 as volume, 'AMDT ' || (c_custkey % 9) || ' 17AUG17 (17229) (FAA)' as amendment,
+       'Rwy 4, std. with a min. climb of ' || (200 + c_custkey % 300) || ' ft per NM to ' || (3000 + c_custkey % 50 * 100) || '.' as takeoff_minimums,
+       'Rwy 4, climb heading 0' || (10 + c_custkey % 80) || '° to ' || (3000 + c_custkey % 50 * 100) || ' before turning.' as departure_procedure,
+       'Rwy 4, trees ' || c_custkey || ' from DER.' as obstacle_notes, cast(c_custkey % 1000 // 2 as int) as page
+    from customer"""
+)
+def airport_blocks_whole(spark, sf_dir):
+    """airport_blocks of every customer."""
+    return blocks_of(table(spark, sf_dir, "customer"))
+
+
+def blocks_of(customers: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     values = {"{k}": k, "{lid}": text("K", F.lpad((k % 1000).cast("string"), 3, "0")), "{a}": k % 9, "{g}": 200 + k % 300, "{t}": 3000 + k % 50 * 100, "{h}": 10 + k % 80}
     lines = []
@@ -248,7 +264,7 @@ def airport_blocks(spark, sf_dir):
         for name, value in values.items():
             c = F.replace(c, F.lit(name), value.cast("string"))
         lines.append(c)
-    one = table(spark, sf_dir, "customer").where("c_custkey % 1000 > 0").select(F.expr("c_custkey div 1000").alias("volume"), F.expr("cast((c_custkey % 1000) div 2 as int)").alias("page"), k.alias("k"), F.array_join(F.array(*lines), "\n").alias("text"))
+    one = customers.select(F.expr("c_custkey div 1000").alias("volume"), F.expr("cast((c_custkey % 1000) div 2 as int)").alias("page"), k.alias("k"), F.array_join(F.array(*lines), "\n").alias("text"))
     pages = one.groupBy("volume", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "text"))), lambda x: x["text"]), "\n").alias("text"))
     out = blocks.blocks(pages)
     return out.select("lid", "volume", "amendment", "takeoff_minimums", "departure_procedure", "obstacle_notes", F.col("pages")[0].alias("page"))
@@ -411,6 +427,21 @@ def airport_lookup_fallback(spark, sf_dir):
     return facilities.find_airport(refs, airports).select("c_custkey", "ident", "lid", "found_by")
 
 
+@query(
+    """with a as (select 'A' || s_suppkey as lid, case when s_suppkey % 3 = 0 then 'K' || s_suppkey end as icao from supplier),
+    r as (select c_custkey, case c_custkey % 4 when 0 then 'A' || k when 1 then 'K' || k when 2 then 'KA' || k else 'ZZ' || k end as ident from (select c_custkey, c_custkey // 10 as k from customer))
+    select c_custkey, ident, coalesce(x.lid, y.lid, z.lid) as lid, case when x.lid is not null then 'lid' when y.lid is not null then 'icao' when z.lid is not null then 'without_k' end as found_by
+    from r left join a x on ident = x.lid left join a y on length(ident) = 4 and ident = y.icao left join a z on length(ident) = 4 and ident = 'K' || z.lid"""
+)
+def airport_lookup_fallback_whole(spark, sf_dir):
+    """airport_lookup_fallback with an airport of every supplier, ids from whole keys; only idents of four letters are ICAO ids."""
+    s, c = F.col("s_suppkey"), F.col("c_custkey")
+    airports = table(spark, sf_dir, "supplier").select(text("A", s).alias("lid"), F.when(s % 3 == 0, text("K", s)).alias("icao"), s.alias("seq"))
+    head = F.element_at(F.array(*[F.lit(x) for x in ("A", "K", "KA", "ZZ")]), (c % 4 + 1).cast("int"))
+    refs = table(spark, sf_dir, "customer").select("c_custkey", text(head, F.expr("c_custkey div 10")).alias("ident"))
+    return facilities.find_airport(refs, airports).select("c_custkey", "ident", "lid", "found_by")
+
+
 @query(
     """with o as (select distinct o_custkey as k from orders), c as (select c_custkey as k from customer)
     select 'left' as side, k from c where k not in (select k from o) union all select 'right', k from o where k not in (select k from c)"""

@@ -28,3 +28,21 @@ def test_neighbours_of_all_customers(spark, sf_dir):
     want = {(a, b) for a in place for b in place if a < b and abs(place[a][0] - place[b][0]) < 1 and nm(place[a], place[b]) <= 40}
     got = [(r.a, r.b) for r in QUERIES["neighbour_pairs_whole"](spark, sf_dir).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_airports_of_all_suppliers_and_customers(spark, sf_dir):
+    rows = QUERIES["airport_lookup_fallback_whole"](spark, sf_dir).collect()
+    lids = {f"A{s}" for s in range(1, 131)}
+    icao = {f"K{s}": f"A{s}" for s in range(3, 131, 3) if s > 99}
+    for r in rows:
+        ident = ("A", "K", "KA", "ZZ")[r.c_custkey % 4] + str(r.c_custkey // 10)
+        bare = ident[1:] if len(ident) == 4 and ident[1:] in lids else None
+        found = (ident, "lid") if ident in lids else (icao[ident], "icao") if ident in icao else (bare, "without_k") if bare else (None, None)
+        assert (r.ident, r.lid, r.found_by) == (ident, *found)
+    assert len(rows) == 1300 and {r.found_by for r in rows} == {"lid", "icao", "without_k", None}
+    assert "A130" in {r.lid for r in rows}
+
+
+def test_blocks_of_all_customers(spark, sf_dir):
+    got = {(r.volume, r.lid): (r.page, r.obstacle_notes) for r in QUERIES["airport_blocks_whole"](spark, sf_dir).collect()}
+    assert got == {(k // 1000, f"K{k % 1000:03}"): (k % 1000 // 2, f"Rwy 4, trees {k} from DER.") for k in range(1, 1301)}
