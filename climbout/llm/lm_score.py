@@ -1,14 +1,18 @@
 """Masked pseudo-likelihood scores from a bidirectional window network.
 
-Words are hashed to BUCKETS; buckets are counted over all documents, and each belongs to one of CLASSES
-classes (frequent buckets alone, the others dealt by frequency so that classes are about equally likely).
-The network sees the classes of two words on each side of a masked word, sums one embedding per place,
-bends it by tanh and gives a softmax over classes; within its class a bucket has its share of the counts.
+Words are told apart by their 64-bit hashes and counted over all documents, in a table.  Their classes come
+from BUCKETS of hashes: each belongs to one of CLASSES classes (frequent buckets alone, the others dealt by
+frequency so that classes are about equally likely).  The network sees the classes of two words on each side
+of a masked word, sums one embedding per place, bends it by tanh and gives a softmax over classes; within its
+class a word has its share of the counts, which a join brings to the documents.
 A document's score is the sum over its words of log P(word | both sides).
 
+Documents come in chunks of a slice of text.  A chunk's words are listed once, with their counts; documents
+name them by place in that list.  The lists meet the table of counts, and each goes back to its chunk.
+
 Training is one pass of every task over all of its documents (numpy, Adagrad), from a common start; the
 networks are then averaged, weighted by words, so that what is gathered grows with the input and every
-document counts.  All tables that are broadcast have the fixed sizes BUCKETS and CLASSES.
+document counts.  Only the classes of BUCKETS and the network are broadcast; word counts grow with the words.
 
 Defined results: null text counts as empty; a text without words has 0 words, a sum of 0 and a null mean;
 an empty table gives an empty result; repeated rows repeat their score; other columns are ignored.
@@ -20,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,19 +39,43 @@ PLACES = (*range(-SIDE, 0), *range(1, SIDE + 1))
 SHAPES = ((len(PLACES), CLASSES, WIDTH), (WIDTH, CLASSES), (CLASSES,))
 
 
+STORED = "chunk long, doc_id long, buckets binary, places binary, words array<long>, counts array<long>"
+
+
 def bucket_docs(docs: DataFrame) -> DataFrame:
-    """(doc_id, buckets): every document's words as little-endian u16 bucket numbers, in the shared folder."""
+    """Documents and chunks in the shared folder.
+
+    A document has its words as little-endian u16 bucket numbers and u32 places in its chunk's list; the row of
+    a chunk, where buckets is null, has the list and how often each of its words stands in the chunk.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 36
+        schema = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("buckets", pa.binary()), ("places", pa.binary()), ("words", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
         for batch in batches:
             for row, data, off in tx.slices(batch.column("text")):
                 word, first = tx.words(data, off, tx.BLANKS)
-                raw = (word >> np.uint64(48)).astype("<u2").tobytes()
-                column = pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer((first * 2).astype(np.int32).tobytes()), pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(off) - 1), column], names=["doc_id", "buckets"])
+                names, place, count = np.unique(word, return_inverse=True, return_counts=True)
+                k = len(off) - 1
+                cut = lambda raw, width: pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer((first * width).astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes())])  # noqa: B023, E731
+                none = [pa.nulls(k, t) for t in (pa.list_(pa.int64()),) * 2]
+                each = [pa.array(np.full(k, chunk)), batch.column("doc_id").slice(row, k), cut((word >> np.uint64(48)).astype("<u2"), 2), cut(place.astype("<u4"), 4), *none]
+                yield pa.RecordBatch.from_arrays(each, schema=schema)
+                if len(names):
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk]), *[pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary())], pa.array([names.view(np.int64)], pa.list_(pa.int64())), pa.array([count], pa.list_(pa.int64()))], schema=schema)
+                chunk += 1
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return materialize(rows.mapInArrow(run, "doc_id long, buckets binary"), "lm-buckets", compression="zstd")
+    return materialize(rows.mapInArrow(run, STORED), "lm-buckets", compression="zstd")
+
+
+def chunk_counts(stored: DataFrame) -> DataFrame:
+    """(chunk, totals): for each word of a chunk's list, in its order, how often it stands in all documents."""
+    listed = stored.where("buckets is null").select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select("chunk", "place", "x.words", "x.counts")
+    listed = materialize(listed, "lm-words", compression="zstd")
+    counted = listed.groupBy("words").agg(F.sum("counts").alias("total"))
+    back = listed.join(counted, "words").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("place", "total"))).alias("x"))
+    return materialize(back.select("chunk", F.col("x.total").alias("totals")), "lm-totals", compression="zstd")
 
 
 def binary_parts(column: pa.Array, limit: int = 200_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -174,22 +203,42 @@ def train(rows: DataFrame, of: np.ndarray, prior: np.ndarray) -> list[np.ndarray
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_prob, mean_log_prob) of every row of docs, under the network trained on docs."""
-    rows = bucket_docs(docs)
-    of, within, prior = classes(count_buckets(rows))
-    shared = docs.sparkSession.sparkContext.broadcast((of, within, train(rows, of, prior)))
+    stored = bucket_docs(docs)
+    rows = stored.where("buckets is not null")
+    counts = count_buckets(rows)
+    of, _, prior = classes(counts)
+    size = np.bincount(of, counts, CLASSES)
+    shared = docs.sparkSession.sparkContext.broadcast((of, np.log(np.maximum(size, 1)), train(rows, of, prior)))
+    none = lambda t: F.lit(None).cast(t)
+    lists = chunk_counts(stored).select("chunk", none("long").alias("doc_id"), none("binary").alias("buckets"), none("binary").alias("places"), "totals")
+    both = rows.select("chunk", "doc_id", "buckets", "places", none("array<long>").alias("totals")).union(lists)
+    # a chunk's list comes before its documents, so a task holds one list at a time
+    both = both.repartition("chunk").sortWithinPartitions("chunk", F.col("buckets").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, within, weights = shared.value
-        net = Network(weights)
-        for batch in batches:
-            for row, values, off in binary_parts(batch.column("buckets")):
-                target, context = windows(of, values, off)
-                each = within[values].astype(float)
-                for a in range(0, len(target), BATCH):
-                    each[a : a + BATCH] += net.log_probs(target[a : a + BATCH], [c[a : a + BATCH] for c in context])
-                sums = np.concatenate([[0.0], np.cumsum(each)])
-                n, total = np.diff(off), sums[off[1:]] - sums[off[:-1]]
-                mean = pa.array(np.divide(total, n, out=np.zeros(len(n)), where=n > 0), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(n)), pa.array(n), pa.array(np.where(n > 0, total, 0.0)), mean], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
-
-    return rows.mapInArrow(run, "doc_id long, n_words long, log_prob double, mean_log_prob double")
+        of, size, weights = shared.value
+        net, share = Network(weights), np.zeros(0)
+        for whole in batches:
+            chunk = whole.column("chunk").to_numpy()
+            listed = ~np.asarray(whole.column("buckets").is_valid())
+            edge = np.flatnonzero(np.concatenate([[True], (chunk[1:] != chunk[:-1]) | listed[1:] | listed[:-1], [True]]))
+            for start, end in zip(edge.tolist(), edge[1:].tolist(), strict=False):
+                if listed[start]:
+                    share = np.log(whole.column("totals")[start].values.to_numpy())
+                    continue
+                batch = whole.slice(start, end - start)
+                place = np.frombuffer(batch.column("places").buffers()[2] or b"", np.uint8)
+                begin = np.frombuffer(batch.column("places").buffers()[1], np.int32)[batch.column("places").offset]
+                for row, values, off in binary_parts(batch.column("buckets")):
+                    here = place[begin : begin + 4 * len(values)].view("<u4")
+                    begin += 4 * len(values)
+                    target, context = windows(of, values, off)
+                    each = share[here] - size[target]
+                    for a in range(0, len(target), BATCH):
+                        each[a : a + BATCH] += net.log_probs(target[a : a + BATCH], [c[a : a + BATCH] for c in context])
+                    sums = np.concatenate([[0.0], np.cumsum(each)])
+                    n, total = np.diff(off), sums[off[1:]] - sums[off[:-1]]
+                    mean = pa.array(np.divide(total, n, out=np.zeros(len(n)), where=n > 0), mask=n == 0)
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(n)), pa.array(n), pa.array(np.where(n > 0, total, 0.0)), mean], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
+
+    return both.mapInArrow(run, "doc_id long, n_words long, log_prob double, mean_log_prob double")

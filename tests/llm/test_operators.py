@@ -412,6 +412,17 @@ def test_pseudo_likelihood_learns_order(spark, empty):
     assert lm_score.pseudo_likelihood(empty).count() == 0
 
 
+def test_rare_words_do_not_get_the_counts_of_their_bucket(spark):
+    raw = " ".join(f"w{k}" for k in range(3000)).encode()
+    hashes = tx.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), tx.BLANKS)[0] >> np.uint64(48)
+    seen = {}
+    often, rare = next((seen[h], k) for k, h in enumerate(hashes.tolist()) if seen.setdefault(h, k) != k)
+    rows = [(i, f"plain w{often} line") for i in range(400)] + [(1000, f"plain w{rare} line")]
+    got = by_id(lm_score.pseudo_likelihood(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
+    # the same bucket and context: only the counts differ, 400 and 1
+    assert len(got) == 401 and got[0].log_prob - got[1000].log_prob == pytest.approx(np.log(400), abs=1e-6)
+
+
 def test_network_probabilities_sum_to_one():
     of, within, prior = lm_score.classes(np.arange(lm_score.BUCKETS)[::-1].copy())
     total = np.bincount(of, np.exp(within.astype(float)), lm_score.CLASSES)
