@@ -368,22 +368,58 @@ def links(docs: DataFrame, measured: DataFrame) -> tuple[DataFrame, DataFrame]:
         done, upto = upto, next((r for r in ROUNDS if r > upto), upto * 16)
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of docs."""
+def labelled(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, node, component_id, head) of every row of docs; head is the node that stands for the component."""
     measured = measure(docs)
     _, label = links(docs, measured)
     nodes = measured.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     nodes = materialize(nodes.join(label, "node", "left").select("node", "least", "n", F.coalesce("component", "node").alias("component")), "jaccard-nodes")
-    heads = nodes.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
-    named = attach(nodes.select("node", "component", F.col("n").alias("rows")), heads, ["component"], "inner").select("node", "component_id", F.col("rows").alias("n"))
+    first = F.min(F.struct(F.col("least").isNull().alias("unnamed"), "least", "node"))
+    heads = nodes.groupBy("component").agg(first.alias("first"), F.count("*").alias("n")).select("component", F.col("first.least").alias("component_id"), F.col("first.node").alias("head"), "n")
+    named = attach(nodes.select("node", "component", F.col("n").alias("rows")), heads, ["component"], "inner").select("node", "component_id", "head", F.col("rows").alias("n"))
     named = materialize(named, "jaccard-named")
     rows = measured.select("doc_id", F.col("n").alias("n_shingles"), "node")
-    full = attach(rows.where("node is not null"), named, ["node"], "inner").select("doc_id", "n_shingles", "component_id")
-    return union(full, rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    full = attach(rows.where("node is not null"), named, ["node"], "inner").select("doc_id", "n_shingles", "node", "component_id", "head")
+    return union(full, rows.where("node is null").select("doc_id", "n_shingles", "node", F.col("doc_id").alias("component_id"), F.col("node").alias("head")))
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of docs."""
+    return labelled(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def with_nodes(docs: DataFrame) -> DataFrame:
+    """The rows of docs with the name of their set, null if it is empty, as _node."""
+    schema = docs.withColumn("_node", F.lit(None).cast("long")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, data, off in tx.slices(batch.column("text")):
+                hashes, first = tx.shingles(data, off, WORDS)
+                node = pa.array(node_of(hashes, first), mask=np.diff(first) == 0)
+                yield pa.RecordBatch.from_arrays([*batch.slice(row, len(off) - 1).columns, node], names=[*batch.schema.names, "_node"])
+
+    return docs.mapInArrow(run, schema)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stand for their component (the smallest doc_id), with all their columns."""
-    gone = materialize(similar_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
-    few = gone.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if few else gone, docs.doc_id == gone._gone, "left_anti")
+    """One row of docs for each component (of the smallest doc_id, then the smallest set name), with all its columns.
+
+    Rows are told apart by doc_id and set, so a doc_id that several texts share stays with those not linked;
+    of repeated rows one stays, and one of a component without doc_ids.  Rows without words all stay.
+    """
+    pairs = labelled(docs).where("node is not null").groupBy("doc_id", "node", "component_id", "head").agg(F.count("*").alias("rows"))
+    pairs = pairs.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("node") == F.col("head")))
+    decided = materialize(pairs.where("not kept or rows > 1").select(F.col("doc_id").alias("_doc"), F.col("node").alias("_set"), "kept"), "jaccard-decided")
+    few = decided.count() <= BROADCAST_ROWS
+    keyed = with_nodes(docs)
+
+    def joined(side: DataFrame, how: str) -> DataFrame:
+        side = F.broadcast(side) if few else side
+        return keyed.join(side, keyed.doc_id.cast("long").eqNullSafe(side._doc) & (keyed._node == side._set), how)
+
+    repeated = decided.where("kept")
+    alone = joined(decided, "left_anti")
+    if repeated.isEmpty():
+        return alone.drop("_node")
+    return union(alone, joined(repeated, "left_semi").dropDuplicates(["doc_id", "_node"])).drop("_node")

@@ -319,6 +319,16 @@ def test_one_of_each_component_stays(docs, rows, empty):
     assert jaccard_join.similar_components(empty).count() == 0
 
 
+def test_shared_and_missing_doc_ids_lose_only_near_copies(spark):
+    rng = random.Random(8)
+    one, two, three = (prose(rng, 60) for _ in range(3))
+    table = [(1, one), (5, one + " more"), (5, two), (None, two + " more"), (None, three), (None, three + " more"), (7, None), (None, "")]
+    left = jaccard_join.keep_one(spark.createDataFrame(table, "doc_id long, text string").repartition(3)).collect()
+    kept = [(r.doc_id, r.text) for r in left]
+    assert len(kept) == 5 and set(kept) >= {(1, one), (5, two), (7, None), (None, "")}
+    assert len({(None, three), (None, three + " more")} & set(kept)) == 1
+
+
 # --- repeated strings ----------------------------------------------------------------------------
 
 
