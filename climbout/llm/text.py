@@ -15,7 +15,11 @@ import pyarrow as pa
 SLICE_BYTES = 1_000_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+_PRIME, _LOW30, _LOW31 = np.uint64(2**61 - 1), np.uint64(2**30 - 1), np.uint64(2**31 - 1)
+_BASE61 = 0x0C3B1F7A95E2D483
+_INVERSE61 = pow(_BASE61, -1, 2**61 - 1)
+#: Bytes that are summed at once: their sums of products stay far below 2**62, and they fit a cache.
+_RUN = 1 << 15
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 2**64)
 _powers: dict[int, np.ndarray] = {}
@@ -78,17 +82,72 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
         row = end
 
 
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime 2**61 - 1, for factors below it, in blocks that fit a cache."""
+    out = np.empty(len(a), np.uint64)
+    for k in range(0, len(a), _RUN):
+        x, y = a[k : k + _RUN], b[k : k + _RUN]
+        x1, x0, y1, y0 = x >> np.uint64(31), x & _LOW31, y >> np.uint64(31), y & _LOW31
+        mid = x1 * y0
+        mid += x0 * y1
+        x1 *= y1
+        x1 <<= np.uint64(1)
+        x0 *= y0
+        x1 += mid >> np.uint64(30)
+        mid &= _LOW30
+        mid <<= np.uint64(31)
+        x1 += mid
+        x1 += x0
+        out[k : k + len(x)] = residue(x1)
+    return out
+
+
+def residue(x: np.ndarray) -> np.ndarray:
+    """x modulo 2**61 - 1."""
+    x = (x & _PRIME) + (x >> np.uint64(61))
+    return np.minimum(x, x - _PRIME)  # wraps around below the prime
+
+
+def prime_powers(base: int, n: int) -> np.ndarray:
+    """base**i modulo 2**61 - 1 for i < n at least."""
+    key = -base
+    got = _powers.get(key)
+    if got is None or len(got) < n:
+        got, size = np.ones(1, np.uint64), max(n, SLICE_BYTES + 1)
+        while len(got) < size:
+            step = np.uint64(pow(base, len(got), int(_PRIME)))
+            got = np.concatenate([got, times(got[: size - len(got)], np.full(min(len(got), size - len(got)), step))])
+        if n <= 4 * SLICE_BYTES:
+            _powers[key] = got
+    return got
+
+
 class Prefix:
-    """Polynomial prefix sums of one slice: the hash of any span in constant time."""
+    """Polynomial prefix sums of one slice modulo 2**61 - 1: the hash of any span in constant time.
+
+    Two spans of n bytes that differ have one hash for n of the 2**61 bases at most.
+    """
 
     def __init__(self, data: np.ndarray):
+        power = prime_powers(_BASE61, len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * powers(_BASE, len(data))[: len(data)], out=self.sums[1:])
+        for a in range(0, len(data), _RUN):
+            value = data[a : a + _RUN].astype(np.uint64)
+            value += np.uint64(1)
+            here = power[a : a + len(value)]
+            high, low = np.cumsum(value * (here >> np.uint64(31))), np.cumsum(value * (here & _LOW31))
+            low += high >> np.uint64(30)
+            high &= _LOW30
+            high <<= np.uint64(31)
+            high += low
+            high = residue(high)
+            self.sums[a + 1 : a + 1 + len(value)] = residue(high + self.sums[a]) if a else high
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of the spans; equal bytes give equal hashes wherever they stand."""
-        back = powers(_INVERSE, len(self.sums))
-        return mix((self.sums[end] - self.sums[start]) * back[start] + (end - start).astype(np.uint64) * _MULT)
+        back = prime_powers(_INVERSE61, len(self.sums))
+        apart = self.sums[end] + _PRIME - self.sums[start]
+        return mix(times(residue(apart), back[start]) + (end - start).astype(np.uint64) * _MULT)
 
 
 def spans(data: np.ndarray, off: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
