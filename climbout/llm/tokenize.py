@@ -80,7 +80,7 @@ class Encoder:
     def ids(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): all ids of a slice of texts, and where each text's ids begin."""
         start, end, first = pieces(data, off)
-        codes, uniq = pd.factorize(tx.Prefix(tx.LOWER[data]).spans(start, end))
+        codes, uniq = pd.factorize(tx.Prefix(data).spans(start, end))
         if self.rows > CACHE_WORDS:
             self.clear()
         cell = (uniq >> np.uint64(40)) & np.uint64(TABLE - 1)
