@@ -12,16 +12,21 @@ segment that is not empty, provided the document has more filled segments than d
 2. documents too poor in those also take segments over all their shingles;
 3. documents still too poor also take the smallest hashes of their set, a plain prefix filter.
 
-Documents with equal sets are one node from the start.  Words are sent packed, grouped in tasks, and groups
-with the same members are kept once.  In a group, hubs meet the members that follow them, in the task that
-streams the group: parity bit sketches of the whole sets (one bit per shingle, XOR) give a Hamming distance that
-bounds the symmetric difference from below, and only pairs within the bound are written and verified on
-the sets.  The first round has one hub per group; groups whose members the verified links have not
-joined take further hubs, until every pair that shares a word is connected by links or too different.
+Documents with equal sets are one node from the start.  Words are sent packed and grouped in tasks; groups
+with the same members are kept once.  Pairs are then found in two ways:
+
+* Stars, a slice of the words at a time: members of a word are dealt into small blocks by a hash of word and
+  node, and each meets only the first of its block.  What is verified joins components, and words whose members are
+  in one component are closed, so a large group of near copies falls together after a few of its words.
+* All pairs, for the words still open: a pair inside one component needs no look, so the members outside of a word's
+  largest component (its hubs) meet all members.  Both sides are dealt in blocks, so no task holds a whole word, and
+  compared by parity bit sketches of the whole sets (one bit per shingle, XOR), whose Hamming distance bounds
+  the symmetric difference from below; only pairs within the bound are written and verified on the sets.
 
 Defined results: null or wordless texts have an empty set and are alone; a text of fewer words than a
 shingle has its whole sequence as its one shingle; null doc_ids take part, and a component of only such
-rows has a null component_id; repeated rows are equal sets; an empty table gives an empty result.
+rows has a null component_id; repeated rows are equal sets; texts of any length are read whole; of equally
+small names any may lead; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,16 +44,18 @@ from .shared import BROADCAST_ROWS, attach, components, materialize, union
 
 #: Similarity in percent, words in a shingle.
 PERCENT, WORDS = 80, 5
-#: One node in SAMPLE is asked for common shingles; those of at least COMMON of them, COMMON_MOST at most, are left out of step 1.
+#: One text in SAMPLE is asked for common shingles; those of at least COMMON of them, COMMON_MOST at most, are left out of step 1.
 SAMPLE, COMMON, COMMON_MOST = 16, 4, 200_000
 #: Words held by a task before they are sent; members of one word in them that make it hot.
 FLUSH, HOT = 700_000, 64
-#: What a run of words holds: rows of the owner, the smallest node of hot words, all nodes of hot words.
-OWNED, LEAD, MEMBER = 0, 1, 2
-#: Hubs of a group after each round; beyond, sixteen times as many each time.
-ROUNDS = (1, 16, 4096)
-#: Pairs of one hub verified in one task; nodes whose sets may be named in a broadcast.
-HUB_RUN, NAMED = 64, 1_000_000
+#: What a run holds: rows of the owner, the smallest node of hot words, all nodes of hot words, measured documents.
+OWNED, LEAD, MEMBER, ROW = 0, 1, 2, 3
+#: Words are cut into SLICES by their hashes; the stars take these slices, [from, to), in rounds.
+SLICES, STARS = 32, ((0, 2), (2, 4), (4, 8), (8, 16))
+#: Members of a star, and of each side of a block of all pairs.
+STAR, BLOCK = 64, 1024
+#: Pairs of one hub verified in one task; 64-bit words of a bit sketch at most (longer ones are folded).
+HUB_RUN, SKETCH = 64, 512
 _BOUNDS = [0, 1]
 while _BOUNDS[-1] < 1 << 40:
     _BOUNDS.append(max(_BOUNDS[-1] + 1, _BOUNDS[-1] * 3 // 2))
@@ -104,27 +112,23 @@ def sketch(hashes: np.ndarray, first: np.ndarray, common: np.ndarray) -> tuple[n
     return np.concatenate([d for d, _ in out]), np.concatenate([w for _, w in out])
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, sample): set sizes and names; the set itself for one node in SAMPLE."""
+def texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def common_shingles(docs: DataFrame) -> np.ndarray:
+    """Sorted hashes of shingles that many sets of the sampled texts have; bounded by COMMON_MOST."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, off in tx.slices(batch.column("text")):
+            for _, data, off in tx.slices(batch.column("text")):
                 hashes, first = tx.shingles(data, off, WORDS)
                 node = node_of(hashes, first)
-                n = np.diff(first)
-                asked = (node % SAMPLE == 0) & (n > 0)
-                asked &= np.isin(np.arange(len(n)), np.unique(node, return_index=True)[1])
-                sets = [hashes[a:b].view(np.int64) if s else None for a, b, s in zip(first, first[1:], asked, strict=False)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(n)), pa.array(n), pa.array(node, mask=n == 0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "n", "node", "sample"])
+                once = np.unique(node, return_index=True)[1]
+                yield pa.RecordBatch.from_arrays([pa.array(node[once]), pa.array([hashes[first[k] : first[k + 1]].view(np.int64) for k in once], pa.list_(pa.int64()))], names=["node", "set"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, sample array<long>"), "jaccard-sets", compression="zstd")
-
-
-def common_shingles(measured: DataFrame) -> np.ndarray:
-    """Sorted hashes of shingles that many sampled nodes have; bounded by COMMON_MOST."""
-    each = measured.where("sample is not null").select("node", "sample").dropDuplicates(["node"]).select(F.explode("sample").alias("h"))
+    sample = texts(docs).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(run, "node long, set array<long>")
+    each = sample.dropDuplicates(["node"]).select(F.explode("set").alias("h"))
     found = each.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).orderBy(F.desc("n"), "h").limit(COMMON_MOST).select("h").toArrow()
     return np.sort(found["h"].to_numpy().view(np.uint64))
 
@@ -142,8 +146,11 @@ def decode_run(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(node, count), np.frombuffer(raw, "<u8", -1, 4 + 12 * k)
 
 
-def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(word, node) of all words that more than one node has, in the shared folder.
+GROUPED = pa.schema([("kind", pa.int8()), ("word", pa.int64()), ("node", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64())])
+
+
+def grouped(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """One pass over all texts; in the shared folder, by kind: every document's (doc_id, n, node), and the (word, node) of all words that more than one node has.
 
     Words travel packed to the task that owns them.  A word that one task sees for many nodes is hot: its
     members are dealt over all tasks and passed on as they are, only the smallest goes to the owner, marked
@@ -154,7 +161,7 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
     shared = spark.sparkContext.broadcast(common)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, turn = [], 0, TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
             node, word = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -178,9 +185,12 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int8(), pa.binary()), strict=True)], names=["part", "kind", "run"])
 
         for batch in batches:
-            for _, data, off in tx.slices(batch.column("text")):
+            for row, data, off in tx.slices(batch.column("text")):
                 hashes, first = tx.shingles(data, off, WORDS)
-                node = node_of(hashes, first)
+                node, n = node_of(hashes, first), np.diff(first)
+                measured = pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(n)), pa.array(n), pa.array(node, mask=n == 0)], names=["doc_id", "n", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array([turn % parts], pa.int32()), pa.array([ROW], pa.int8()), pa.array([packed(measured)], pa.binary())], names=["part", "kind", "run"])
+                turn += 1
                 keep = np.isin(np.arange(len(node)), np.unique(node, return_index=True)[1])
                 doc, word = sketch(hashes, first, shared.value)
                 held.append((node[doc][keep[doc]], word[keep[doc]]))
@@ -191,13 +201,22 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
         if size:
             yield flush()
 
+    def emit(node: np.ndarray, word: np.ndarray) -> pa.RecordBatch:
+        k = len(node)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(k, OWNED, np.int8)), pa.array(word.view(np.int64)), pa.array(node), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=GROUPED)
+
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, leads = [], []
         for batch in batches:
             for kind, run in zip(batch.column("kind").to_pylist(), batch.column("run"), strict=True):
+                if kind == ROW:
+                    for part in pa.ipc.open_stream(run.as_buffer()):
+                        k = part.num_rows
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(k, ROW, np.int8)), pa.nulls(k, pa.int64()), part.column("node"), part.column("doc_id"), part.column("n")], schema=GROUPED)
+                    continue
                 node, word = decode_run(run.as_buffer())
                 if kind == MEMBER:
-                    yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(node)], names=["word", "node"])
+                    yield emit(node, word)
                 else:
                     held.append((node, word))
                     if kind == LEAD:
@@ -205,6 +224,7 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
         if not held:
             return
         node, word = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
         order = np.lexsort((node, word))
         node, word = node[order], word[order]
         new = np.concatenate([[True], (word[1:] != word[:-1]) | (node[1:] != node[:-1])])
@@ -219,15 +239,22 @@ def memberships(docs: DataFrame, common: np.ndarray) -> DataFrame:
         once = several[np.unique(members[several], return_index=True)[1]]  # groups of the same members, once
         at = tx.ragged(start[once], count[once])
         for a in range(0, len(at), 500_000):
-            yield pa.RecordBatch.from_arrays([pa.array(word[at[a : a + 500_000]].view(np.int64)), pa.array(node[at[a : a + 500_000]])], names=["word", "node"])
+            yield emit(node[at[a : a + 500_000]], word[at[a : a + 500_000]])
+
+    rows = texts(docs).mapInArrow(send, "part int, kind byte, run binary")
+    return materialize(rows.repartition(parts, "part").mapInArrow(group, "kind byte, word long, node long, doc_id long, n long"), "jaccard-groups", compression="zstd")
+
 
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(send, "part int, kind byte, run binary")
-    return materialize(rows.repartition(parts, "part").mapInArrow(group, "word long, node long"), "jaccard-groups", compression="zstd")
+def packed(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
 
 
 def parity_bits(hashes: np.ndarray) -> bytes:
     """Bit sketch of a set: each shingle flips one bit; three quarters to three halves of a bit per shingle, a power of two."""
-    size = 1 << max(6, (3 * len(hashes) // 4).bit_length())
+    size = min(64 * SKETCH, 1 << max(6, (3 * len(hashes) // 4).bit_length()))
     bits = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(bool), bitorder="little").tobytes()
 
@@ -256,63 +283,33 @@ def within_bound(hubs: list, members: list) -> Iterator[tuple[int, int]]:
             yield k + i, j
 
 
-def near_pairs(groups: DataFrame, sketches: DataFrame, done: int, upto: int) -> DataFrame:
-    """(a, b) of each group's hubs, in places done < place <= upto, and the members behind them that they may be linked to.
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n, bits, value) of the wanted (node, doc_id), once each, in the shared folder: bit sketches and sorted u64 hashes.
 
-    Groups stream through their task in order of place, so it holds the hubs of one group at a time.
+    A set comes from a row that stands for it; only such rows' texts are read again.
     """
-    rows = groups.join(sketches.select("node", "n", F.col("value").alias("bits")), "node").select("word", "place", "node", "component", "n", "bits")
-    rows = rows.repartition("word").sortWithinPartitions("word", "place")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, hubs = None, []
-        for batch in batches:
-            word, place, node, component, n = (batch.column(c).to_numpy() for c in ("word", "place", "node", "component", "n"))
-            bits = batch.column("bits")
-            edge = np.concatenate([[0], np.flatnonzero(word[1:] != word[:-1]) + 1, [len(word)]])
-            found = []
-            for a, b in zip(edge.tolist(), edge[1:].tolist(), strict=False):
-                if word[a] != current:
-                    current, hubs = word[a], []
-                rows = [(node[i], component[i], n[i], np.frombuffer(bits[i].as_buffer(), np.uint64), place[i]) for i in range(a, b)]
-                fresh = [r for r in rows if done < r[4] <= upto]
-                if hubs:
-                    found += [(hubs[i][0], rows[j][0]) for i, j in within_bound(hubs, rows)]
-                if fresh and len(rows) > 1:
-                    found += [(fresh[i][0], rows[j][0]) for i, j in within_bound(fresh, rows) if rows[j][4] > fresh[i][4]]
-                hubs += fresh
-            if found:
-                x, y = zip(*set(found), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long").distinct()
-
-
-def sets_of(docs: DataFrame, wanted: DataFrame, what: str) -> DataFrame:
-    """(node, n, value) of the wanted (node, doc_id), in the shared folder: the bit sketch or the sorted u64 hashes."""
-    narrow = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = wanted.count()
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(wanted.select("node").toArrow()["node"].to_numpy()) if rows <= NAMED else None)
-    if rows > NAMED:
-        narrow = narrow.join(wanted.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    few = wanted.count() <= BROADCAST_ROWS
+    ids = wanted.select(F.col("doc_id").alias("_id")).distinct()
+    narrow = texts(docs)
+    narrow = narrow.join(F.broadcast(ids) if few else ids, narrow.doc_id.eqNullSafe(ids._id), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in batches:
-            ids = batch.column("doc_id")
             for row, data, off in tx.slices(batch.column("text")):
                 hashes, first = tx.shingles(data, off, WORDS)
-                node = node_of(hashes, first)
-                keep = np.flatnonzero(np.isin(node, known)) if known is not None else np.flatnonzero(np.diff(first) > 0)
+                n = np.diff(first)
+                keep = np.flatnonzero(n > 0)
                 each = [hashes[first[k] : first[k + 1]] for k in keep]
-                value = [parity_bits(x) if what == "bits" else x.tobytes() for x in each]
-                yield pa.RecordBatch.from_arrays([pa.array(node[keep]), ids.slice(row, len(node)).take(pa.array(keep)), pa.array(np.diff(first)[keep]), pa.array(value, pa.binary())], names=["node", "doc_id", "n", "value"])
+                columns = [pa.array(node_of(hashes, first)[keep]), batch.column("doc_id").slice(row, len(n)).take(pa.array(keep)), pa.array(n[keep]), pa.array([parity_bits(x) for x in each], pa.binary()), pa.array([x.tobytes() for x in each], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "doc_id", "n", "bits", "value"])
 
-    found = narrow.mapInArrow(run, "node long, doc_id long, n long, value binary")
-    # a set comes from the row that stands for it, not from each of its copies
+    found = narrow.mapInArrow(run, "node long, doc_id long, n long, bits binary, value binary")
     named = wanted.select(F.col("node").alias("_node"), F.col("doc_id").alias("_doc"))
     match = (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    return materialize(found.join(F.broadcast(named) if rows <= BROADCAST_ROWS else named, match, "left_semi").drop("doc_id"), f"jaccard-{what}")
+    sets = materialize(found.join(F.broadcast(named) if few else named, match, "left_semi").drop("doc_id"), "jaccard-sets")
+    if sets.groupBy("node").count().where("count > 1").isEmpty():
+        return sets
+    return materialize(sets.dropDuplicates(["node"]), "jaccard-sets")  # of rows that are repeated as a whole
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -341,42 +338,93 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(near).select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame, measured: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links (a, b) between nodes that connect all similar nodes, components (node, component))."""
-    words = memberships(docs, common_shingles(measured))
-    wanted = words.select("node").distinct().join(measured.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
-    wanted = materialize(wanted, "jaccard-wanted")
-    sketches = sets_of(docs, wanted, "bits")
-    order = Window.partitionBy("word").orderBy("node")
-    found, label, done, upto = [], None, 0, ROUNDS[0]  # pairs with a hub in a place up to `done` are settled
-    left = words.withColumn("component", F.col("node"))
-    while True:
-        placed = left.select("word", "node", "component", F.dense_rank().over(order).alias("place"))
-        pairs = materialize(near_pairs(placed, sketches, done, upto), "jaccard-pairs")
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = sets_of(docs, materialize(wanted.join(ends, "node"), "jaccard-ends"), "hashes")
+def opened(words: DataFrame, label: DataFrame | None) -> DataFrame:
+    """(word, node, component, n) of the words whose n members are in several components."""
+    if label is None:
+        named = words.withColumn("component", F.col("node"))
+    else:
+        named = words.join(label, "node", "left").select("word", "node", F.coalesce("component", "node").alias("component"))
+    each = named.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y")
+    return attach(named, materialize(each.select("word", "n"), "jaccard-open"), ["word"], "inner")
+
+
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): every member of a word with the first one of its block of about STAR members."""
+    blocks = F.ceil(F.col("n") / STAR)
+    first = F.min(F.struct("node", "component")).over(Window.partitionBy("word", "block"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("word", "node"), blocks)).withColumn("first", first)
+    return rows.where("first.component <> component").select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def near_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of different components that share a word and whose sizes and bit sketches allow the similarity.
+
+    All members of a word meet its hubs, those outside of its largest component; BLOCK at most of either side at a time.
+    """
+    each = rows.groupBy("word", "component").agg(F.count("*").alias("n"))
+    each = each.groupBy("word").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"))
+    each = materialize(each.select("word", "n", F.col("most.component").alias("main"), F.ceil(F.col("n") / BLOCK).alias("blocks"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).alias("sides")), "jaccard-mains")
+    rows = attach(rows.drop("n"), each, ["word"], "inner").drop("n").join(sets.select("node", "n", "bits"), "node")
+    side, block = F.pmod(F.xxhash64("node"), F.col("sides")), F.pmod(F.xxhash64("node"), F.col("blocks"))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    columns = ["word", "side", "block", "hub", "node", "component", "n", "bits"]
+    hubs = rows.where("component <> main").select("*", F.lit(True).alias("hub"), side.alias("side"), every("blocks").alias("block"))
+    members = rows.select("*", F.lit(False).alias("hub"), block.alias("block"), every("sides").alias("side"))
+    both = hubs.select(columns).union(members.select(columns)).repartition("word", "side", "block").sortWithinPartitions("word", "side", "block", F.desc("hub"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, hubs = None, []
+        for batch in batches:
+            word, side, block, hub, node, component, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "side", "block", "hub", "node", "component", "n"))
+            bits, found = batch.column("bits"), set()
+            change = np.flatnonzero((word[1:] != word[:-1]) | (side[1:] != side[:-1]) | (block[1:] != block[:-1]) | (hub[1:] != hub[:-1])) + 1
+            edge = [0, *change.tolist(), len(word)]
+            for a, b in zip(edge, edge[1:], strict=False):
+                if a == b:
+                    continue
+                if (key := (word[a], side[a], block[a])) != current:
+                    current, hubs = key, []
+                rows = [(node[i], component[i], n[i], np.frombuffer(bits[i].as_buffer(), np.uint64)) for i in range(a, b)]
+                if hub[a]:
+                    hubs += rows
+                elif hubs:
+                    found.update((min(x, y), max(x, y)) for x, y in ((hubs[i][0], rows[j][0]) for i, j in within_bound(hubs, rows)))
+            if found:
+                x, y = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def links(docs: DataFrame, words: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(links (a, b) between nodes that connect all similar nodes, components (node, component) of the linked ones)."""
+    wanted = materialize(words.select("node").distinct().join(nodes.select("node", F.col("least").alias("doc_id")), "node"), "jaccard-wanted")
+    sets = sets_of(docs, wanted)
+    found, label = [], None
+    turn = F.pmod(F.xxhash64("word"), F.lit(SLICES))
+    for part in (*STARS, None):
+        if part:
+            pairs = star_pairs(opened(words.where(turn.between(part[0], part[1] - 1)), label))
+        else:
+            pairs = near_pairs(opened(words, label), sets)
+        pairs = materialize(pairs, "jaccard-pairs")
         found.append(materialize(verified(pairs, sets), "jaccard-links"))
-        if label is None or not found[-1].isEmpty():
+        if not found[-1].isEmpty():
             label = components(union(*found), "jaccard-components")
-        named = words.join(label, "node", "left").select("word", "node", F.coalesce("component", "node").alias("component"))
-        open_ = named.groupBy("word").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
-        # a group has at most as many places as rows; all pairs of the first `upto` + 1 places are settled
-        open_ = open_.where((F.col("x") != F.col("y")) & (F.col("n") > upto + 1)).select("word")
-        left = materialize(named.join(open_, "word"), "jaccard-open")
-        if left.isEmpty():
-            return union(*found), label
-        done, upto = upto, next((r for r in ROUNDS if r > upto), upto * 16)
+    return union(*found), label
 
 
 def labelled(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, node, component_id, head) of every row of docs; head is the node that stands for the component."""
-    measured = measure(docs)
-    _, label = links(docs, measured)
-    nodes = measured.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    nodes = materialize(nodes.join(label, "node", "left").select("node", "least", "n", F.coalesce("component", "node").alias("component")), "jaccard-nodes")
+    found = grouped(docs, common_shingles(docs))
+    measured = found.where(F.col("kind") == ROW).select("doc_id", "n", "node")
+    nodes = materialize(measured.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "jaccard-nodes")
+    _, label = links(docs, found.where(F.col("kind") == OWNED).select("word", "node"), nodes)
+    named = nodes.withColumn("component", F.col("node")) if label is None else nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = F.min(F.struct(F.col("least").isNull().alias("unnamed"), "least", "node"))
-    heads = nodes.groupBy("component").agg(first.alias("first"), F.count("*").alias("n")).select("component", F.col("first.least").alias("component_id"), F.col("first.node").alias("head"), "n")
-    named = attach(nodes.select("node", "component", F.col("n").alias("rows")), heads, ["component"], "inner").select("node", "component_id", "head", F.col("rows").alias("n"))
+    named = materialize(named.select("node", "least", "n", "component"), "jaccard-named")
+    heads = named.groupBy("component").agg(first.alias("first"), F.count("*").alias("n")).select("component", F.col("first.least").alias("component_id"), F.col("first.node").alias("head"), "n")
+    named = attach(named.select("node", "component", F.col("n").alias("rows")), heads, ["component"], "inner").select("node", "component_id", "head", F.col("rows").alias("n"))
     named = materialize(named, "jaccard-named")
     rows = measured.select("doc_id", F.col("n").alias("n_shingles"), "node")
     full = attach(rows.where("node is not null"), named, ["node"], "inner").select("doc_id", "n_shingles", "node", "component_id", "head")
