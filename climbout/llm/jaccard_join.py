@@ -15,13 +15,14 @@ segment that is not empty, provided the document has more filled segments than d
 Documents with equal sets are one node from the start.  Words are sent packed and grouped in tasks; groups
 with the same members are kept once.  Pairs are then found in two ways:
 
-* Stars, a slice of the words at a time: members of a word are dealt into small blocks by a hash of word and
-  node, and each meets only the first of its block.  What is verified joins components, and words whose members are
+* Nearest ones, a slice of the words at a time: members of a word are dealt into small blocks by a hash, and each
+  is paired with the nearest one of its block.  What is verified joins components, and words whose members are
   in one component are closed, so a large group of near copies falls together after a few of its words.
 * All pairs, for the words still open: a pair inside one component needs no look, so the members outside of a word's
-  largest component (its hubs) meet all members.  Both sides are dealt in blocks, so no task holds a whole word, and
-  compared by parity bit sketches of the whole sets (one bit per shingle, XOR), whose Hamming distance bounds
-  the symmetric difference from below; only pairs within the bound are written and verified on the sets.
+  largest component (its hubs) meet all members.  Both sides are dealt in blocks, so no task holds a whole word.
+
+Both compare parity bit sketches of the whole sets (one bit per shingle, XOR), whose Hamming distance bounds the
+symmetric difference from below; only pairs within the bound are written and verified on the sets.
 
 Defined results: null or wordless texts have an empty set and are alone; a text of fewer words than a
 shingle has its whole sequence as its one shingle; null doc_ids take part, and a component of only such
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
@@ -50,12 +51,13 @@ SAMPLE, COMMON, COMMON_MOST = 16, 4, 200_000
 FLUSH, HOT = 700_000, 64
 #: What a run holds: rows of the owner, the smallest node of hot words, all nodes of hot words, measured documents.
 OWNED, LEAD, MEMBER, ROW = 0, 1, 2, 3
-#: Words are cut into SLICES by their hashes; the stars take these slices, [from, to), in rounds.
-SLICES, STARS = 32, ((0, 2), (2, 4), (4, 8), (8, 16))
-#: Members of a star, and of each side of a block of all pairs.
-STAR, BLOCK = 64, 1024
+#: Words are cut into SLICES by their hashes; nearest ones are sought in these slices, [from, to), in rounds.
+SLICES, ROUNDS = 32, ((0, 2), (2, 6), (6, 14))
+#: Members among which the nearest one is sought, and members of each side of a block of all pairs.
+NEAR, BLOCK = 192, 1024
 #: Pairs of one hub verified in one task; 64-bit words of a bit sketch at most (longer ones are folded).
 HUB_RUN, SKETCH = 64, 512
+FAR = 1 << 40
 _BOUNDS = [0, 1]
 while _BOUNDS[-1] < 1 << 40:
     _BOUNDS.append(max(_BOUNDS[-1] + 1, _BOUNDS[-1] * 3 // 2))
@@ -253,8 +255,8 @@ def packed(batch: pa.RecordBatch) -> bytes:
 
 
 def parity_bits(hashes: np.ndarray) -> bytes:
-    """Bit sketch of a set: each shingle flips one bit; three quarters to three halves of a bit per shingle, a power of two."""
-    size = min(64 * SKETCH, 1 << max(6, (3 * len(hashes) // 4).bit_length()))
+    """Bit sketch of a set: each shingle flips one bit; three to six bits per shingle, a power of two."""
+    size = min(64 * SKETCH, 1 << max(6, (3 * len(hashes)).bit_length()))
     bits = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(bool), bitorder="little").tobytes()
 
@@ -266,8 +268,8 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def within_bound(hubs: list, members: list) -> Iterator[tuple[int, int]]:
-    """Pairs (hub, member) by number whose sizes and sketches allow the similarity."""
+def apart(hubs: list, members: list) -> Iterator[tuple[int, np.ndarray]]:
+    """(first hub, Hamming distances hub x member) by blocks of hubs; pairs that cannot be similar, or need not be known, have a huge one."""
     size = min(len(x[3]) for x in (*hubs, *members))
     a, b = (np.stack([folded(x[3], size) for x in side]) for side in (hubs, members))
     na, nb = (np.array([x[2] for x in side]) for side in (hubs, members))
@@ -275,12 +277,51 @@ def within_bound(hubs: list, members: list) -> Iterator[tuple[int, int]]:
     block = max(1, 2_000_000 // (size * len(members)))
     for k in range(0, len(hubs), block):
         at = slice(k, k + block)
-        apart = np.bitwise_count(a[at, None, :] ^ b[None, :, :]).sum(2, dtype=np.int64)
+        distance = np.bitwise_count(a[at, None, :] ^ b[None, :, :]).sum(2, dtype=np.int64)
         both = na[at, None] + nb[None, :]
-        fine = ((100 + PERCENT) * apart <= (100 - PERCENT) * both) & (ca[at, None] != cb[None, :])
+        fine = ((100 + PERCENT) * distance <= (100 - PERCENT) * both) & (ca[at, None] != cb[None, :])
         fine &= 100 * np.minimum(na[at, None], nb[None, :]) >= PERCENT * np.maximum(na[at, None], nb[None, :])
-        for i, j in np.argwhere(fine).tolist():
-            yield k + i, j
+        yield k, np.where(fine, distance, FAR)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list]]:
+    """(key, rows) of a sorted stream; a row is (node, component, n, bits as 64-bit words)."""
+    current, held = None, []
+    for batch in batches:
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in keys]
+        node, component, n = (batch.column(c).to_numpy() for c in ("node", "component", "n"))
+        bits = batch.column("bits")
+        change = np.zeros(max(len(node) - 1, 0), bool)
+        for c in columns:
+            change |= c[1:] != c[:-1]
+        edge = [0, *(np.flatnonzero(change) + 1).tolist(), len(node)]
+        for a, b in zip(edge, edge[1:], strict=False):
+            if a == b:
+                continue
+            if (key := tuple(c[a] for c in columns)) != current:
+                if held:
+                    yield current, held
+                current, held = key, []
+            held += [(node[i], component[i], n[i], np.frombuffer(bits[i].as_buffer(), np.uint64)) for i in range(a, b)]
+    if held:
+        yield current, held
+
+
+def pair_batches(pairs: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Pairs (smaller node, larger node), without those that a batch already has."""
+    found: set[tuple[int, int]] = set()
+
+    def emit() -> pa.RecordBatch:
+        x, y = zip(*found, strict=True)
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+
+    for x, y in pairs:
+        found.add((min(x, y), max(x, y)))
+        if len(found) >= 100_000:
+            yield emit()
+    if found:
+        yield emit()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -348,12 +389,22 @@ def opened(words: DataFrame, label: DataFrame | None) -> DataFrame:
     return attach(named, materialize(each.select("word", "n"), "jaccard-open"), ["word"], "inner")
 
 
-def star_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b): every member of a word with the first one of its block of about STAR members."""
-    blocks = F.ceil(F.col("n") / STAR)
-    first = F.min(F.struct("node", "component")).over(Window.partitionBy("word", "block"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("word", "node"), blocks)).withColumn("first", first)
-    return rows.where("first.component <> component").select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
+def nearest_pairs(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
+    """(a, b): members of a word with the nearest one of their block of about NEAR members, if it is within the bound."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("n") / NEAR))).drop("n")
+    rows = rows.join(sets.select("node", "n", "bits"), "node").select("word", "block", "node", "component", "n", "bits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs() -> Iterator[tuple[int, int]]:
+            for _, held in groups(batches, ["word", "block"]):
+                for begin, distance in apart(held, held) if len(held) > 1 else ():
+                    best = distance.argmin(1)
+                    for i in np.flatnonzero(distance[np.arange(len(best)), best] < FAR).tolist():
+                        yield held[begin + i][0], held[best[i]][0]
+
+        return pair_batches(pairs())
+
+    return rows.repartition("word", "block").sortWithinPartitions("word", "block").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
@@ -373,25 +424,17 @@ def near_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     both = hubs.select(columns).union(members.select(columns)).repartition("word", "side", "block").sortWithinPartitions("word", "side", "block", F.desc("hub"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, hubs = None, []
-        for batch in batches:
-            word, side, block, hub, node, component, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "side", "block", "hub", "node", "component", "n"))
-            bits, found = batch.column("bits"), set()
-            change = np.flatnonzero((word[1:] != word[:-1]) | (side[1:] != side[:-1]) | (block[1:] != block[:-1]) | (hub[1:] != hub[:-1])) + 1
-            edge = [0, *change.tolist(), len(word)]
-            for a, b in zip(edge, edge[1:], strict=False):
-                if a == b:
-                    continue
-                if (key := (word[a], side[a], block[a])) != current:
-                    current, hubs = key, []
-                rows = [(node[i], component[i], n[i], np.frombuffer(bits[i].as_buffer(), np.uint64)) for i in range(a, b)]
-                if hub[a]:
-                    hubs += rows
-                elif hubs:
-                    found.update((min(x, y), max(x, y)) for x, y in ((hubs[i][0], rows[j][0]) for i, j in within_bound(hubs, rows)))
-            if found:
-                x, y = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+        def pairs() -> Iterator[tuple[int, int]]:
+            current, hubs = None, []
+            for (*key, hub), held in groups(batches, ["word", "side", "block", "hub"]):
+                if hub:
+                    current, hubs = key, held
+                elif key == current:
+                    for begin, distance in apart(hubs, held):
+                        for i, j in np.argwhere(distance < FAR).tolist():
+                            yield hubs[begin + i][0], held[j][0]
+
+        return pair_batches(pairs())
 
     return both.mapInArrow(run, "a long, b long").distinct()
 
@@ -402,9 +445,9 @@ def links(docs: DataFrame, words: DataFrame, nodes: DataFrame) -> tuple[DataFram
     sets = sets_of(docs, wanted)
     found, label = [], None
     turn = F.pmod(F.xxhash64("word"), F.lit(SLICES))
-    for part in (*STARS, None):
+    for k, part in enumerate((*ROUNDS, None)):
         if part:
-            pairs = star_pairs(opened(words.where(turn.between(part[0], part[1] - 1)), label))
+            pairs = nearest_pairs(opened(words.where(turn.between(part[0], part[1] - 1)), label), sets, k)
         else:
             pairs = near_pairs(opened(words, label), sets)
         pairs = materialize(pairs, "jaccard-pairs")
