@@ -191,7 +191,7 @@ def grouped(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 hashes, first = tx.shingles(data, off, WORDS)
                 node, n = node_of(hashes, first), np.diff(first)
                 measured = pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(n)), pa.array(n), pa.array(node, mask=n == 0)], names=["doc_id", "n", "node"])
-                yield pa.RecordBatch.from_arrays([pa.array([turn % parts], pa.int32()), pa.array([ROW], pa.int8()), pa.array([packed(measured)], pa.binary())], names=["part", "kind", "run"])
+                yield pa.RecordBatch.from_arrays([pa.array([turn % parts], pa.int32()), pa.array([ROW], pa.int8()), pa.array([tx.ipc(measured)], pa.binary())], names=["part", "kind", "run"])
                 turn += 1
                 keep = np.isin(np.arange(len(node)), np.unique(node, return_index=True)[1])
                 doc, word = sketch(hashes, first, shared.value)
@@ -247,13 +247,6 @@ def grouped(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return materialize(rows.repartition(parts, "part").mapInArrow(group, "kind byte, word long, node long, doc_id long, n long"), "jaccard-groups", compression="zstd")
 
 
-def packed(batch: pa.RecordBatch) -> bytes:
-    out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, batch.schema) as stream:
-        stream.write_batch(batch)
-    return out.getvalue().to_pybytes()
-
-
 def parity_bits(hashes: np.ndarray) -> bytes:
     """Bit sketch of a set: each shingle flips one bit; three to six bits per shingle, a power of two."""
     size = min(64 * SKETCH, 1 << max(6, (3 * len(hashes)).bit_length()))

@@ -1,21 +1,24 @@
 """Masked pseudo-likelihood scores from a bidirectional window network.
 
-Words are told apart by their 64-bit hashes and counted over all documents, in a table.  Their classes come
-from BUCKETS of hashes: each belongs to one of CLASSES classes (frequent buckets alone, the others dealt by
-frequency so that classes are about equally likely).  The network sees the classes of two words on each side
-of a masked word, sums one embedding per place, bends it by tanh and gives a softmax over classes; within its
-class a word has its share of the counts, which a join brings to the documents.
-A document's score is the sum over its words of log P(word | both sides).
-
-Documents come in chunks of a slice of text.  A chunk's words are listed once, with their counts; documents
-name them by place in that list.  The lists meet the table of counts, and each goes back to its chunk.
-
-Training is one pass of every task over all of its documents (numpy, Adagrad), from a common start; the
-networks are then averaged, weighted by words, so that what is gathered grows with the input and every
-document counts.  Only the classes of BUCKETS and the network are broadcast; word counts grow with the words.
+Words are told apart by their 64-bit hashes and counted over all documents.  Their classes come from BUCKETS of
+hashes: each belongs to one of CLASSES classes (frequent buckets alone, the others dealt by frequency so that
+classes are about equally likely).  The network sees the classes of two words on each side of a masked word,
+sums one embedding per place, bends it by tanh and gives a softmax over classes; within its class a word has its
+share of the counts.  A document's score is the sum over its words of log P(word | both sides).
+
+Training: documents are dealt into shards of about SHARD_WORDS words by the hash of their id and text, so the
+result does not depend on how the table is split.  Each shard trains one network (numpy, Adagrad) in order of
+the hashes; networks are averaged, weighted by words, with exact sums: once after a quarter of all documents,
+and again after the others, which start from that average.  What is gathered grows with the input, and every
+document counts.  Only the classes of BUCKETS and the network are broadcast.
+
+Counts: a task lists the words of a chunk of text once, with the documents that hold them, and sends each
+list, packed, to the tasks that own its words.  An owner sees all lists of its words, sums their counts and
+answers with sums for each document of a chunk, which meet the network's part of the score there.
 
 Defined results: null text counts as empty; a text without words has 0 words, a sum of 0 and a null mean;
-an empty table gives an empty result; repeated rows repeat their score; other columns are ignored.
+an empty table gives an empty result; repeated rows repeat their score and are trained on in one shard; texts of
+any length are read whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,47 +38,30 @@ BUCKETS, CLASSES, WIDTH, SIDE = 1 << 16, 128, 16, 2
 #: Buckets with a class of their own; the last class stands for what lies beyond either end of a text.
 ALONE, EDGE = 96, CLASSES - 1
 BATCH, RATE = 8192, 0.15
+#: Words that one network is trained on, about; one document in FIRST trains before the first average.
+SHARD_WORDS, FIRST = 2_000_000, 4
+#: Bytes of text in a chunk.
+CHUNK = 4 * tx.SLICE_BYTES
+#: Averages and logarithms are sums of multiples of 1 / FIXED, which no order of adding changes.
+FIXED = float(1 << 30)
 PLACES = (*range(-SIDE, 0), *range(1, SIDE + 1))
 SHAPES = ((len(PLACES), CLASSES, WIDTH), (WIDTH, CLASSES), (CLASSES,))
 
 
-STORED = "chunk long, doc_id long, buckets binary, places binary, words array<long>, counts array<long>"
-
-
 def bucket_docs(docs: DataFrame) -> DataFrame:
-    """Documents and chunks in the shared folder.
-
-    A document has its words as little-endian u16 bucket numbers and u32 places in its chunk's list; the row of
-    a chunk, where buckets is null, has the list and how often each of its words stands in the chunk.
-    """
+    """(key, buckets) of all documents in the shared folder: words as little-endian u16 bucket numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 36
-        schema = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("buckets", pa.binary()), ("places", pa.binary()), ("words", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
         for batch in batches:
             for row, data, off in tx.slices(batch.column("text")):
                 word, first = tx.words(data, off, tx.BLANKS)
-                names, place, count = np.unique(word, return_inverse=True, return_counts=True)
                 k = len(off) - 1
-                cut = lambda raw, width: pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer((first * width).astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes())])  # noqa: B023, E731
-                none = [pa.nulls(k, t) for t in (pa.list_(pa.int64()),) * 2]
-                each = [pa.array(np.full(k, chunk)), batch.column("doc_id").slice(row, k), cut((word >> np.uint64(48)).astype("<u2"), 2), cut(place.astype("<u4"), 4), *none]
-                yield pa.RecordBatch.from_arrays(each, schema=schema)
-                if len(names):
-                    yield pa.RecordBatch.from_arrays([pa.array([chunk]), *[pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary())], pa.array([names.view(np.int64)], pa.list_(pa.int64())), pa.array([count], pa.list_(pa.int64()))], schema=schema)
-                chunk += 1
+                raw = (word >> np.uint64(48)).astype("<u2").tobytes()
+                column = pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer((first * 2).astype(np.int32).tobytes()), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(row, k), column], names=["key", "buckets"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return materialize(rows.mapInArrow(run, STORED), "lm-buckets", compression="zstd")
-
-
-def chunk_counts(stored: DataFrame) -> DataFrame:
-    """(chunk, totals): for each word of a chunk's list, in its order, how often it stands in all documents."""
-    listed = stored.where("buckets is null").select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select("chunk", "place", "x.words", "x.counts")
-    listed = materialize(listed, "lm-words", compression="zstd")
-    counted = listed.groupBy("words").agg(F.sum("counts").alias("total"))
-    back = listed.join(counted, "words").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("place", "total"))).alias("x"))
-    return materialize(back.select("chunk", F.col("x.total").alias("totals")), "lm-totals", compression="zstd")
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    return materialize(rows.mapInArrow(run, "key long, buckets binary"), "lm-buckets", compression="zstd")
 
 
 def binary_parts(column: pa.Array, limit: int = 200_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -173,72 +159,189 @@ def windows(of: np.ndarray, values: np.ndarray, off: np.ndarray) -> tuple[np.nda
     return padded[at], [padded[at + p] for p in PLACES]
 
 
-def train(rows: DataFrame, of: np.ndarray, prior: np.ndarray) -> list[np.ndarray]:
-    """Average of the tasks' networks, each trained on all documents of its task."""
-    shared = rows.sparkSession.sparkContext.broadcast((of, prior))
+def train(rows: DataFrame, of: np.ndarray, prior: np.ndarray, shards: int, begin: list[np.ndarray]) -> list[np.ndarray]:
+    """Average of the shards' networks, each trained on all of its documents from a common start."""
+    shared = rows.sparkSession.sparkContext.broadcast((of, prior, begin))
+    dealt = rows.withColumn("shard", F.pmod("key", F.lit(shards))).repartition(shards, "shard").sortWithinPartitions("shard", "key", "buckets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, prior = shared.value
-        net, seen = Network.fresh(prior), 0
-        memory = [np.full(s, 1e-8, np.float32) for s in SHAPES]
+        of, prior, begin = shared.value
+        shard, net, memory, seen = None, None, None, 0
+
+        def emit() -> pa.RecordBatch:
+            flat = np.concatenate([w.ravel() for w in (net.embed, net.out, net.bias)]).astype(np.float64)
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(np.rint(flat * FIXED).astype(np.int64)), pa.array(np.full(len(flat), seen))], names=["place", "value", "words"])
+
         for batch in batches:
-            for _, values, off in binary_parts(batch.column("buckets")):
-                target, context = windows(of, values, off)
-                for a in range(0, len(target), BATCH):
-                    net.train(target[a : a + BATCH], [c[a : a + BATCH] for c in context], memory)
-                seen += len(target)
+            shards = batch.column("shard").to_numpy()
+            for start, end in runs_of(shards):
+                if shards[start] != shard:
+                    if seen:
+                        yield emit()
+                    shard, net, seen = shards[start], Network([w.copy() for w in begin]), 0
+                    memory = [np.full(s, 1e-8, np.float32) for s in SHAPES]
+                for _, values, off in binary_parts(batch.column("buckets").slice(start, end - start)):
+                    target, context = windows(of, values, off)
+                    for a in range(0, len(target), BATCH):
+                        net.train(target[a : a + BATCH], [c[a : a + BATCH] for c in context], memory)
+                    seen += len(target)
         if seen:
-            flat = np.concatenate([w.ravel() for w in (net.embed, net.out, net.bias)]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], names=["place", "value", "words"])
+            yield emit()
 
-    total = rows.select("buckets").mapInArrow(run, "place long, value double, words double").groupBy("place").agg((F.sum("value") / F.sum("words")).alias("value")).toArrow()
+    exact = lambda c: F.col(c).cast("decimal(19,0)")
+    nets = dealt.select("shard", "buckets").mapInArrow(run, "place long, value long, words long")
+    total = nets.groupBy("place").agg((F.sum(exact("value") * exact("words")).cast("double") / F.sum("words")).alias("value")).toArrow()
     if not total.num_rows:
-        net = Network.fresh(prior)
-        return [net.embed, net.out, net.bias]
+        return begin
     flat = np.zeros(total.num_rows, np.float32)
-    flat[total["place"].to_numpy()] = total["value"].to_numpy()
+    flat[total["place"].to_numpy()] = total["value"].to_numpy() / FIXED
     edges = np.cumsum([int(np.prod(s)) for s in SHAPES])[:-1]
     return [w.reshape(s) for w, s in zip(np.split(flat, edges), SHAPES, strict=True)]
 
 
-def pseudo_likelihood(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, log_prob, mean_log_prob) of every row of docs, under the network trained on docs."""
-    stored = bucket_docs(docs)
-    rows = stored.where("buckets is not null")
+def runs_of(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """[start, end) of the runs of equal values."""
+    edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]])) if len(values) else np.zeros(1, int)
+    yield from zip(edge.tolist(), edge[1:].tolist(), strict=False)
+
+
+def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(class of each bucket, log of the words of each class, weights of the network)."""
+    rows = bucket_docs(docs)
     counts = count_buckets(rows)
     of, _, prior = classes(counts)
-    size = np.bincount(of, counts, CLASSES)
-    shared = docs.sparkSession.sparkContext.broadcast((of, np.log(np.maximum(size, 1)), train(rows, of, prior)))
-    none = lambda t: F.lit(None).cast(t)
-    lists = chunk_counts(stored).select("chunk", none("long").alias("doc_id"), none("binary").alias("buckets"), none("binary").alias("places"), "totals")
-    both = rows.select("chunk", "doc_id", "buckets", "places", none("array<long>").alias("totals")).union(lists)
-    # a chunk's list comes before its documents, so a task holds one list at a time
-    both = both.repartition("chunk").sortWithinPartitions("chunk", F.col("buckets").isNotNull())
+    fresh = Network.fresh(prior)
+    weights, early = [fresh.embed, fresh.out, fresh.bias], F.pmod(F.shiftright("key", 20), F.lit(FIRST)) == 0
+    shards = -(-int(counts.sum()) // SHARD_WORDS) or 1
+    for part in (early, ~early):
+        weights = train(rows.where(part), of, prior, shards, weights)
+    return of, np.log(np.maximum(np.bincount(of, counts, CLASSES), 1)), weights
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+ROW, LIST, SUMS = 0, 1, 2
+SENT = pa.schema([("part", pa.int32()), ("kind", pa.int8()), ("chunk", pa.int64()), ("run", pa.binary())])
+
+
+def pack_list(word: np.ndarray, doc: np.ndarray, count: np.ndarray, docs: int) -> bytes:
+    """Rows sorted by word: words | rows per word | documents | how often each holds the word."""
+    start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    wide, often = (4 if docs > 1 << 16 else 2), (1 if count.max() < 256 else 4)
+    head = np.array([len(start), len(word), wide, often], "<u4").tobytes()
+    return b"".join([head, word[start].astype("<u8").tobytes(), np.diff(np.append(start, len(word))).astype("<u4").tobytes(), doc.astype(f"<u{wide}").tobytes(), count.astype(f"<u{often}").tobytes()])
+
+
+def unpack_list(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    k, n, wide, often = np.frombuffer(raw, "<u4", 4).tolist()
+    at, out = 16, []
+    for kind, m in (("<u8", k), ("<u4", k), (f"<u{wide}", n), (f"<u{often}", n)):
+        out.append(np.frombuffer(raw, kind, m, at))
+        at += out[-1].nbytes
+    word, rows, doc, count = out
+    return word, rows.astype(np.int64), doc, count
+
+
+def pseudo_likelihood(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_words, log_prob, mean_log_prob) of every row of docs, under the network trained on docs."""
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared = spark.sparkContext.broadcast(fit(docs))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, size, weights = shared.value
-        net, share = Network(weights), np.zeros(0)
-        for whole in batches:
-            chunk = whole.column("chunk").to_numpy()
-            listed = ~np.asarray(whole.column("buckets").is_valid())
-            edge = np.flatnonzero(np.concatenate([[True], (chunk[1:] != chunk[:-1]) | listed[1:] | listed[:-1], [True]]))
-            for start, end in zip(edge.tolist(), edge[1:].tolist(), strict=False):
-                if listed[start]:
-                    share = np.log(whole.column("totals")[start].values.to_numpy())
-                    continue
-                batch = whole.slice(start, end - start)
-                place = np.frombuffer(batch.column("places").buffers()[2] or b"", np.uint8)
-                begin = np.frombuffer(batch.column("places").buffers()[1], np.int32)[batch.column("places").offset]
-                for row, values, off in binary_parts(batch.column("buckets")):
-                    here = place[begin : begin + 4 * len(values)].view("<u4")
-                    begin += 4 * len(values)
-                    target, context = windows(of, values, off)
-                    each = share[here] - size[target]
-                    for a in range(0, len(target), BATCH):
-                        each[a : a + BATCH] += net.log_probs(target[a : a + BATCH], [c[a : a + BATCH] for c in context])
-                    sums = np.concatenate([[0.0], np.cumsum(each)])
-                    n, total = np.diff(off), sums[off[1:]] - sums[off[:-1]]
-                    mean = pa.array(np.divide(total, n, out=np.zeros(len(n)), where=n > 0), mask=n == 0)
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(n)), pa.array(n), pa.array(np.where(n > 0, total, 0.0)), mean], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
+        net, chunk, held, bytes_ = Network(weights), TaskContext.get().partitionId() << 36, [], 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal chunk
+            ids, n, inner = pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            word = np.concatenate([h[3] for h in held])
+            measured = pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(inner)], names=["doc_id", "n_words", "inner"])
+            rows = [(chunk % parts, ROW, chunk, tx.ipc(measured))]
+            if len(word):
+                doc = np.repeat(np.arange(len(n)), n)
+                order = np.lexsort((doc, word))
+                word, doc = word[order], doc[order]
+                new = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])]))
+                count = np.diff(np.append(new, len(word)))
+                word, doc = word[new], doc[new]
+                to = (word % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                edge = np.searchsorted(to[order], np.arange(parts + 1))
+                for p, (a, b) in enumerate(zip(edge.tolist(), edge[1:].tolist(), strict=False)):
+                    if b > a:
+                        rows.append((p, LIST, chunk, pack_list(word[order[a:b]], doc[order[a:b]], count[order[a:b]], len(n))))
+            chunk += 1
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), SENT.types, strict=True)], schema=SENT)
+
+        for batch in batches:
+            for row, data, off in tx.slices(batch.column("text")):
+                word, first = tx.words(data, off, tx.BLANKS)
+                target, context = windows(of, (word >> np.uint64(48)).astype(np.int64), first)
+                each = -size[target]
+                for a in range(0, len(target), BATCH):
+                    each[a : a + BATCH] += net.log_probs(target[a : a + BATCH], [c[a : a + BATCH] for c in context])
+                doc = np.repeat(np.arange(len(off) - 1), np.diff(first))
+                inner = np.bincount(doc, np.rint(each * FIXED) / FIXED, len(off) - 1)
+                held.append((batch.column("doc_id").slice(row, len(off) - 1), np.diff(first), inner, word))
+                bytes_ += len(data)
+                if bytes_ >= CHUNK:
+                    yield flush()
+                    bytes_ = 0
+        if held:
+            yield flush()
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            listed = np.asarray(batch.column("kind")) == LIST
+            yield batch.filter(pa.array(~listed))
+            held += [(c, run.as_py()) for c, run in zip(batch.column("chunk").filter(pa.array(listed)).to_pylist(), batch.column("run").filter(pa.array(listed)), strict=True)]
+        if not held:
+            return
+        word, total = [], []
+        for _, raw in held:
+            words, rows, _, count = unpack_list(raw)
+            word.append(words)
+            total.append(np.add.reduceat(count.astype(np.int64), np.cumsum(rows) - rows))
+        names, at = np.unique(np.concatenate(word), return_inverse=True)
+        total = np.bincount(at, np.concatenate(total), len(names))
+        each = np.rint(np.log(total) * FIXED) / FIXED
+        begin, part = 0, TaskContext.get().partitionId()
+        for chunk, raw in held:
+            words, rows, doc, count = unpack_list(raw)
+            log = np.repeat(each[at[begin : begin + len(words)]], rows)
+            begin += len(words)
+            sums = np.bincount(doc, log * count)
+            pick = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([SUMS], pa.int8()), pa.array([chunk]), pa.array([pick.astype("<u4").tobytes() + sums[pick].tobytes()], pa.binary())], schema=SENT)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, known, inner = None, None, None
+
+        def emit() -> pa.RecordBatch:
+            n = known.column("n_words").to_numpy()
+            mean = pa.array(np.divide(inner, n, out=np.zeros(len(n)), where=n > 0), mask=n == 0)
+            return pa.RecordBatch.from_arrays([known.column("doc_id"), known.column("n_words"), pa.array(inner), mean], names=["doc_id", "n_words", "log_prob", "mean_log_prob"])
+
+        for batch in batches:
+            for kind, chunk, run in zip(batch.column("kind").to_pylist(), batch.column("chunk").to_pylist(), batch.column("run"), strict=True):
+                if chunk != current:
+                    if current is not None:
+                        yield emit()
+                    current = chunk
+                if kind == ROW:  # the first of its chunk
+                    known = pa.ipc.open_stream(run.as_buffer()).read_next_batch()
+                    inner = known.column("inner").to_numpy().copy()
+                else:
+                    raw = run.as_py()
+                    k = len(raw) // 12
+                    inner[np.frombuffer(raw, "<u4", k)] += np.frombuffer(raw, "<f8", k, 4 * k)
+        if current is not None:
+            yield emit()
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    schema = "part int, kind byte, chunk long, run binary"
+    answers = rows.mapInArrow(send, schema).repartition(parts, "part").mapInArrow(answer, schema)
+    both = answers.select("kind", "chunk", "run").repartition(parts, "chunk").sortWithinPartitions("chunk", "kind")
+    return both.mapInArrow(add, "doc_id long, n_words long, log_prob double, mean_log_prob double")
 
-    return both.mapInArrow(run, "doc_id long, n_words long, log_prob double, mean_log_prob double")

@@ -199,8 +199,9 @@ def shingles(data: np.ndarray, off: np.ndarray, n: int = 5) -> tuple[np.ndarray,
     return h[keep], np.searchsorted(doc[keep], np.arange(len(per) + 1))
 
 
-def crc_fold(text: str) -> int:
-    """The fold of a document id: crc32 of its decimal text, modulo 5."""
-    import zlib
-
-    return zlib.crc32(text.encode()) % 5
+def ipc(batch: pa.RecordBatch) -> bytes:
+    """A small batch as one binary value, so that it travels as one row."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
