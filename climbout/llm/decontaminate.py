@@ -1,17 +1,22 @@
 """Benchmark decontamination with a generalised suffix automaton of the items' words.
 
-The automaton of all normalised items is built once and broadcast; its size is linear in the benchmark,
-which is checked, and a larger benchmark goes through the corpus in blocks of items.  Tasks stream the
+Tasks build automata of blocks of items, at most BLOCK_WORDS words each; their arrays, linear in the words, are
+broadcast, at most PASS_BLOCKS of them at once.  A larger benchmark takes several passes over the corpus, with the
+hits so far written to the shared folder between them, so no more than one pass's automata are ever held.  Tasks stream the
 words of every whole document: a word outside the items' vocabulary ends a match, so only runs of known
 words that could hold a match walk the automaton, which tracks the longest matching length.  A match as
 long as the window marks its words as hit.
 
-Defined results: null text, in documents or items, has no words; items without words never occur; equal
-items all count; an empty benchmark leaves all documents clean; other columns are ignored.
+Defined results: null text, in documents or items, has no words; items without words never occur; equal items and
+rows that repeat an item_id all count; an item without item_id marks words, but is neither listed nor counted; repeated
+documents are judged one by one; texts of any length are read whole; an empty benchmark leaves all documents
+clean; an empty table gives an empty result; other columns are ignored (`remove_spans` hands them on).
 """
 
 from __future__ import annotations
 
+import pickle
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .shared import materialize
 
-#: Words of one automaton at most; more items are dealt into several automata, one pass each.
-BLOCK_WORDS = 2_000_000
+#: Words of one automaton at most (or one longer item), and automata of one pass.
+BLOCK_WORDS, PASS_BLOCKS = 250_000, 8
 
 
 class Automaton:
@@ -45,14 +51,35 @@ class Automaton:
             size = min(window, len(word))
             state, held = 0, 0
             for c in word:
-                state, held = self.step(state, held, c)
+                state, held = self.walk(state, held, c)
                 if held >= size:
                     self.ends[self.at_least(state, size)].setdefault(size, set()).add(k)
         order = sorted(range(1, len(self.next)), key=self.length.__getitem__)
-        self.sizes: list[tuple[tuple[int, frozenset[int]], ...]] = [()] * len(self.next)
+        self.sizes: dict[int, tuple[tuple[int, frozenset[int]], ...]] = {}
         for v in order:  # a match that reaches a state also ends in all of its suffixes
-            self.sizes[v] = (*self.sizes[self.link[v]], *((n, frozenset(k)) for n, k in sorted(self.ends[v].items())))
+            if own := (*self.sizes.get(self.link[v], ()), *((n, frozenset(k)) for n, k in sorted(self.ends[v].items()))):
+                self.sizes[v] = own
         self.shortest = min((min(window, len(w)) for w in coded), default=1)
+        self.freeze()
+
+    def freeze(self) -> None:
+        """Keep arrays: most states have one edge at most; the edges of the others stay in one table."""
+        self.only, self.then, self.more = array("i"), array("i"), {}
+        for v, edges in enumerate(self.next):
+            c, to = next(iter(edges.items())) if len(edges) == 1 else (-2, -1)
+            self.only.append(c)
+            self.then.append(to)
+            if len(edges) > 1:
+                self.more[v] = edges
+        self.link, self.length = array("i", self.link), array("i", self.length)
+        del self.next, self.ends
+
+    def edge(self, state: int, c: int) -> int:
+        """The next state, or -1; of the finished automaton."""
+        if self.only[state] == c:
+            return self.then[state]
+        edges = self.more.get(state)
+        return -1 if edges is None else edges.get(c, -1)
 
     def _extend(self, last: int, c: int) -> int:
         if c in self.next[last]:
@@ -84,8 +111,8 @@ class Automaton:
             p = self.link[p]
         return copy
 
-    def step(self, state: int, held: int, c: int) -> tuple[int, int]:
-        """State and longest matching length after one more word."""
+    def walk(self, state: int, held: int, c: int) -> tuple[int, int]:
+        """State and longest matching length after one more word, while the automaton is built."""
         while state and c not in self.next[state]:
             state = self.link[state]
             held = self.length[state]
@@ -93,6 +120,15 @@ class Automaton:
             return self.next[state][c], held + 1
         return 0, 0
 
+    def step(self, state: int, held: int, c: int) -> tuple[int, int]:
+        """State and longest matching length after one more word."""
+        to = self.edge(state, c)
+        while to < 0 and state:
+            state = self.link[state]
+            held = self.length[state]
+            to = self.edge(state, c)
+        return (to, held + 1) if to >= 0 else (0, 0)
+
     def at_least(self, state: int, size: int) -> int:
         """The shortest suffix of a state's strings that still has `size` words lies in this state."""
         while self.length[self.link[state]] >= size:
@@ -125,7 +161,7 @@ class Automaton:
             for i, c in enumerate(codes[a:b].tolist(), a):
                 state, held = self.step(state, held, c)
                 most = max(most, held)
-                for size, items in self.sizes[state]:
+                for size, items in self.sizes.get(state, ()):
                     if size <= held:
                         hit[i - size + 1 : i + 1] = True
                         found += [(i, k) for k in items]
@@ -139,36 +175,56 @@ STATE = "doc_id long, text string, bits binary, longest long, items array<string
 FOUND = "doc_id long, n_words long, n_hit long, longest long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
-def blocks(benchmark: DataFrame, window: int) -> list[tuple[list[str], Automaton]]:
-    """The benchmark's items in automata of at most BLOCK_WORDS words each (or one longer item)."""
+def blocks(benchmark: DataFrame, window: int) -> DataFrame:
+    """(block): pickled (item ids, automaton) of at most BLOCK_WORDS words each, built where the items stand."""
+    limit = BLOCK_WORDS
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, items, size = [], [], 0
+
+        def emit() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps((names, Automaton(items, window)))], pa.binary())], names=["block"])
+
+        for batch in batches:
+            ids = batch.column("item_id").to_pylist()
+            for row, data, off in tx.slices(batch.column("text")):
+                word, first = tx.words(data, off, tx.ALNUM)
+                for k in range(len(off) - 1):
+                    if first[k] == first[k + 1]:
+                        continue
+                    if items and size + first[k + 1] - first[k] > limit:
+                        yield emit()
+                        names, items, size = [], [], 0
+                    names.append(ids[row + k])
+                    items.append(word[first[k] : first[k + 1]])
+                    size += len(items[-1])
+        if items:
+            yield emit()
+
     rows = benchmark.select(F.col("item_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
-    out, names, items, size = [], [], [], 0
-    for name, body in rows.toLocalIterator():
-        for _, data, off in tx.slices(pa.array([body])):
-            word, _ = tx.words(data, off, tx.ALNUM)
-            if not len(word):
-                continue
-            if items and size + len(word) > BLOCK_WORDS:
-                out.append((names, Automaton(items, window)))
-                names, items, size = [], [], 0
-            names.append(name)
-            items.append(word)
-            size += len(word)
-    return [*out, (names, Automaton(items, window))] if items or not out else out
+    return materialize(rows.mapInArrow(build, "block binary"), "benchmark-blocks")
+
+
+def passes(benchmark: DataFrame, window: int) -> Iterator[tuple[list, bool]]:
+    """(broadcast blocks, whether they are the last ones), PASS_BLOCKS at most at a time."""
+    sc, held = benchmark.sparkSession.sparkContext, []
+    for row in blocks(benchmark, window).toLocalIterator():
+        if len(held) == PASS_BLOCKS:
+            yield held, False
+            held = []
+        held.append(sc.broadcast(bytes(row.block)))
+    yield held or [sc.broadcast(pickle.dumps(([], Automaton([], window))))], True
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """Per document: words, hit words, longest match, ids of items with occurring windows, hit byte spans.
 
-    Spans are [start, end) byte offsets into the UTF-8 text.  A benchmark of several blocks takes one pass
-    each in a row, without a shuffle; every pass adds its hits to those of the passes before.
+    Spans are [start, end) byte offsets into the UTF-8 text.  A benchmark of several passes needs no shuffle; every
+    pass adds its hits to those of the passes before.
     """
-    sc = docs.sparkSession.sparkContext
     none = F.lit(None)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), none.cast("binary").alias("bits"), F.lit(0).cast("long").alias("longest"), F.expr("cast(array() as array<string>)").alias("items"))
-    dealt = blocks(benchmark, window)
-    for k, block in enumerate(dealt):
-        shared, last = sc.broadcast(block), k == len(dealt) - 1
+    for shared, last in passes(benchmark, window):
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -176,40 +232,62 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFram
                 most = batch.column("longest").to_numpy()
                 for row, data, off in tx.slices(batch.column("text")):
                     n = len(off) - 1
-                    found = scan_slice(shared.value, data, off, before["bits"][row : row + n], before["items"][row : row + n], most[row : row + n], last)
+                    found = scan_slice(shared, data, off, before["bits"][row : row + n], before["items"][row : row + n], most[row : row + n], last)
                     if last:
                         yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, n), *found], names=["doc_id", "n_words", "n_hit", "longest", "items", "spans"])
                     else:
                         yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, n), batch.column("text").slice(row, n), *found], names=["doc_id", "text", "bits", "longest", "items"])
 
         rows = rows.mapInArrow(scan, FOUND if last else STATE)
+        if not last:
+            rows = materialize(rows, "benchmark-hits")
+            for block in shared:
+                block.unpersist()
     return rows
 
 
-def scan_slice(block: tuple[list[str], Automaton], data: np.ndarray, off: np.ndarray, bits: list, items: list[list[str]], most: np.ndarray, last: bool) -> list[pa.Array]:
+_loaded: dict[int, tuple[list, Automaton]] = {}
+
+
+def loaded(block) -> tuple[list, Automaton]:
+    """The block of a broadcast; a worker keeps the last PASS_BLOCKS of them."""
+    key = hash(block.value)
+    if key not in _loaded:
+        while len(_loaded) >= PASS_BLOCKS:
+            _loaded.pop(next(iter(_loaded)))
+        _loaded[key] = pickle.loads(block.value)
+    return _loaded[key]
+
+
+def scan_slice(shared: list, data: np.ndarray, off: np.ndarray, bits: list, items: list[list[str]], most: np.ndarray, last: bool) -> list[pa.Array]:
     """The output columns of one pass over one slice, without doc_id and text."""
-    names, automaton = block
     start, end, first = tx.spans(data, off, tx.ALNUM)
-    hit, found, longest = automaton.scan(tx.Prefix(tx.LOWER[data]).spans(start, end), first)
-    longest = np.maximum(longest, most)
+    hashes = tx.Prefix(tx.LOWER[data]).spans(start, end)
+    hit = np.zeros(len(hashes), bool)
     for d, old in enumerate(bits):
         if old is not None:
             a, b = first[d], first[d + 1]
             hit[a:b] |= np.unpackbits(np.frombuffer(old, np.uint8), count=int(b - a)).astype(bool)
-    for d, k in {(int(np.searchsorted(first, i, "right")) - 1, k) for i, k in set(found)}:
-        items[d] = [*items[d], names[k]]
+    for block in shared:
+        names, automaton = loaded(block)
+        own, found, longest = automaton.scan(hashes, first)
+        hit |= own
+        most = np.maximum(longest, most)
+        for d, k in {(int(np.searchsorted(first, i, "right")) - 1, k) for i, k in set(found)}:
+            if names[k] is not None:
+                items[d] = [*items[d], names[k]]
     items = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
     sums = np.concatenate([[0], np.cumsum(hit)])
     n_hit = sums[first[1:]] - sums[first[:-1]]
     if not last:
         packed = [np.packbits(hit[first[d] : first[d + 1]]).tobytes() if n else None for d, n in enumerate(n_hit.tolist())]
-        return [pa.array(packed, pa.binary()), pa.array(longest), items]
+        return [pa.array(packed, pa.binary()), pa.array(most), items]
     runs: list[list[dict]] = [[] for _ in bits]
     for d in np.flatnonzero(n_hit).tolist():
         a, b = int(first[d]), int(first[d + 1])
         edge = np.diff(np.concatenate([[0], hit[a:b].astype(np.int8), [0]]))
         runs[d] = [{"start": int(start[a + x] - off[d]), "end": int(end[a + y - 1] - off[d])} for x, y in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
-    return [pa.array(np.diff(first)), pa.array(n_hit), pa.array(longest), items, pa.array(runs, pa.list_(SPAN))]
+    return [pa.array(np.diff(first)), pa.array(n_hit), pa.array(most), items, pa.array(runs, pa.list_(SPAN))]
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5) -> DataFrame:
@@ -218,13 +296,10 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_co
     Keeps all columns and the order of the remaining text; a document without hits is left as it is.  Rows are
     cut where they stand, so nothing is joined or shuffled and rows that repeat a doc_id are judged one by one.
     """
-    sc = docs.sparkSession.sparkContext
     columns = docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(columns))]).withColumn("bits", F.lit(None).cast("binary"))
     text = f"c{columns.index('text')}"
-    dealt = blocks(benchmark, window)
-    for k, block in enumerate(dealt):
-        shared, last = sc.broadcast(block), k == len(dealt) - 1
+    for shared, last in passes(benchmark, window):
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -232,7 +307,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_co
                 for row, data, off in tx.slices(batch.column(text)):
                     n = len(off) - 1
                     part = batch.slice(row, n)
-                    found = scan_slice(shared.value, data, off, bits[row : row + n], [[] for _ in range(n)], np.zeros(n, np.int64), last)
+                    found = scan_slice(shared, data, off, bits[row : row + n], [[] for _ in range(n)], np.zeros(n, np.int64), last)
                     if not last:
                         yield part.set_column(part.schema.get_field_index("bits"), "bits", found[0])
                         continue
@@ -245,6 +320,10 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_co
                     yield part.filter(pa.array(fine))
 
         rows = rows.mapInArrow(scan, rows.drop("bits").schema if last else rows.schema)
+        if not last:
+            rows = materialize(rows, "benchmark-hits")
+            for block in shared:
+                block.unpersist()
     return rows.toDF(*columns)
 
 

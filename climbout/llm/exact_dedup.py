@@ -2,13 +2,16 @@
 
 Each input partition is a memtable: it flushes one run, sorted by digest, as a Parquet file with a Bloom
 filter on the digest, into the shared folder.  Compaction merges the runs: for every digest it counts the
-rows and keeps the winner and the smallest identifier, combining before the shuffle.  Digests that occur
+rows and keeps the winner and the smallest identifier, combining before the shuffle, and writes the
+next level, sorted within each file.  (The merge itself is Spark's aggregation; it does not rely on the order of the runs.)  `lookup` asks an
+index for a few digests: file ranges and filters skip all row groups that cannot hold them.  Digests that occur
 more than once are hits; every row of a hit is verified byte by byte against its winner's text, and rows
 that differ form groups of their own, so results are exact for any digest.
 
 Defined results: null text counts as empty; null doc_id sorts last; rows that repeat a doc_id are rows of
 their own, and all rows equal to the winner in doc_id and length are marked as kept (`survivors` returns
-one of them); an empty table gives an empty result; other columns are ignored, whatever their names.
+one of them); of equal lengths the smallest doc_id wins; texts of any length are read whole; an empty table gives
+an empty result; other columns are ignored, whatever their names (`survivors` hands them on).
 """
 
 from __future__ import annotations
@@ -48,6 +51,11 @@ def compact(runs: DataFrame) -> DataFrame:
     return materialize(level.sortWithinPartitions("digest"), "lsm-level1", **{"parquet.bloom.filter.enabled#digest": "true"})
 
 
+def lookup(index: DataFrame, digests: list[bytes]) -> DataFrame:
+    """The rows of a level for some digests; the predicate reaches the scan, whose Bloom filters prune row groups."""
+    return index.where(F.col("digest").isin([bytearray(d) for d in digests]))
+
+
 def verify(docs: DataFrame, hits: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """(doc_id, digest, points, same, text): every row of a hit against its winner; text only where it differs.
 

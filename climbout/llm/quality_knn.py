@@ -6,8 +6,9 @@ The labelled vectors, bounded by MAX_LABELLED x RANK, are broadcast; every docum
 products with all of them, in blocks, and its K nearest neighbours vote with weights by similarity.
 
 Defined results: null text counts as empty and gets a score like any other; without labelled rows every
-score is 0.5; equal similarities are taken in order of the labelled ids; repeated rows repeat their score;
-other columns are ignored.
+score is 0.5; equal similarities are taken in order of the labelled ids; of labelled rows that share an id the
+smallest text counts; repeated rows repeat their score; an empty table gives an empty result; other columns are
+ignored (`keep_good` hands them on).
 """
 
 from __future__ import annotations
@@ -93,7 +94,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, limit: int)
     rows = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
     rows = rows.select(F.col("doc_id").cast("long").alias("_id"), F.col(target).cast("int").alias("y")).dropDuplicates(["_id"])
     picked = rows.orderBy(F.xxhash64("_id"), "_id").limit(limit)
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).drop("_id")
+    found = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))  # rows that share an id are one
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -134,6 +136,10 @@ def vote(vectors: np.ndarray, labelled: np.ndarray, y: np.ndarray) -> np.ndarray
     similar = vectors @ labelled.T
     k = min(K, len(y))
     near = np.argpartition(-similar, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(similar, near, 1).min(1)
+    for row in np.flatnonzero((similar >= least[:, None]).sum(1) > k):  # ties at the edge: the first ids
+        near[row] = np.argsort(-similar[row], kind="stable")[:k]
+    near.sort(axis=1)
     weight = np.clip(np.take_along_axis(similar, near, 1), 1e-3, 1).astype(float) ** POWER
     return (weight * y[near]).sum(1) / weight.sum(1)
 

@@ -50,7 +50,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), window=10)
     ids = F.sha2(F.encode(F.concat_ws(",", F.array_sort("items")), "UTF-8"), 256)
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "longest")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,8 +108,31 @@ def _url_sql() -> str:
         from r"""
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLES = {
+    "op5_decontamination": rf"""
+        with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+        b as (select item_id, row_number() over () as item, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+        sized as (select *, least(10, len(w)) as size from b where len(w) > 0),
+        windows as (select distinct item, item_id, size, array_to_string(w[i : i + size - 1], ' ') as win from (select *, unnest(range(1, len(w) - size + 2)) as i from sized)),
+        placed as (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i from d, (select distinct size from sized)),
+        found as (select p.doc_id, p.i, p.size, x.item, x.item_id from (select doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') as win from placed) p join windows x on p.win = x.win and p.size = x.size),
+        hits as (select doc_id, count(distinct k) as n_hit from (select distinct doc_id, unnest(range(i, i + size)) as k from found) group by doc_id),
+        items as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids from (select distinct doc_id, item, cast(item_id as varchar) as item_id from found where item_id is not null) group by doc_id)
+        select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join hits using (doc_id) left join items using (doc_id)""",
     "op6_url_filter": _url_sql(),
+    "op7_jaccard_join": rf"""
+        with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') as w from documents),
+        s as (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+        n as (select doc_id, count(*) as n from s group by doc_id),
+        shared as (select x.doc_id as a, y.doc_id as b, count(*) as c from s x join s y on x.g = y.g and x.doc_id <> y.doc_id group by x.doc_id, y.doc_id),
+        links as (select a, b from shared join n p on p.doc_id = a join n q on q.doc_id = b where 100 * c >= 80 * (p.n + q.n - c)),
+        r(doc_id, reach) as (select doc_id, doc_id from d union select r.doc_id, links.b from r join links on links.a = r.reach)
+        select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id
+        from d left join n using (doc_id) join (select doc_id, min(reach) as component_id from r group by doc_id) m using (doc_id)""",
     "op10_exact_dedup": r"""
         with t as (
             select doc_id, length(coalesce(text, '')) as points,

@@ -18,10 +18,12 @@ HOT_SHARE = 1e-3
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which the driver and all executors see.
 
-    Where the session names none (tests on one machine), a temporary folder takes its place.
+    Where the session names none, a temporary folder takes its place on a local master (tests); a cluster must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="climbout-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -32,9 +34,13 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
 
     The shuffle files that made the table go as soon as it is written.
     """
-    path = shared_folder(df.sparkSession, name)
-    df.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    df.write.options(**options).parquet(path)
+    path, conf, key = shared_folder(df.sparkSession, name), df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -63,16 +69,23 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of every node of the edges (a, b): the smallest node that links reach.
 
     Minimum labels spread along edges and labels of labels are followed (pointer jumping) until nothing
-    changes.  Messages are combined before the shuffle, so a hub of any degree costs no task more than others.
+    changes.  Labels are broadcast while they are few; beyond, the edges of a hub and the members of a large
+    component meet their label by `attach`, which keeps hot keys where they are, and messages are combined before the
+    shuffle.
     """
     both = materialize(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), name)
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")), name)
+    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component"), F.count("*").alias("n")), name)
+    few = labels.count() <= BROADCAST_ROWS
+    meet = lambda left, right, key: left.join(F.broadcast(right.drop("n")), key) if few else attach(left, right, [key], "inner").drop("n")
     while True:
-        told = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("heard"))
-        nearer = labels.join(told, labels.node == told.a, "left").select("node", F.col("component").alias("old"), F.least("component", "heard").alias("near"))
+        heard = meet(both.select("a", F.col("b").alias("node")), labels, "node").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("heard"))
+        nearer = labels.join(heard, "node").select("node", "n", F.col("component").alias("old"), F.least("component", "heard").alias("near"))
         up = labels.select(F.col("node").alias("near"), F.col("component").alias("far"))
-        moved = nearer.join(up, "near", "left").select("node", F.least("near", F.coalesce("far", "near")).alias("component"), "old")
+        if not few:
+            nearer = materialize(nearer, name)
+            up = up.join(nearer.groupBy("near").agg(F.count("*").alias("n")), "near")
+        moved = meet(nearer.withColumnRenamed("n", "degree"), up, "near").select("node", F.least("near", "far").alias("component"), F.col("degree").alias("n"), "old")
         new = materialize(moved, name)
-        labels = new.select("node", "component")
+        labels = new.drop("old")
         if new.where("component <> old").isEmpty():
-            return labels
+            return labels.select("node", "component")

@@ -106,7 +106,7 @@ class Packer:
                 part = [c[pick] for c in rows]
                 out += self.pack(kind, part, part[0] ^ part[1] if kind == 1 else part[0])
         if len(covered[0]):
-            out += self.pack(3, covered, covered[1])
+            out += self.pack(3, covered, covered[2].view(np.uint64) ^ covered[3].view(np.uint64))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int8(), pa.binary()), strict=True)], names=["part", "hot", "run"])
 
     def pack(self, kind: int, rows: list[np.ndarray], key: np.ndarray) -> list[tuple[int, int, bytes]]:

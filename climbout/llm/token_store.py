@@ -4,13 +4,15 @@ A shard follows the public zstandard seekable format: ordinary frames, then one
 compressed size, the plain size and the low 32 bits of xxh64 of each frame, so any zstandard tool can
 decompress it and a reader can fetch one frame alone.  A frame holds whole documents:
 
-    n u32 | width u32 | doc_id i64 * n | tokens u64 * n | ids (u16 or u32, little-endian)
+    n u32 | width u32 | rows without doc_id u32 | 0 u32 | doc_id i64 * n | tokens u64 * n | ids (u16 or u32, little-endian)
 
-Rows are sorted by doc_id over all shards.  A shard is written under a name of its own attempt, and only
+Rows are sorted by doc_id over all shards; those without doc_id come first.  A shard is written under a name of its own attempt, and only
 the attempts whose manifest rows Spark commits are ever read, so retries leave no half shard behind.
 
-Defined results: null text counts as empty; a null doc_id sorts first and is stored as the smallest i64;
-equal doc_ids are ordered by text; an empty table gives no shards.
+Defined results: null text counts as empty; a null doc_id sorts first and reads back as null; equal doc_ids are
+ordered by the hash of their text, then by text, and may be dealt over several shards, while rows repeated as a whole
+lie in one; a text of any length is one document of one frame; an empty table gives no shards; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +32,9 @@ from .shared import materialize, shared_folder
 
 #: Plain bytes after which a frame is closed; a longer document has a frame of its own.
 FRAME_BYTES = 1 << 20
+#: Packed bytes that a task reads back, about, and neighbouring frames that stay together.
+READ_BYTES, READ_FRAMES = 8 << 20, 8
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
-NAMELESS = -(1 << 63)
 MANIFEST = "shard int, path string, frame int, first_doc long, last_doc long, docs long, tokens long, frame_bytes long"
 
 
@@ -42,16 +45,17 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def pack_frame(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, width: int) -> bytes:
-    head = struct.pack("<II", len(doc_ids), width)
+def pack_frame(doc_ids: np.ndarray, nameless: int, counts: np.ndarray, ids: np.ndarray, width: int) -> bytes:
+    head = struct.pack("<IIII", len(doc_ids), width, nameless, 0)
     return head + doc_ids.astype("<i8").tobytes() + counts.astype("<u8").tobytes() + ids.astype(f"<u{width}").tobytes()
 
 
-def unpack_frame(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, width = struct.unpack_from("<II", raw)
-    doc_ids = np.frombuffer(raw, "<i8", n, 8)
-    counts = np.frombuffer(raw, "<u8", n, 8 + 8 * n).astype(np.int64)
-    return doc_ids, counts, np.frombuffer(raw, f"<u{width}", -1, 8 + 16 * n)
+def unpack_frame(raw: bytes) -> tuple[np.ndarray, int, np.ndarray, np.ndarray]:
+    """(doc_ids, how many of the first ones are null, ids per document, ids)."""
+    n, width, nameless, _ = struct.unpack_from("<IIII", raw)
+    doc_ids = np.frombuffer(raw, "<i8", n, 16)
+    counts = np.frombuffer(raw, "<u8", n, 16 + 8 * n).astype(np.int64)
+    return doc_ids, nameless, counts, np.frombuffer(raw, f"<u{width}", -1, 16 + 16 * n)
 
 
 class ShardWriter:
@@ -122,14 +126,15 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
             if not held:
                 return
             writer = writer or ShardWriter(path)
-            names, counts, ids = (np.concatenate(x) for x in zip(*held, strict=True))
-            packed = writer.frame(pack_frame(names, counts, ids, width))
+            names, null, counts, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+            packed = writer.frame(pack_frame(names, int(null.sum()), counts, ids, width))
             rows.append((shard, path, len(rows), int(names[0]), int(names[-1]), len(names), int(counts.sum()), packed))
             held, size = [], 0
 
         filesystem(folder)[0].create_dir(filesystem(folder)[1], recursive=True)
         for batch in batches:
-            names = batch.column("doc_id").fill_null(NAMELESS).to_numpy(zero_copy_only=False)
+            null = np.asarray(batch.column("doc_id").is_null())
+            names = batch.column("doc_id").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
             for row, data, off in tx.slices(batch.column("text")):
                 ids, first = enc.ids(data, off)
                 counts = np.diff(first)
@@ -142,7 +147,7 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
                     base = ends[at - 1] if at else 0
                     stop = max(at + 1, int(np.searchsorted(ends, base + (frame_bytes - size) // width, "right")))
                     stop = min(stop, len(counts))
-                    held.append((names[row + at : row + stop], counts[at:stop], ids[base : ends[stop - 1]]))
+                    held.append((names[row + at : row + stop], null[row + at : row + stop], counts[at:stop], ids[base : ends[stop - 1]]))
                     size += int(ends[stop - 1] - base) * width
                     at = stop
                     if size >= frame_bytes or at < len(counts):
@@ -153,8 +158,9 @@ def write_tokens(docs: DataFrame, folder: str | None = None, tokenizer: str | No
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=MANIFEST_NAMES).cast(MANIFEST_ARROW)
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").asc()).sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("name", F.xxhash64("text"))
+    # the hash of the text lets ranges split rows that share a doc_id or have none
+    rows = rows.repartitionByRange("doc_id", "name").sortWithinPartitions("doc_id", "name", "text").drop("name")
     return materialize(rows.mapInArrow(write, MANIFEST), "token-manifest")
 
 
@@ -169,11 +175,11 @@ def read_tokens(manifest: DataFrame, doc_ids: list[int] | None = None) -> DataFr
     start counts the ids of all documents before, over all shards.
     """
     spark = manifest.sparkSession
-    totals = manifest.groupBy("shard").agg(F.sum("tokens").alias("tokens")).orderBy("shard").collect()  # one row per shard
-    base, seen = [], 0
-    for shard, tokens in totals:
+    totals = manifest.groupBy("shard").agg(F.sum("tokens").alias("tokens"), F.sum("frame_bytes").alias("size")).orderBy("shard").collect()  # one row per shard
+    base, seen, size = [], 0, 0
+    for shard, tokens, packed in totals:
         base.append((shard, seen))
-        seen += tokens
+        seen, size = seen + tokens, size + packed
     from pyspark.sql import Window
 
     before = F.sum("tokens").over(Window.partitionBy("shard").orderBy("frame")) - F.col("tokens")
@@ -186,17 +192,19 @@ def read_tokens(manifest: DataFrame, doc_ids: list[int] | None = None) -> DataFr
     pick = None if doc_ids is None else np.array(sorted(doc_ids), np.int64)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        readers: dict[str, ShardReader] = {}
+        reader = (None, None)
         for batch in batches:
             for path, frame, start in zip(*(batch.column(c).to_pylist() for c in ("path", "frame", "start")), strict=True):
-                if path not in readers:
-                    readers = {path: ShardReader(path)}
-                names, counts, ids = unpack_frame(readers[path].frame(frame))
+                if reader[0] != path:
+                    reader = (path, ShardReader(path))
+                names, nameless, counts, ids = unpack_frame(reader[1].frame(frame))
                 starts = start + np.cumsum(counts) - counts
                 raw = ids.astype("<u4").tobytes()
                 edge = np.concatenate([[0], np.cumsum(counts)]) * 4
                 column = pa.Array.from_buffers(pa.large_binary(), len(names), [None, pa.py_buffer(edge.astype(np.int64).tobytes()), pa.py_buffer(raw)])
-                got = pa.RecordBatch.from_arrays([pa.array(names, mask=names == NAMELESS), pa.array(starts), pa.array(counts), column.cast(pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
-                yield got if pick is None else got.filter(pa.array(np.isin(names, pick)))
+                got = pa.RecordBatch.from_arrays([pa.array(names, mask=np.arange(len(names)) < nameless), pa.array(starts), pa.array(counts), column.cast(pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+                yield got if pick is None else got.filter(pa.array(np.isin(names, pick) & (np.arange(len(names)) >= nameless)))
 
-    return frames.select("path", "frame", "start").repartition("path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    parts = max(1, -(-size // READ_BYTES), spark.sparkContext.defaultParallelism)
+    dealt = frames.select("path", "frame", "start").repartition(parts, "path", F.floor(F.col("frame") / READ_FRAMES)).sortWithinPartitions("path", "frame")
+    return dealt.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")

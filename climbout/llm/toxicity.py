@@ -2,14 +2,17 @@
 
 Words become categories: insult, threat, target, negation, report, or other.  Insult terminals are words
 and word beginnings: a short fixed list and those that the labelled rows of the training folds single out.
-Small transducers, composed in a row, read each clause that holds an insult or a threat: one attaches
-targets, one flips what stands after a negation, one marks reported speech.  What comes out is a matched
-clause of one of six kinds; a document's counts of kinds, with weights fitted by logistic regression on the
-training sample, give its score.  Words outside matched clauses never count.
+Sequential transducers with weighted arcs read each clause that holds an insult or a threat.  They are composed, the
+output tape of one is the input tape of the next: INSULTING and THREATENING join the words of one match; LED_BY
+(from the end) and AIMING (from the front) attach targets; NEGATING flips what a negation reaches; QUOTING marks
+reported speech.  What comes out are the matches of a clause, each of one of six kinds, and the weight of the path.
+A document's counts of kinds and its summed weight, scaled by logistic regression on the training sample, give its
+score.  Words outside matched clauses never count.
 
 Defined results: null text counts as empty; texts without a matched clause all get the same base score;
-without labelled rows the fixed list works with fixed weights; repeated rows repeat their score; other
-columns are ignored.
+without labelled rows the fixed list works with fixed weights; of terms of equal evidence those with the smaller hashes
+are learned; repeated rows repeat their score; texts of any length are read whole; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ TARGETS = ("you", "your", "he", "she", "they", "them", "people", "everyone", "du
 NEGATIONS = ("not", "no", "never", "without", "isn't", "aren't", "nicht", "kein", "keine", "nie", "pas", "jamais", "sans", "nunca", "sin")
 REPORTS = ("said", "says", "wrote", "called", "quoted", "reported", "claims", "sagte", "schrieb", "dit", "dijo")
 INSULT, THREAT, TARGET, NEGATION, REPORT = 1, 2, 3, 4, 5
-#: Kinds of matched clauses: bare insult, insult at a target, bare threat, threat at a target, negated, reported.
+#: Kinds of matches: bare insult, insult at a target, bare threat, threat at a target, negated, reported.
 KINDS = 6
 #: Words after a negation that it reaches.
 REACH = 3
@@ -46,36 +49,75 @@ _END[list(b".,;:!?\n|")] = True
 
 
 class Transducer:
-    """A finite-state machine over categories: edges (state, category) -> (state, tag on hits); other input leads home."""
-
-    def __init__(self, edges: dict[tuple[int, int], int], tags: dict[int, int], home: dict[int, int]):
-        self.edges, self.tags, self.home = edges, tags, home
-
-    def read(self, clause: list[int]) -> tuple[list[int], int]:
-        """Tags of all words by the state they meet, and the last state."""
-        state, out = 0, []
-        for c in clause:
-            out.append(self.tags.get(state, 0) if c in (INSULT, THREAT) else 0)
-            state = self.edges.get((state, c), self.home.get(state, state))
-        return out, state
-
-
-_OTHER = (0, INSULT, THREAT, TARGET, REPORT)
-NEGATE = Transducer({(s, NEGATION): REACH for s in range(REACH + 1)}, {s: 1 for s in range(1, REACH + 1)}, {s: max(0, s - 1) for s in range(REACH + 1)})
-QUOTE = Transducer({(0, REPORT): 1}, {1: 1}, {})
-AIM = Transducer({(0, TARGET): 1}, {}, {})
-
-
-def clause_kinds(clause: list[int], reported_before: bool) -> list[int]:
-    """Kinds of the matches of one clause, by the composition NEGATE . QUOTE . AIM."""
-    flipped, _ = NEGATE.read(clause)
-    quoted, _ = QUOTE.read(clause)
-    _, aimed = AIM.read(clause)
-    out = []
-    for c, f, q in zip(clause, flipped, quoted, strict=True):
-        if c in (INSULT, THREAT):
-            out.append(4 if f else 5 if q or reported_before else (2 * (c == THREAT)) + aimed)
-    return out
+    """A sequential weighted finite-state transducer.
+
+    An arc (state, symbol) -> (state, output, weight); a symbol without an arc of its own is passed on unchanged
+    and leads to the state's home.
+    """
+
+    def __init__(self, arcs: dict[tuple, tuple], home: dict | None = None):
+        self.arcs, self.home = arcs, home or {}
+
+    def arc(self, state, symbol) -> tuple:
+        return self.arcs.get((state, symbol)) or (self.home.get(state, state), symbol, 0.0)
+
+    def __rshift__(self, then: "Transducer") -> "Transducer":
+        """The composition: the output tape of this machine is the input tape of the next one; weights add up."""
+        arcs, todo, seen = {}, [(0, 0)], {(0, 0)}
+        while todo:
+            p, q = todo.pop()
+            for symbol in SYMBOLS:
+                p2, out, w = self.arc(p, symbol)
+                q2, out, v = then.arc(q, out)
+                arcs[(p, q), symbol] = ((p2, q2), out, w + v)
+                if (p2, q2) not in seen:
+                    seen.add((p2, q2))
+                    todo.append((p2, q2))
+        names = {s: k for k, s in enumerate(sorted(seen, key=lambda s: (s != (0, 0), str(s))))}
+        return Transducer({(names[s], c): (names[t], out, w) for (s, c), (t, out, w) in arcs.items()})
+
+    def read(self, tape: list[int]) -> tuple[list[int], float]:
+        """The output tape and the weight of the path."""
+        state, out, weight = 0, [], 0.0
+        for symbol in tape:
+            state, made, w = self.arc(state, symbol)
+            out.append(made)
+            weight += w
+        return out, weight
+
+
+OTHER = 0
+#: Symbols of the inner tapes: hits with a target behind them, hits with a target on either side, negated and reported hits.
+LED, AIMED, NEGATED, QUOTED = 6, 8, 10, 11
+SYMBOLS = range(12)
+HITS = (INSULT, THREAT)
+#: Weights of the arcs: what each machine adds to the log odds of the clause it reads.
+BARE_INSULT, BARE_THREAT, AIM, NEGATION_WEIGHT, QUOTE_WEIGHT = 1.0, 0.5, 0.5, -1.5, -0.8
+#: Repeated words of one insult, or of one threat, are one match.
+INSULTING = Transducer({(0, INSULT): (1, INSULT, BARE_INSULT), (1, INSULT): (1, OTHER, 0.0)}, {1: 0})
+THREATENING = Transducer({(0, THREAT): (1, THREAT, BARE_THREAT), (1, THREAT): (1, OTHER, 0.0)}, {1: 0})
+#: Reads a clause from its end: hits that a target follows.
+LED_BY = Transducer({(0, TARGET): (1, TARGET, 0.0)} | {(1, h): (1, LED + h - 1, AIM) for h in HITS})
+#: Reads from the front: hits with a target before them, or behind.
+AIMING = Transducer({(0, TARGET): (1, TARGET, 0.0)} | {(s, LED + h - 1): (s, AIMED + h - 1, 0.0) for h in HITS for s in (0, 1)} | {(1, h): (1, AIMED + h - 1, AIM) for h in HITS})
+_MATCHES = (*HITS, *(AIMED + h - 1 for h in HITS))
+#: State: words that the last negation still reaches.
+NEGATING = Transducer({(s, NEGATION): (REACH, NEGATION, 0.0) for s in range(REACH + 1)} | {(s, m): (s - 1, NEGATED, NEGATION_WEIGHT) for s in range(1, REACH + 1) for m in _MATCHES}, {s: max(0, s - 1) for s in range(REACH + 1)})
+#: Reads on after reported speech began, in this clause or the one before.
+QUOTING = Transducer({(0, REPORT): (1, REPORT, 0.0)} | {(1, m): (1, QUOTED, QUOTE_WEIGHT) for m in _MATCHES})
+#: The front-to-back half of the grammar, composed into one machine.
+FORWARD = INSULTING >> THREATENING
+CLAUSE = AIMING >> NEGATING >> QUOTING
+KIND_OF = {INSULT: 0, AIMED + INSULT - 1: 1, THREAT: 2, AIMED + THREAT - 1: 3, NEGATED: 4, QUOTED: 5}
+
+
+def read_clause(clause: list[int], reported_before: bool) -> tuple[list[int], float]:
+    """(kinds of the matches of one clause, its weight by the arcs)."""
+    once, w1 = FORWARD.read(clause)
+    led, w2 = LED_BY.read(once[::-1])
+    # what was reported before the clause is a report at its front
+    out, w3 = CLAUSE.read(([REPORT] if reported_before else []) + led[::-1])
+    return [KIND_OF[c] for c in out if c in KIND_OF], w1 + w2 + w3
 
 
 def hashes_of(words: tuple[str, ...]) -> np.ndarray:
@@ -142,8 +184,12 @@ class Grammar:
         self.words = [(THREAT, hashes_of(THREATS)), (TARGET, hashes_of(TARGETS)), (NEGATION, hashes_of(NEGATIONS)), (REPORT, hashes_of(REPORTS))]
 
     def kinds(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """documents x KINDS counts of matched clauses."""
-        out = np.zeros((len(off) - 1, KINDS))
+        """documents x counts of the KINDS of matches."""
+        return self.matches(data, off)[:, :KINDS]
+
+    def matches(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """documents x (counts of the KINDS of matches, summed weight of the matched clauses)."""
+        out = np.zeros((len(off) - 1, KINDS + 1))
         start, end, first = tx.spans(data, off, tx.ALNUM)
         category = np.zeros(len(start), np.uint8)
         all_ = beginnings(tx.LOWER[data], start, end)
@@ -169,16 +215,19 @@ class Grammar:
             done = k
             a, b = int(begin[k]), int(begin[k + 1]) if k + 1 < len(begin) else len(start)
             before = category[begin[k - 1] : a] if k and begin[k - 1] >= first[d] else category[:0]
-            for kind in clause_kinds(category[a:b].tolist(), bool((before == REPORT).any())):
+            kinds, weight = read_clause(category[a:b].tolist(), bool((before == REPORT).any()))
+            for kind in kinds:
                 out[d, kind] += 1
+            out[d, KINDS] += weight
         return out
 
 
 def features(kinds: np.ndarray) -> np.ndarray:
-    return np.hstack([np.ones((len(kinds), 1)), np.log1p(kinds), (kinds[:, :4].sum(1, keepdims=True) > 0)])
+    weight = kinds[:, KINDS:]
+    return np.hstack([np.ones((len(kinds), 1)), np.log1p(kinds[:, :KINDS]), (kinds[:, :4].sum(1, keepdims=True) > 0), np.sign(weight) * np.log1p(np.abs(weight))])
 
 
-DEFAULT_WEIGHTS = np.array([-2.0, 1.0, 1.5, 0.5, 2.0, -0.5, 0.2, 2.0])
+DEFAULT_WEIGHTS = np.array([-2.0, 1.0, 1.5, 0.5, 2.0, -0.5, 0.2, 2.0, 0.2])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -207,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> tuple[
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, off in tx.slices(batch.column("text")):
-                got = shared.value.kinds(data, off)
+                got = shared.value.matches(data, off)
                 yield pa.RecordBatch.from_arrays([batch.column("y").slice(row, len(got)), pa.array(list(got), pa.list_(pa.float64()))], names=["y", "kinds"])
 
     rows = sample.mapInArrow(count, "y int, kinds array<double>").groupBy("y", "kinds").agg(F.count("*").alias("n")).orderBy("y", "kinds").collect()
@@ -217,16 +266,16 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> tuple[
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, labelled_docs: DataFrame | None = None, limit: int = MAX_LABELLED) -> DataFrame:
-    """(doc_id, score, kinds) of every row of docs; kinds counts its matched clauses."""
+    """(doc_id, score, kinds, weight) of every row of docs; kinds counts its matches, weight sums its matched clauses."""
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs if labelled_docs is None else labelled_docs, labels, limit))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar, weights = shared.value
         for batch in batches:
             for row, data, off in tx.slices(batch.column("text")):
-                kinds = grammar.kinds(data, off)
+                kinds = grammar.matches(data, off)
                 p = 1 / (1 + np.exp(-np.clip(features(kinds) @ weights, -30, 30)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(p)), pa.array(p), pa.array(list(kinds.astype(np.int64)), pa.list_(pa.int64()))], names=["doc_id", "score", "kinds"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(p)), pa.array(p), pa.array(list(kinds[:, :KINDS].astype(np.int64)), pa.list_(pa.int64())), pa.array(kinds[:, KINDS])], names=["doc_id", "score", "kinds", "weight"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(score, "doc_id long, score double, kinds array<long>")
+    return rows.mapInArrow(score, "doc_id long, score double, kinds array<long>, weight double")

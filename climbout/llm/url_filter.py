@@ -4,8 +4,11 @@ An Aho-Corasick automaton of all terms runs over the lower-cased URL once.  Stri
 between boundaries (no letter or digit next to them); soft terms may stand anywhere.  One strict hit, or
 soft hits of several distinct terms whose weights reach the threshold, reject the URL.
 
+Boundaries are anything but a-z and 0-9, as in the SQL.
+
 Defined results: a null or empty URL, or one without "://", has an empty host and path, fits no rule and
-holds no term unless its text does; rows are judged one by one, so repeated rows repeat their verdict.
+holds no term unless its text does; rows are judged one by one, so repeated rows repeat their verdict; of rules of
+one length the alphabetically first holds; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -55,14 +58,14 @@ def matcher(strict: tuple[str, ...], soft: dict[str, float]):
     for term in {*strict, *soft}:
         machine.add_word(term, term)
     machine.make_automaton()
-    strong = set(strict)
+    strong, inner = set(strict), frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 
     def hits(url: str) -> tuple[list[str], list[str]]:
         hard, mild = set(), set()
         for end, term in machine.iter(url):
             if term in strong:
                 begin = end - len(term)
-                if not (begin >= 0 and url[begin].isalnum()) and not (end + 1 < len(url) and url[end + 1].isalnum()):
+                if not (begin >= 0 and url[begin] in inner) and not (end + 1 < len(url) and url[end + 1] in inner):
                     hard.add(term)
             if term in soft:
                 mild.add(term)
