@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .shared import materialize
+from .shared import materialize, small_batches
 
 #: Words of one automaton at most (or one longer item), and automata of one pass.
 BLOCK_WORDS, PASS_BLOCKS = 250_000, 8
@@ -201,6 +201,7 @@ def blocks(benchmark: DataFrame, window: int) -> DataFrame:
         if items:
             yield emit()
 
+    small_batches(benchmark.sparkSession)
     rows = benchmark.select(F.col("item_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
     return materialize(rows.mapInArrow(build, "block binary"), "benchmark-blocks")
 

@@ -492,18 +492,24 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows are told apart by doc_id and set, so a doc_id that several texts share stays with those not linked;
     of repeated rows one stays, and one of a component without doc_ids.  Rows without words all stay.
     """
-    pairs = labelled(docs).where("node is not null").groupBy("doc_id", "node", "component_id", "head").agg(F.count("*").alias("rows"))
-    pairs = pairs.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("node") == F.col("head")))
+    rows = materialize(labelled(docs).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("node") == F.col("head"))), "jaccard-rows")
+    # a doc_id of one row decides alone; others, and rows without one, are told apart by their sets
+    shared = materialize(rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_doc")), "jaccard-shared")
+    odd = F.col("doc_id").eqNullSafe(F.col("_doc"))
+    few_shared = shared.count() <= BROADCAST_ROWS
+    side = lambda frame, few: F.broadcast(frame) if few else frame
+    dropped = rows.where("not kept").join(side(shared, few_shared), odd, "left_anti").select(F.col("doc_id").alias("_doc"))
+    dropped = materialize(dropped, "jaccard-dropped")
+    here = docs.doc_id.cast("long").eqNullSafe(F.col("_doc"))
+    alone = docs.join(side(dropped, dropped.count() <= BROADCAST_ROWS), here, "left_anti")
+    if shared.isEmpty():
+        return alone
+    alone = alone.join(side(shared, few_shared), here, "left_anti")
+    pairs = rows.join(side(shared, few_shared), odd, "left_semi").where("node is not null").groupBy("doc_id", "node", "kept").agg(F.count("*").alias("rows"))
     decided = materialize(pairs.where("not kept or rows > 1").select(F.col("doc_id").alias("_doc"), F.col("node").alias("_set"), "kept"), "jaccard-decided")
     few = decided.count() <= BROADCAST_ROWS
-    keyed = with_nodes(docs)
-
-    def joined(side: DataFrame, how: str) -> DataFrame:
-        side = F.broadcast(side) if few else side
-        return keyed.join(side, keyed.doc_id.cast("long").eqNullSafe(side._doc) & (keyed._node == side._set), how)
-
-    repeated = decided.where("kept")
-    alone = joined(decided, "left_anti")
-    if repeated.isEmpty():
-        return alone.drop("_node")
-    return union(alone, joined(repeated, "left_semi").dropDuplicates(["doc_id", "_node"])).drop("_node")
+    keyed = with_nodes(docs.join(side(shared, few_shared), here, "left_semi"))
+    match = keyed.doc_id.cast("long").eqNullSafe(F.col("_doc")) & (F.col("_node") == F.col("_set"))
+    others = keyed.join(side(decided, few), match, "left_anti")
+    repeated = keyed.join(side(decided.where("kept"), few), match, "left_semi").dropDuplicates(["doc_id", "_node"])
+    return union(alone, others.drop("_node"), repeated.drop("_node"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .shared import materialize
+from .shared import materialize, small_batches
 
 BUCKETS, CLASSES, WIDTH, SIDE = 1 << 16, 128, 16, 2
 #: Buckets with a class of their own; the last class stands for what lies beyond either end of a text.
@@ -343,5 +343,6 @@ def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     schema = "part int, kind byte, chunk long, run binary"
     answers = rows.mapInArrow(send, schema).repartition(parts, "part").mapInArrow(answer, schema)
     both = answers.select("kind", "chunk", "run").repartition(parts, "chunk").sortWithinPartitions("chunk", "kind")
+    small_batches(docs.sparkSession)
     return both.mapInArrow(add, "doc_id long, n_words long, log_prob double, mean_log_prob double")
 

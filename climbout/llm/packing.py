@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from . import tokenize as tk
+from .shared import small_batches
 
 #: Remainders that wait together for a place.
 POOL = 512
@@ -140,4 +141,5 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tokens: int = 4096, segm
 
     share = F.lit(1.0) if loss_share is None else F.coalesce(F.col(loss_share).cast("double"), F.lit(1.0))
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), share.alias("share"))
+    small_batches(docs.sparkSession)
     return rows.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, loss_tokens long")

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .shared import small_batches
 
 #: Labelled rows that the classifier is fitted on at most: those with the smallest hashes of their ids.
 MAX_LABELLED = 4096
@@ -156,6 +157,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, labelled_docs: DataFrame
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(found)), pa.array(found)], names=["doc_id", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    small_batches(docs.sparkSession)
     return rows.mapInArrow(score, "doc_id long, score double")
 
 
@@ -170,4 +172,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, labelled_docs: DataFrame, thre
                 found = vote(unit(weigh(term_counts(data, off), idf) @ projection), labelled, y)
                 yield batch.slice(row, len(found)).filter(pa.array(found >= threshold))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(select, docs.schema)

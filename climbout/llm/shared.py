@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 #: A key is hot if it has more than this share of all rows; so there are fewer than 1 / HOT_SHARE hot keys.
 HOT_SHARE = 1e-3
+#: Bytes of an Arrow batch, about (Spark's own bound is 64 MB, several times over for each task).
+BATCH_BYTES = 8 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -29,11 +31,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send BATCH_BYTES at a time to Python, unless the session says otherwise: rows of texts are large."""
+    key, usual = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
+    if spark.conf.get(key, usual).rstrip("bB") == usual:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows of df as a table in the shared folder: later stages do not depend on lost executors.
 
     The shuffle files that made the table go as soon as it is written.
     """
+    small_batches(df.sparkSession)
     path, conf, key = shared_folder(df.sparkSession, name), df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, None)
     conf.set(key, "true")

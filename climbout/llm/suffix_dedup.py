@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .shared import materialize, union
+from .shared import materialize, small_batches, union
 
 LENGTH = 100
 #: Strings that one row stands for in each round; the common core is LENGTH - STEP + 1 bytes.
@@ -291,5 +291,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, step: tuple[int, ...]
                     yield emit(batch.slice(begin, k + 1 - begin), *out)
                     begin, total, out = k + 1, 0, ([], [], [], [])
 
+    small_batches(docs.sparkSession)
     out = rows.select("doc_id", "nameless", "squeezed", "first", "width").mapInArrow(run, "doc_id long, nameless boolean, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
     return out.select(F.when(~F.col("nameless"), F.col("doc_id")).alias("doc_id"), "n_bytes", "n_removed", "spans", "kept")

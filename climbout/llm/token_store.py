@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from . import tokenize as tk
-from .shared import materialize, shared_folder
+from .shared import materialize, shared_folder, small_batches
 
 #: Plain bytes after which a frame is closed; a longer document has a frame of its own.
 FRAME_BYTES = 1 << 20
@@ -207,4 +207,5 @@ def read_tokens(manifest: DataFrame, doc_ids: list[int] | None = None) -> DataFr
 
     parts = max(1, -(-size // READ_BYTES), spark.sparkContext.defaultParallelism)
     dealt = frames.select("path", "frame", "start").repartition(parts, "path", F.floor(F.col("frame") / READ_FRAMES)).sortWithinPartitions("path", "frame")
+    small_batches(spark)
     return dealt.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")

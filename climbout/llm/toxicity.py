@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .shared import small_batches
 from .quality_knn import labelled_sample
 
 #: Labelled rows that the grammar is fitted on at most, and learned terminals at most.
@@ -278,4 +279,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, labelled_docs: DataFrame
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(p)), pa.array(p), pa.array(list(kinds[:, :KINDS].astype(np.int64)), pa.list_(pa.int64())), pa.array(kinds[:, KINDS])], names=["doc_id", "score", "kinds", "weight"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    small_batches(docs.sparkSession)
     return rows.mapInArrow(score, "doc_id long, score double, kinds array<long>, weight double")
