@@ -48,7 +48,9 @@ PERCENT, WORDS = 80, 5
 #: One text in SAMPLE is asked for common shingles; those of at least COMMON of them, COMMON_MOST at most, are left out of step 1.
 SAMPLE, COMMON, COMMON_MOST = 16, 4, 200_000
 #: Words held by a task before they are sent; members of one word in them that make it hot.
-FLUSH, HOT = 700_000, 64
+FLUSH, HOT = 350_000, 64
+#: Shares in which a task groups its words.
+CUTS = 4
 #: What a run holds: rows of the owner, the smallest node of hot words, all nodes of hot words, measured documents.
 OWNED, LEAD, MEMBER, ROW = 0, 1, 2, 3
 #: Words are cut into SLICES by their hashes; nearest ones are sought in these slices, [from, to), in rounds.
@@ -208,40 +210,46 @@ def grouped(docs: DataFrame, common: np.ndarray) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.full(k, OWNED, np.int8)), pa.array(word.view(np.int64)), pa.array(node), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=GROUPED)
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, leads = [], []
+        held, seen = [], np.zeros(0, np.uint64)
         for batch in batches:
             for kind, run in zip(batch.column("kind").to_pylist(), batch.column("run"), strict=True):
                 if kind == ROW:
                     for part in pa.ipc.open_stream(run.as_buffer()):
                         k = part.num_rows
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(k, ROW, np.int8)), pa.nulls(k, pa.int64()), part.column("node"), part.column("doc_id"), part.column("n")], schema=GROUPED)
-                    continue
-                node, word = decode_run(run.as_buffer())
-                if kind == MEMBER:
-                    yield emit(node, word)
+                elif kind == MEMBER:
+                    yield emit(*decode_run(run.as_buffer()))
                 else:
-                    held.append((node, word))
-                    if kind == LEAD:
-                        leads.append(word)
-        if not held:
-            return
-        node, word = (np.concatenate(x) for x in zip(*held, strict=True))
-        held.clear()
-        order = np.lexsort((node, word))
-        node, word = node[order], word[order]
-        new = np.concatenate([[True], (word[1:] != word[:-1]) | (node[1:] != node[:-1])])
-        node, word = node[new], word[new]
-        start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        count = np.diff(np.append(start, len(word)))
-        members = np.add.reduceat(tx.mix(node.view(np.uint64)), start)
-        if leads:  # a group whose members are elsewhere is like no other
-            elsewhere = np.isin(word[start], np.concatenate(leads))
-            members[elsewhere] = tx.mix(members[elsewhere] ^ tx.mix(word[start][elsewhere]))
-        several = np.flatnonzero(count > 1)
-        once = several[np.unique(members[several], return_index=True)[1]]  # groups of the same members, once
-        at = tx.ragged(start[once], count[once])
-        for a in range(0, len(at), 500_000):
-            yield emit(node[at[a : a + 500_000]], word[at[a : a + 500_000]])
+                    held.append((kind, run.as_py()))
+        for cut in range(CUTS if held else 0):  # a share of the words at a time
+            node, word, lead = [], [], []
+            for kind, raw in held:
+                n, w = decode_run(raw)
+                here = (w >> np.uint64(32)) % np.uint64(CUTS) == cut
+                node.append(n[here])
+                word.append(w[here])
+                if kind == LEAD:
+                    lead.append(word[-1])
+            node, word = np.concatenate(node), np.concatenate(word)
+            if not len(node):
+                continue
+            order = np.lexsort((node, word))
+            node, word = node[order], word[order]
+            new = np.concatenate([[True], (word[1:] != word[:-1]) | (node[1:] != node[:-1])])
+            node, word = node[new], word[new]
+            start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            count = np.diff(np.append(start, len(word)))
+            members = np.add.reduceat(tx.mix(node.view(np.uint64)), start)
+            if lead:  # a group whose members are elsewhere is like no other
+                elsewhere = np.isin(word[start], np.concatenate(lead))
+                members[elsewhere] = tx.mix(members[elsewhere] ^ tx.mix(word[start][elsewhere]))
+            several = np.flatnonzero(count > 1)
+            once = several[np.unique(members[several], return_index=True)[1]]  # groups of the same members, once
+            once = once[~np.isin(members[once], seen)]
+            seen = np.concatenate([seen, members[once]])
+            at = tx.ragged(start[once], count[once])
+            for a in range(0, len(at), 200_000):
+                yield emit(node[at[a : a + 200_000]], word[at[a : a + 200_000]])
 
     rows = texts(docs).mapInArrow(send, "part int, kind byte, run binary")
     return materialize(rows.repartition(parts, "part").mapInArrow(group, "kind byte, word long, node long, doc_id long, n long"), "jaccard-groups", compression="zstd")
