@@ -471,3 +471,162 @@ def test_components_follow_long_chains(spark):
 
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (101, 100), (200, 200)], "a long, b long")
     assert {(r.node, r.component) for r in shared.components(edges).collect()} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
+
+
+# --- hostile and large inputs --------------------------------------------------------------------
+
+
+def thue_morse(a, b, n=1024):
+    out = [0]
+    while len(out) < n:
+        out += [1 - x for x in out]
+    return "".join(b if x else a for x in out)
+
+
+LEFT, RIGHT = thue_morse("a", "b"), thue_morse("b", "a")
+
+
+def test_structured_words_have_hashes_of_their_own(spark):
+    raw = np.frombuffer((LEFT + RIGHT).encode(), np.uint8)
+    one, two = tx.Prefix(raw).spans(np.array([0, 1024]), np.array([1024, 2048]))
+    assert one != two
+    docs = spark.createDataFrame([(1, LEFT), (2, RIGHT)], "doc_id long, text string").repartition(1)
+    tokens = by_id(token_store.read_tokens(token_store.write_tokens(docs, end_id=None)))
+    assert [np.frombuffer(tokens[i].ids, "<u4").tolist() for i in (1, 2)] == encoded([LEFT, RIGHT])
+    assert by_id(decontaminate.matches(docs, spark.createDataFrame([(1, LEFT)], "item_id long, text string")))[2].n_hit == 0
+    assert {r.component_id for r in jaccard_join.similar_components(docs).collect()} == {1, 2}
+
+
+def test_prefix_hashes_equal_a_plain_polynomial():
+    prime, raw = 2**61 - 1, np.random.default_rng(3).integers(0, 256, 70_000, dtype=np.uint8)
+    prefix = tx.Prefix(raw)
+    for a, b in ((0, 1), (9, 9), (32_700, 32_900), (65_000, 70_000)):
+        plain = sum((int(c) + 1) * pow(tx._BASE61, k, prime) for k, c in enumerate(raw[a:b])) % prime
+        want = tx.mix(np.array([(plain + (b - a) * int(tx._MULT)) % 2**64], np.uint64))[0]
+        assert prefix.spans(np.array([a]), np.array([b]))[0] == want
+
+
+def test_added_tokens_keep_their_case(spark):
+    texts = ["<|endoftext|> word", "<|ENDOFTEXT|> Word", "<|EndOfText|> WORD"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    got = by_id(token_store.read_tokens(token_store.write_tokens(docs, end_id=None)))
+    assert [np.frombuffer(got[i].ids, "<u4").tolist() for i in range(3)] == encoded(texts)
+
+
+def test_texts_of_megabytes_are_read_whole(spark):
+    rng = random.Random(9)
+    long = prose(rng, 450_000, 900)
+    assert len(long) > 2_000_000
+    tail = " ".join(long.split()[-12:])
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, long[-300:]), (4, None)], "doc_id long, text string")
+    assert by_id(exact_dedup.exact_duplicates(docs))[2].group_size == 1
+    assert {i: r.component_id for i, r in by_id(jaccard_join.similar_components(docs)).items()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    bench = spark.createDataFrame([(7, tail), (None, tail)], "item_id long, text string")
+    hits = by_id(decontaminate.matches(docs, bench))
+    assert hits[1].n_hit >= 12 and hits[1]["items"] == ["7"] and hits[4].n_hit == 0
+    cut = by_id(suffix_dedup.remove_repeats(docs))
+    assert cut[3].n_removed == cut[3].n_bytes == 300 and cut[2].n_bytes - cut[2].n_removed < 110
+    ids = np.frombuffer(by_id(token_store.read_tokens(token_store.write_tokens(docs)))[2].ids, "<u4").tolist()
+    assert ids == [*encoded([long + " end"])[0], 1]
+    pieces = sorted((p.start, p.length) for p in packing.pack(docs).where("doc_id = 2").collect())
+    assert pieces[-1][0] + pieces[-1][1] == len(ids)
+
+
+def test_nameless_and_repeated_ids_keep_their_place(spark):
+    table = [(None, "b b"), (None, "a"), (-(1 << 63), "least"), (4, "x"), (4, "y"), (4, "x")]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    got = token_store.read_tokens(token_store.write_tokens(docs)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, -(1 << 63), 4, 4, 4]
+    assert [r.start for r in got] == list(np.cumsum([0, *[r.n_tokens for r in got]])[:-1])
+    assert packing.pack(docs).agg(F.sum("length")).first()[0] == sum(r.n_tokens for r in got)
+
+
+def test_loss_shares_of_conversations_limit_sequences(spark):
+    turns = [(i, "assistant" if i % 2 else "user", "some words of turn %d " % i * 6) for i in range(120)]
+    frame = spark.createDataFrame(turns, "doc_id long, role string, text string").withColumn("share", F.when(F.col("role") == "assistant", 1.0).otherwise(0.0)).repartition(1)
+    pieces = packing.pack(frame, tokens=256, segments=8, loss=100, loss_share="share").collect()
+    bins = {}
+    for p in pieces:
+        assert p.loss_tokens == (p.length if p.doc_id % 2 else 0)
+        n = bins.setdefault(p.sequence_id, [0, 0, 0])
+        for k, x in enumerate((p.length, 1, p.loss_tokens)):
+            n[k] += x
+    assert all(a <= 256 and b <= 8 and c <= 100 for a, b, c in bins.values()) and max(c for *_, c in bins.values()) > 90
+
+
+def test_automata_of_many_passes(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 15)
+    monkeypatch.setattr(decontaminate, "PASS_BLOCKS", 2)
+    items = [(k, r[1]) for k, r in enumerate(rows[:8])]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(1)
+    assert decontaminate.blocks(bench, 10).count() > 4
+    got = by_id(decontaminate.matches(docs, bench, 10))
+    assert {i: (r.n_words, r.n_hit, r["items"]) for i, r in got.items()} == plain_matches(rows, items, 10)
+
+
+def test_composed_transducers_equal_a_plain_reading():
+    rng = random.Random(6)
+
+    def plain(clause, reported):
+        once = [0 if i and c in (1, 2) and clause[i - 1] == c else c for i, c in enumerate(clause)]
+        for i, c in enumerate(once):
+            if c in (1, 2):
+                negated = toxicity.NEGATION in once[max(0, i - toxicity.REACH) : i]
+                yield 4 if negated else 5 if reported or toxicity.REPORT in once[:i] else 2 * (c == 2) + (toxicity.TARGET in once)
+
+    for _ in range(3000):
+        clause = [rng.choice([0, 0, 0, 1, 2, 3, 4, 5]) for _ in range(rng.randint(1, 9))]
+        for reported in (False, True):
+            kinds, weight = toxicity.read_clause(clause, reported)
+            assert kinds == list(plain(clause, reported))
+    assert toxicity.read_clause([1, 3], False)[1] == toxicity.BARE_INSULT + toxicity.AIM
+    assert toxicity.read_clause([4, 1], False)[1] == toxicity.BARE_INSULT + toxicity.NEGATION_WEIGHT
+
+
+def test_ties_of_neighbours_go_to_the_first_ids():
+    rng = np.random.default_rng(2)
+    known = quality_knn.unit(rng.normal(size=(60, 4)).astype(np.float32)).repeat(3, 0)
+    y = rng.integers(0, 2, len(known)).astype(np.float32)
+    found = quality_knn.vote(known[::7], known, y)
+    similar = known[::7] @ known.T
+    for row, got in zip(similar, found, strict=True):
+        near = sorted(range(len(row)), key=lambda k: (-row[k], k))[: quality_knn.K]
+        w = np.clip(row[near], 1e-3, 1).astype(float) ** quality_knn.POWER
+        assert got == pytest.approx((w * y[near]).sum() / w.sum(), abs=1e-9)
+
+
+def test_scores_are_sums_over_words(spark):
+    rng = random.Random(7)
+    table = [(i, prose(rng, rng.randint(0, 40), 60)) for i in range(40)]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    of, size, weights = lm_score.fit(docs)
+    net, counts = lm_score.Network(weights), Counter(w for _, t in table for w in lowered(t).split())
+    got = by_id(lm_score.pseudo_likelihood(docs))
+    for i, t in table:
+        words = lowered(t).split()
+        raw = t.encode()
+        code = of[(tx.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), tx.BLANKS)[0] >> np.uint64(48)).astype(int)] if words else []
+        total = 0.0
+        for k, w in enumerate(words):
+            near = [np.array([code[k + p] if 0 <= k + p < len(words) else lm_score.EDGE], np.uint8) for p in lm_score.PLACES]
+            total += float(net.log_probs(np.array([code[k]], np.uint8), near)[0]) + np.log(counts[w]) - size[code[k]]
+        assert got[i].n_words == len(words) and got[i].log_prob == pytest.approx(total, abs=1e-3)
+
+
+def test_lookups_of_a_few_digests(spark, docs):
+    index = exact_dedup.compact(exact_dedup.flush(docs))
+    some = [bytes(r.digest) for r in index.orderBy("digest").limit(3).collect()]
+    found = exact_dedup.lookup(index, [*some, b"none"])
+    assert sorted(bytes(r.digest) for r in found.collect()) == some
+    assert "In(digest" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from climbout.llm import shared
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared.shared_folder(session, "x")
