@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-EARTH_NM, FEET_PER_NM = 3440.065, 6076.11549
+EARTH_NM, FEET_PER_NM, DEGREE_NM = 3440.065, 6076.11549, 60.0
 BANK_CONSTANT, STANDARD_RATE = 68626.0, 188.5
 
 
@@ -56,19 +56,19 @@ def to_magnetic(true: Column, variation_east: Column) -> Column:
 
 def plane_x(lat0: Column, lon0: Column, lon: Column) -> Column:
     """East of the origin on the local tangent plane."""
-    return F.radians(wrap180(lon - lon0)) * EARTH_NM * F.cos(F.radians(lat0))
+    return wrap180(lon - lon0) * DEGREE_NM * F.cos(F.radians(lat0))
 
 
 def plane_y(lat0: Column, lat: Column) -> Column:
-    return F.radians(lat - lat0) * EARTH_NM
+    return (lat - lat0) * DEGREE_NM
 
 
 def plane_lat(lat0: Column, y: Column) -> Column:
-    return lat0 + F.degrees(y / EARTH_NM)
+    return lat0 + y / DEGREE_NM
 
 
 def plane_lon(lat0: Column, lon0: Column, x: Column) -> Column:
-    return wrap180(lon0 + F.degrees(x / (F.cos(F.radians(lat0)) * EARTH_NM)))
+    return wrap180(lon0 + x / (F.cos(F.radians(lat0)) * DEGREE_NM))
 
 
 def offset(x: Column, y: Column, course: Column, nm: Column) -> Column:

@@ -33,7 +33,7 @@ def trace_headings(routes: DataFrame, variation: float = 0.0) -> DataFrame:
             flown = pen["along"] + radius * F.radians(F.abs(turn))
             nm = F.greatest(F.lit(LEG_MIN), (leg["feet"] - base) / GRADIENT)
             straight = F.greatest(F.lit(0.0), nm - flown)
-            failure = F.coalesce(pen["failure"], F.when(leg["feet"] <= base, "altitude not above current").when(nm > LEG_MAX, "altitude leg too long"))
+            failure = F.coalesce(pen["failure"], F.when(leg["feet"] <= base, "altitude not above current").when(nm > LEG_MAX, "altitude leg capped"))
             return F.struct(
                 (tx + straight * F.sin(F.radians(target))).alias("x"), (ty + straight * F.cos(F.radians(target))).alias("y"),
                 target.alias("course"), (flown + straight).alias("along"), failure.alias("failure"),

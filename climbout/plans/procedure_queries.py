@@ -59,7 +59,7 @@ def procedure_references(spark, sf_dir):
     e as (select *, greatest(0.0, nm - flown) as st from s)
     select id, round(sin(radians(c)) + rad * sin(radians(c + 90 * sg)) + rad * sin(radians(h - 90 * sg)) + st * sin(radians(h)), 6) + 0.0 as x,
            round(cos(radians(c)) + rad * cos(radians(c + 90 * sg)) + rad * cos(radians(h - 90 * sg)) + st * cos(radians(h)), 6) + 0.0 as y, round(flown + st, 6) as along,
-           case when ft <= base then 'altitude not above current' when nm > 30 then 'altitude leg too long' end as failure from e"""
+           case when ft <= base then 'altitude not above current' when nm > 30 then 'altitude leg capped' end as failure from e"""
 )
 def trace_routes(spark, sf_dir):
     k = F.col("p_partkey")
