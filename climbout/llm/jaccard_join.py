@@ -54,7 +54,7 @@ CUTS = 4
 #: What a run holds: rows of the owner, the smallest node of hot words, all nodes of hot words, measured documents.
 OWNED, LEAD, MEMBER, ROW = 0, 1, 2, 3
 #: Words are cut into SLICES by their hashes; nearest ones are sought in these slices, [from, to), in rounds.
-SLICES, ROUNDS = 32, ((0, 2), (2, 6), (6, 14))
+SLICES, ROUNDS = 32, ((0, 4), (4, 16))
 #: Members among which the nearest one is sought, and members of each side of a block of all pairs.
 NEAR, BLOCK = 192, 1024
 #: Pairs of one hub verified in one task; 64-bit words of a bit sketch at most (longer ones are folded).
@@ -380,6 +380,18 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(near).select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def distinct_groups(words: DataFrame) -> DataFrame:
+    """The rows of words of which no other has the same members, one word for each set of members, in the shared folder.
+
+    Tasks have dropped such words among their own; over all tasks they are told by two 64-bit hashes of the members.
+    """
+    once = materialize(words.distinct(), "jaccard-words", compression="zstd")
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"m{k}") for k in range(2)]
+    each = once.groupBy("word").agg(F.count("*").alias("n"), *marks)
+    kept = materialize(each.groupBy("n", "m0", "m1").agg(F.min("word").alias("word")).select("word", "n"), "jaccard-kept")
+    return materialize(attach(once, kept, ["word"], "inner").select("word", "node"), "jaccard-words", compression="zstd")
+
+
 def opened(words: DataFrame, label: DataFrame | None) -> DataFrame:
     """(word, node, component, n) of the words whose n members are in several components."""
     if label is None:
@@ -442,6 +454,7 @@ def near_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, words: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(links (a, b) between nodes that connect all similar nodes, components (node, component) of the linked ones)."""
+    words = distinct_groups(words)
     wanted = materialize(words.select("node").distinct().join(nodes.select("node", F.col("least").alias("doc_id")), "node"), "jaccard-wanted")
     sets = sets_of(docs, wanted)
     found, label = [], None
