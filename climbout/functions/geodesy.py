@@ -54,6 +54,15 @@ def to_magnetic(true: Column, variation_east: Column) -> Column:
     return wrap360(true - variation_east)
 
 
+def unit(course: Column) -> Column:
+    """struct<x, y> of length one on a course."""
+    return F.struct(F.sin(F.radians(course)).alias("x"), F.cos(F.radians(course)).alias("y"))
+
+
+def course_of(x: Column, y: Column) -> Column:
+    return wrap360(F.degrees(F.atan2(x, y)))
+
+
 def plane_x(lat0: Column, lon0: Column, lon: Column) -> Column:
     """East of the origin on the local tangent plane."""
     return wrap180(lon - lon0) * DEGREE_NM * F.cos(F.radians(lat0))
