@@ -47,6 +47,11 @@ def runway_tag(runways: Column) -> Column:
     return F.when(F.char_length(tag) <= LABEL_LIMIT, tag)
 
 
+def part_name(runways: Column, unnamed: str = ALL_RUNWAYS) -> Column:
+    """RWY 4/22 for a part of a procedure; `unnamed` where it names no runway."""
+    return F.when(F.size(runways) == 0, F.lit(unnamed)).otherwise(F.concat(F.lit("RWY "), F.array_join(runways, "/")))
+
+
 def wrapped(phrases: Column) -> Column:
     """The phrases in order as lines, as many to a line as fit; a phrase that is too long stands alone."""
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import signatures
+from ..sources.sinks import written
 
 #: Colours of the palette.
 COLOURS = 6
@@ -65,26 +68,46 @@ def outcome(drawn: Column, partial: Column, charted: Column) -> Column:
 def colour(points: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, colour): each point in id order takes the colour its coloured neighbours use least, the lowest on ties.
 
-    The choice is sequential, so each connected component is one fold; components are independent.
-    pairs(a, b) are neighbours, a < b.  A component is as large as one cluster of airports.
+    pairs(a, b) are neighbours, a < b.  A point is coloured in the round after its last smaller neighbour, from counts
+    of their colours, so no row and no task holds a cluster; there are as many rounds as the longest chain of
+    ever larger neighbours has points.
     """
-    label = points.select("id", F.col("id").alias("component"))
-    both = pairs.select("a", "b").union(pairs.select("b", "a"))
+    ids = points.select("id").distinct()
+    known = lambda c: ids.select(F.col("id").alias(c))
+    waiting = written(pairs.join(known("a"), "a", "left_semi").join(known("b"), "b", "left_semi").select(F.col("b").alias("id"), "a", F.lit(None).cast("int").alias("k")).distinct(), "colour-waiting")
+    fresh = written(ids.join(waiting, "id", "left_anti").select("id", F.lit(0).alias("colour")), "colour-round")
+    found = [fresh]
+    least = F.array_min(F.array(*[F.struct(F.count_if(F.col("k") == k).alias("n"), F.lit(k).alias("k")) for k in range(COLOURS)]))
     while True:
-        told = both.join(label, both.b == label.id).groupBy("a").agg(F.min("component").alias("heard"))
-        new = label.join(told, label.id == told.a, "left").select("id", F.least("component", F.coalesce("heard", "component")).alias("component"), F.col("component").alias("old"))
-        new = new.cache()
-        if new.where("component <> old").isEmpty():
-            label = new.select("id", "component")
-            break
-        label = new.select("id", "component")
-    earlier = points.select("id").join(pairs.groupBy(F.col("b").alias("id")).agg(F.collect_set("a").alias("before")), "id", "left")
-    rows = earlier.join(label, "id").groupBy("component").agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("before", F.expr("cast(array() as array<bigint>)")).alias("before")))).alias("members"))
-    used = lambda acc, x, k: F.size(F.filter(acc, lambda y: (y["colour"] == k) & F.array_contains(x["before"], y["id"])))
-    start = F.expr("cast(array() as array<struct<id:bigint,colour:int>>)")
-
-    def step(acc: Column, x: Column) -> Column:
-        best = F.array_min(F.array(*[F.struct(used(acc, x, k).alias("n"), F.lit(k).alias("k")) for k in range(COLOURS)]))
-        return F.concat(acc, F.array(F.struct(x["id"].alias("id"), best["k"].alias("colour"))))
-
-    return rows.select(F.explode(F.aggregate("members", start, step)).alias("x")).select("x.id", "x.colour")
+        told = waiting.join(fresh, "id", "left_anti").join(fresh.select(F.col("id").alias("a"), "colour"), "a", "left")
+        waiting = written(told.select("id", "a", F.coalesce("k", "colour").alias("k")), "colour-waiting")
+        if waiting.isEmpty():
+            return functools.reduce(DataFrame.union, found)
+        ready = waiting.groupBy("id").agg(least.alias("least"), F.count_if(F.col("k").isNull()).alias("open")).where("open = 0")
+        fresh = written(ready.select("id", F.col("least.k").alias("colour")), "colour-round")
+        found.append(fresh)
+
+
+def paths(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """(path, n): how many keys have the same sequence of values, repeats in a row taken once."""
+    before = F.lag(value).over(Window.partitionBy(key).orderBy(order))
+    turns = rows.withColumn("_before", before).where(~F.col("_before").eqNullSafe(F.col(value)))
+    path = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]), " | ")
+    return turns.groupBy(key).agg(path.alias("path")).groupBy("path").agg(F.count("*").alias("n"))
+
+
+def repeated(rows: DataFrame, key: str, member: str) -> DataFrame:
+    """(key, n, first): keys of several rows, with the smallest member."""
+    return rows.groupBy(key).agg(F.count("*").alias("n"), F.min(member).alias("first")).where("n > 1")
+
+
+def shapes_once(rows: DataFrame, shape: list[str], seq: Column, group: str) -> DataFrame:
+    """Equal shapes once, at their first place; one drawn by several groups belongs to none."""
+    own = F.when(F.min(group) == F.max(group), F.min(group))
+    return rows.groupBy(*shape).agg(F.min(seq).alias("first_seq"), own.alias("grp"), F.count("*").alias("n"))
+
+
+def digests(rows: DataFrame, key: str, order: str, shape: Column) -> DataFrame:
+    """(key, digest): the first twelve hex digits of the SHA-1 of a key's shapes in order."""
+    shapes = F.transform(F.array_sort(F.collect_list(F.struct(order, shape.alias("s")))), lambda x: x["s"])
+    return rows.groupBy(key).agg(F.substring(F.sha1(F.array_join(shapes, ",").cast("binary")), 1, 12).alias("digest"))

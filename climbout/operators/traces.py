@@ -47,3 +47,20 @@ def trace_headings(routes: DataFrame, variation: float = 0.0) -> DataFrame:
     )
     pen = F.aggregate("legs", start, step(F.col("base_ft").cast("double")))
     return routes.select("id", pen.alias("pen")).select("id", "pen.*")
+
+
+# Feet above the departure end where a climb is taken to begin, feet climbed before a turn, NM flown before it at least.
+DER_CROSSING_FT, TURN_START_FT, TURN_START_NM = 35.0, 400.0, 1.0
+
+
+def turn_starts(starts: DataFrame, default_ft_per_nm: float = 200.0) -> DataFrame:
+    """starts(der_lat, der_lon, der_elevation_ft, course_true, ft_per_nm, to_ft, ...) with where and how high the first turn may begin.
+
+    ft_per_nm up to to_ft is the published climb, null if there is none.
+    """
+    base = F.col("der_elevation_ft") + DER_CROSSING_FT
+    nm = F.greatest(F.lit(TURN_START_NM), geodesy.climb_nm(base, base + TURN_START_FT, F.col("ft_per_nm").cast("double"), F.col("to_ft").cast("double"), F.lit(default_ft_per_nm)))
+    at = geodesy.offset(F.lit(0.0), F.lit(0.0), F.col("course_true"), F.col("turn_nm"))
+    rows = starts.withColumn("base_ft", base).withColumn("turn_nm", nm).withColumn("_at", at)
+    lat = geodesy.plane_lat(F.col("der_lat"), F.col("_at.y"))
+    return rows.withColumn("turn_lat", lat).withColumn("turn_lon", geodesy.plane_lon(F.col("der_lat"), F.col("der_lon"), F.col("_at.x"))).drop("_at")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geodesy, labels
-from ..operators import bindings
+from ..operators import bindings, facilities, traces
 from .queries import query, r6, table, text
 
 FEET_NM = 6076.11549
@@ -48,7 +48,7 @@ def hold_candidates(spark, sf_dir):
 
 
 @query(
-    """select c_custkey as lid, case when c_custkey % 3 > 0 then c_custkey % 40 - 20.0 when c_custkey % 2 = 0 then c_custkey % 30 - 15.5 end as variation_east,
+    """select c_custkey as lid, cast(case when c_custkey % 3 > 0 then c_custkey % 40 - 20.0 when c_custkey % 2 = 0 then c_custkey % 30 - 15.5 end as double) as variation_east,
        case when c_custkey % 3 > 0 then 'published' when c_custkey % 2 = 0 then 'model' end as source from customer"""
 )
 def variation_fallback(spark, sf_dir):
@@ -159,3 +159,41 @@ def mean_course(spark, sf_dir):
     unit = geodesy.unit((F.col("l_partkey") % 120 + F.col("l_orderkey") % 200).cast("double"))
     s = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum(unit["x"]).alias("x"), F.sum(unit["y"]).alias("y"))
     return s.select("k", F.round(geodesy.course_of(F.col("x"), F.col("y")), 5).alias("course"))
+
+
+@query(
+    """with p as (select p_partkey as k, 30 + p_partkey % 400 / 20.0 as lat, -120 + p_partkey % 300 / 15.0 as lon, p_size * 20 + 35.0 as base, p_partkey * 7 % 360 as c, case when p_partkey % 3 > 0 then 210.0 + p_partkey % 300 end as g, case when p_partkey % 3 = 1 then p_size * 20 + 100 + p_partkey % 500 end as top from part),
+    n as (select *, greatest(1.0, greatest(least(base + 400, coalesce(top, 1e9)) - base, 0) / coalesce(g, 200.0) + greatest(base + 400 - greatest(base, coalesce(top, 1e9)), 0) / 200.0) as nm from p)
+    select k, cast(base as double) as base_ft, round(nm, 6) as turn_nm, round(lat + nm * cos(radians(c)) / 60, 6) as turn_lat, round(lon + nm * sin(radians(c)) / (60 * cos(radians(lat))), 6) as turn_lon from n"""
+)
+def turn_starts(spark, sf_dir):
+    """The first straight climb, at the published gradient as far as it reaches, else at the usual one."""
+    k = F.col("p_partkey")
+    starts = table(spark, sf_dir, "part").select(
+        k.alias("k"), (30 + k % 400 / 20.0).alias("der_lat"), (-120 + k % 300 / 15.0).alias("der_lon"), (F.col("p_size") * 20).alias("der_elevation_ft"), (k * 7 % 360).alias("course_true"),
+        F.when(k % 3 > 0, 210.0 + k % 300).alias("ft_per_nm"), F.when(k % 3 == 1, F.col("p_size") * 20 + 100 + k % 500).alias("to_ft"),
+    )
+    out = traces.turn_starts(starts)
+    return out.select("k", F.col("base_ft").cast("double").alias("base_ft"), *[r6(F.col(c)).alias(c) for c in ("turn_nm", "turn_lat", "turn_lon")])
+
+
+@query(
+    """with b as (select c_custkey, case when c_custkey % 3 = 0 then 'K' || (100 + c_custkey % 900) else cast(100 + c_custkey % 900 as varchar) end as lid from customer),
+    w as (select cast(100 + s_suppkey * 7 % 900 as varchar) as ident from supplier union all select 'K' || (100 + s_suppkey * 11 % 900) from supplier)
+    select c_custkey, lid, 'RWY ' || (c_custkey % 18 + 1) || '/' || (c_custkey % 18 + 19) as part from b where lid in (select ident from w) or (length(lid) = 4 and lid like 'K%' and substr(lid, 2) in (select ident from w))"""
+)
+def selected_airports(spark, sf_dir):
+    c, s = F.col("c_custkey"), F.col("s_suppkey")
+    blocks = table(spark, sf_dir, "customer").select("c_custkey", text(F.when(c % 3 == 0, "K").otherwise(""), 100 + c % 900).alias("lid"), labels.part_name(F.array(text(c % 18 + 1), text(c % 18 + 19))).alias("part"))
+    w = table(spark, sf_dir, "supplier")
+    return facilities.selected(blocks, w.select(text(100 + s * 7 % 900).alias("ident")).union(w.select(text("K", 100 + s * 11 % 900)))).select("c_custkey", "lid", "part")
+
+
+@query(
+    """with l as (select c_custkey as k from customer), r as (select s_suppkey * 20 as k from supplier)
+    select 'left' as side, k from l where k not in (select k from r) union all select 'right', k from r where k not in (select k from l)"""
+)
+def reconcile_overlap(spark, sf_dir):
+    """Two key sets of which each has some that the other lacks."""
+    right = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 20).alias("k"))
+    return facilities.reconcile(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), right, "k")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import cycles, geodesy, runways, signatures, spelling
-from ..operators import blocks, facilities, reports
+from ..operators import blocks, facilities, procedures, reports
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -275,12 +275,11 @@ def dedupe_last_wins(spark, sf_dir):
     select event_id, first_value(sense ignore nulls) over (partition by user_id, island order by event_id rows between current row and unbounded following) as sense from i"""
 )
 def radial_sense_backfill(spark, sf_dir):
-    """An unstated sense is that of the next leg on the same radial; islands of equal neighbours."""
-    t = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.when(F.col("event_id") % 3 == 0, F.col("value") > 50).alias("sense"))
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    t = t.withColumn("fresh", F.when(F.lag("event_type").over(w).eqNullSafe(F.col("event_type")), 0).otherwise(1)).withColumn("island", F.sum("fresh").over(w))
-    ahead = Window.partitionBy("user_id", "island").orderBy("event_id").rowsBetween(0, Window.unboundedFollowing)
-    return t.select("event_id", F.first("sense", ignorenulls=True).over(ahead).alias("sense"))
+    """Events as legs: an unstated sense is that of the next leg on the same radial."""
+    sense = F.when(F.col("event_id") % 3 == 0, F.col("value") > 50)
+    leg = F.struct(F.col("event_type").alias("ident"), F.lit(0).alias("radial"), sense.alias("sense"))
+    legs = table(spark, sf_dir, "events").select(F.col("user_id").alias("block"), F.lit(0).alias("line"), F.col("event_id").alias("seq"), leg.alias("leg"))
+    return procedures.carry_senses(legs).select(F.col("seq").alias("event_id"), "sense")
 
 
 @query(
@@ -288,10 +287,7 @@ def radial_sense_backfill(spark, sf_dir):
     select path, count(*) as n from (select user_id, string_agg(event_type, ' | ' order by event_id) as path from t where before is distinct from event_type group by 1) group by 1"""
 )
 def cluster_by_sequence(spark, sf_dir):
-    t = table(spark, sf_dir, "events").withColumn("before", F.lag("event_type").over(Window.partitionBy("user_id").orderBy("event_id")))
-    t = t.where(~F.col("before").eqNullSafe(F.col("event_type")))
-    path = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda x: x["event_type"]), " | ")
-    return t.groupBy("user_id").agg(path.alias("path")).groupBy("path").agg(F.count("*").alias("n"))
+    return reports.paths(table(spark, sf_dir, "events"), "user_id", "event_id", "event_type")
 
 
 # --- runways, gradients, cycles ------------------------------------------------------------------
@@ -447,7 +443,7 @@ def hold_agreement(spark, sf_dir):
 @query("select text_hash, count(*) as n, min(doc_id) as first_doc from (select doc_id, md5(text) as text_hash from documents) group by 1 having count(*) > 1")
 def duplicate_ids(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.encode("text", "UTF-8")).alias("text_hash"))
-    return d.groupBy("text_hash").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
+    return reports.repeated(d, "text_hash", "doc_id").withColumnRenamed("first", "first_doc")
 
 
 # --- geometry ------------------------------------------------------------------------------------
@@ -543,16 +539,12 @@ def label_argmin(spark, sf_dir):
     """select l_partkey, l_suppkey, min(l_orderkey * 10 + l_linenumber) as first_seq, case when count(distinct l_returnflag) = 1 then min(l_returnflag) end as grp, count(*) as n from lineitem group by 1, 2"""
 )
 def shape_dedupe(spark, sf_dir):
-    """Equal shapes once; one drawn by several groups belongs to none."""
-    t = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey")
-    flag = F.when(F.min("l_returnflag") == F.max("l_returnflag"), F.min("l_returnflag"))
-    return t.agg(F.min(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("first_seq"), flag.alias("grp"), F.count("*").alias("n"))
+    return reports.shapes_once(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"], F.col("l_orderkey") * 10 + F.col("l_linenumber"), "l_returnflag")
 
 
 @query("select l_orderkey, sha1(string_agg(l_partkey || ':' || l_suppkey, ',' order by l_linenumber, l_partkey || ':' || l_suppkey))[1:12] as digest from lineitem group by 1")
 def shape_digest(spark, sf_dir):
-    shapes = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", text(F.col("l_partkey"), ":", F.col("l_suppkey")).alias("s")))), lambda x: x["s"])
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.substring(F.sha1(F.array_join(shapes, ",").cast("binary")), 1, 12).alias("digest"))
+    return reports.digests(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", text(F.col("l_partkey"), ":", F.col("l_suppkey")))
 
 
 @query(

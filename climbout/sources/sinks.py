@@ -3,12 +3,32 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df as a table below spark.checkpoint.dir, so that later rounds do not depend on lost executors.
+
+    A local master without that setting gets a temporary folder (tests); a cluster must name a shared one.
+    """
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="climbout-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def manifest(name: str, abbreviation: str, organization: str, built: Column, effective: Column, expires: Column) -> Column:
     """The pack's manifest as JSON; its version is the build time in seconds."""
     day = lambda c: F.date_format(c, "yyyyMMdd'T'00:00:00'Z'")
