@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Longest label, name for no runways, compass points clockwise, order of parallels, degrees a hold's side may be off.
-LABEL_LIMIT, ALL_RUNWAYS = 22, "ALL RWYS"
+# Longest label, name for no runways, heading of a note, compass points clockwise, order of parallels, degrees a hold's side may be off.
+LABEL_LIMIT, ALL_RUNWAYS, NOT_SHOWN = 22, "ALL RWYS", "ODP NOT SHOWN"
 POINTS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
 PARALLELS = ("L", "C", "R")
 SIDE_TOLERANCE = 30
@@ -52,15 +54,76 @@ def part_name(runways: Column, unnamed: str = ALL_RUNWAYS) -> Column:
     return F.when(F.size(runways) == 0, F.lit(unnamed)).otherwise(F.concat(F.lit("RWY "), F.array_join(runways, "/")))
 
 
+def filled(pieces: Column, joined: Callable[[Column, Column], Column]) -> Column:
+    """The pieces in order as lines: each goes on the last line if the two joined still fit a label, else on a new one."""
+
+    def step(lines: Column, piece: Column) -> Column:
+        line = joined(F.try_element_at(lines, F.lit(-1)), piece)
+        kept = F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0)))
+        return F.when(F.char_length(line) <= LABEL_LIMIT, F.concat(kept, F.array(line))).otherwise(F.concat(lines, F.array(piece)))
+
+    return F.aggregate(pieces, F.expr("cast(array() as array<string>)"), step)
+
+
 def wrapped(phrases: Column) -> Column:
     """The phrases in order as lines, as many to a line as fit; a phrase that is too long stands alone."""
+    return filled(phrases, lambda line, phrase: F.concat(line, F.lit(" "), phrase))
+
+
+def not_shown(parts: Column) -> Column:
+    """Lines that name the parts of a procedure that are not drawn, each part once; only a part too long for a line breaks, after a slash."""
+
+    def pieces(named: Column) -> Column:
+        with_comma = F.transform(named, lambda p, i: F.when(i < F.size(named) - 1, F.concat(p, F.lit(","))).otherwise(p))
+        return F.flatten(F.transform(with_comma, lambda p: F.when(F.char_length(p) <= LABEL_LIMIT, F.array(p)).otherwise(F.regexp_extract_all(p, F.lit("[^/]+/?"), 0))))
+
+    space = lambda line: F.when(F.endswith(line, F.lit("/")), "").otherwise(" ")
+    return F.concat(F.array(F.lit(NOT_SHOWN)), filled(pieces(F.array_distinct(parts)), lambda line, piece: F.concat(line, space(line), piece)))
+
+
+def hold(inbound: Column, side: Column, altitude: Column) -> Column:
+    """Hold 246° RT ≥9300', with the altitude's own label or none."""
+    return F.concat_ws(" ", F.format_string("Hold %03d° %sT", inbound.cast("int"), side), altitude)
+
+
+def speed(kias: Column, until: Column) -> Column:
+    """≤200 KIAS until 9000' for a limit that ends on reaching an altitude, else only ≤200 KIAS."""
+    feet = F.regexp_extract(F.coalesce(until, F.lit("")), r"^(?i)reaching (\d+)(?: MSL)?\z", 1)
+    return F.concat(F.lit("≤"), kias.cast("string"), F.lit(" KIAS"), F.when(feet != "", F.concat(F.lit(" until "), feet, F.lit("'"))).otherwise(""))
+
+
+def visual_climb(altitude: Column, bound: Column) -> Column:
+    """VCOA (≥8200' SE bound); the direction only where the label still fits."""
+    label = lambda inner: F.concat(F.lit("VCOA ("), inner, F.lit(")"))
+    directed = label(F.concat(altitude, F.lit(" "), bound, F.lit(" bound")))
+    return F.when(F.char_length(directed) <= LABEL_LIMIT, directed).otherwise(label(altitude))
+
+
+def heading_range(sectors: Column, side: Column, altitude: Column) -> Column:
+    """[LT hdg 256° CW 054°, or 179° CW 254°, 7700'] for sectors array<struct<start, clockwise, end>>: where a label may break."""
+
+    def phrase(s: Column, i: Column) -> Column:
+        sector = F.format_string("%03d° %s %03d°", s["start"].cast("int"), F.when(s["clockwise"], "CW").otherwise("CCW"), s["end"].cast("int"))
+        opening = F.concat(F.when(side.isNotNull(), F.concat(side, F.lit("T "))).otherwise(""), F.lit("hdg "))
+        return F.concat(F.when(i == 0, opening).otherwise("or "), sector)
+
+    return F.array_compact(F.concat(F.transform(sectors, phrase), F.array(altitude)))
+
+
+def leg_name(side: Column, phrase: Column) -> Column:
+    """climbing right turn heading 077 to 7000: the name of the line of a leg."""
+    turn = F.when(side == "R", "climbing right turn ").when(side == "L", "climbing left turn ").otherwise("")
+    return F.concat(turn, phrase)
+
+
+def heading_phrase(magnetic: Column, feet: Column) -> Column:
+    """heading 077 to 7000, or heading 077 where it does not end at an altitude."""
+    return F.concat_ws(" to ", F.format_string("heading %03d", magnetic.cast("int")), feet.cast("string"))
 
-    def step(lines: Column, phrase: Column) -> Column:
-        joined = F.concat(F.try_element_at(lines, F.lit(-1)), F.lit(" "), phrase)
-        kept = F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0)))
-        return F.when(F.char_length(joined) <= LABEL_LIMIT, F.concat(kept, F.array(joined))).otherwise(F.concat(lines, F.array(phrase)))
 
-    return F.aggregate(phrases, F.expr("cast(array() as array<string>)"), step)
+def radial_phrase(ident: Column, degrees: Column, outbound: Column) -> Column:
+    """TPH R-210 inbound."""
+    return F.concat(radial(degrees, ident), F.when(outbound, " outbound").otherwise(" inbound"))
 
 
 def compass_bearing(point: Column) -> Column:

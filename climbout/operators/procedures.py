@@ -37,6 +37,7 @@ LEGS: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("ProceedOnCourse", r"(?:before|prior to) (?:turning|turn)(?: on course)?", ()),
     ("Direct", rf"(?:before|prior to) proceeding direct {TARGET}", ("target_name", "target", "target_type")),
     ("ClimbInHold", rf"(?:continue )?climb(?: in|-in-hold(?:ing)?)? (?:the )?{TARGET} (?:holding pattern|hold)(?:,? \((?:[Hh]old )?({POINT}), {SIDE}, (\d{{3}})°? inbound\))?(?:(?: to cross {TARGET})? (?:(at or above|at or below|at|to) )(\d{{3,5}}))?", ("target_name", "target", "target_type", "hold_side", "hold_turns", "inbound", "", "", "", "kind", "feet")),
+    ("ClimbInHold", rf"(?:continue )?climb(?: in|-in-hold(?:ing)?) (?:the )?(?:holding pattern|hold)(?: (?:(at or above|at or below|at|to) )(\d{{3,5}}))?", ("kind", "feet")),
     ("HeadingRange", rf"climb(?:ing)?(?: on)? (?:a )?heading between (\d{{3}})°? (CW|CCW) (?:to )?(\d{{3}})°?(?: from DER)?{ALTITUDE}", ("start", "rotation", "end", "kind", "feet")),
     ("MinimumClimb", r"min\. climb of (\d+) ft per NM to (\d+)", ("kias", "feet")),
     ("RunwayHeading", rf"climb(?: on)? (?:runway|rwy) (?:heading|hdg){ALTITUDE}", ("kind", "feet")),
@@ -134,3 +135,14 @@ def references(leg_rows: DataFrame) -> DataFrame:
     """(block, ident, type) of all navaids and fixes that the legs name, each once."""
     refs = F.array(F.struct(F.col("leg.ident").alias("ident"), F.col("leg.type").alias("type")), F.struct(F.col("leg.target").alias("ident"), F.col("leg.target_type").alias("type")))
     return leg_rows.where("leg is not null").select("block", F.explode(refs).alias("r")).where("r.ident is not null").select("block", "r.ident", "r.type").distinct()
+
+
+def legs_to_json(legs_: Column) -> Column:
+    """An array of legs as JSON, each with its node and all fields, absent ones null."""
+    return F.to_json(legs_, {"ignoreNullFields": "false"})
+
+
+def legs_from_json(text: Column) -> Column:
+    """The array of legs that `legs_to_json` wrote; a field that is missing is null."""
+    leg = ", ".join(["node: string", *(f"{f}: {'int' if f in NUMBERS else 'string'}" for f in FIELDS)])
+    return F.from_json(text, f"array<struct<turns: boolean, side: string, leg: struct<{leg}>>>")

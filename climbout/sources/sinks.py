@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -50,3 +50,40 @@ def report_markdown(by_kind: DataFrame, groups: DataFrame, summary: str, members
     more = F.when(F.size("airports") > members, F.concat(F.lit(" … and "), (F.size("airports") - members).cast("string"), F.lit(" more"))).otherwise("")
     body = groups.select(F.lit(3).alias("part"), F.col("first_seq").alias("seq"), F.concat(F.lit("- "), "kind", F.lit(": "), "signature", F.lit(" ("), F.array_join(F.slice("airports", 1, members), ", "), more, F.lit(")")).alias("line"))
     return head.unionByName(kinds).unionByName(body)
+
+
+# The report's totals and one finding, as they stand in its JSON lines; fields that older reports lack count as nothing.
+TOTALS = "cycle string, airports_with_text int, drawn int, label_count int, graphic_only int, partial int"
+FINDING = "kind string, airport string, signature string, verbatim_text string, amendment string"
+
+
+def fields(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(",")]
+
+
+def report_json(totals: DataFrame, findings: DataFrame) -> DataFrame:
+    """(seq, line): the report as JSON lines, its totals first (seq -1), then each finding of findings(seq, ...)."""
+    head = totals.select(F.lit(-1).cast("long").alias("seq"), F.to_json(F.struct(*fields(TOTALS)), {"ignoreNullFields": "false"}).alias("line"))
+    return head.unionByName(findings.select(F.col("seq").cast("long").alias("seq"), F.to_json(F.struct(*fields(FINDING)), {"ignoreNullFields": "false"}).alias("line")))
+
+
+def report_from_json(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(totals, findings with seq) of lines(seq, line) that `report_json` wrote."""
+    totals = lines.where("seq < 0").select(F.from_json("line", TOTALS).alias("t")).select("t.*")
+    return totals.fillna(0, ["graphic_only", "partial"]), lines.where("seq >= 0").select("seq", F.from_json("line", FINDING).alias("f")).select("seq", "f.*")
+
+
+def save_snapshot(outcomes: DataFrame, path: str, cycle: str) -> None:
+    """outcomes(lid, state, outcome, digest, findings) as the cycle's part of the snapshot table at path; a cycle saved again replaces its own part only."""
+    outcomes.select("lid", "state", "outcome", "digest", "findings").write.mode("overwrite").parquet(f"{path.rstrip('/')}/cycle={cycle}")
+
+
+def load_snapshot(spark: SparkSession, path: str, cycle: str, state: str | None = None) -> DataFrame:
+    """The outcomes of a cycle, of one state or of all."""
+    rows = spark.read.parquet(f"{path.rstrip('/')}/cycle={cycle}")
+    return rows if state is None else rows.where(F.col("state") == state)
+
+
+def sections_json(sections: DataFrame) -> DataFrame:
+    """(lid, line): one JSON object an airport with its id, amendment, departure procedure and visual climb; absent texts are null."""
+    return sections.select("lid", F.to_json(F.struct("lid", "amendment", "departure_procedure", "vcoa"), {"ignoreNullFields": "false"}).alias("line"))
