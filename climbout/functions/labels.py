@@ -126,6 +126,13 @@ def radial_phrase(ident: Column, degrees: Column, outbound: Column) -> Column:
     return F.concat(radial(degrees, ident), F.when(outbound, " outbound").otherwise(" inbound"))
 
 
+def compass_point(word: Column) -> Column:
+    """N of north or n, SE of southeast; null for anything else."""
+    names = ("NORTH", "NORTHEAST", "EAST", "SOUTHEAST", "SOUTH", "SOUTHWEST", "WEST", "NORTHWEST")
+    both = [F.lit(x) for pair in [*zip(names, POINTS), *zip(POINTS, POINTS)] for x in pair]
+    return F.try_element_at(F.create_map(*both), F.upper(word))
+
+
 def compass_bearing(point: Column) -> Column:
     """N is 0, NE 45, ... NW 315; null for anything else."""
     place = F.array_position(F.array(*[F.lit(p) for p in POINTS]), point)

@@ -9,6 +9,8 @@ from ..functions import labels, runways
 
 # Names of parts, the failure of a withheld route.
 UNNAMED_PART, VISUAL_PART = "other runways", "VCOA"
+# Legs that give no route.
+NO_ROUTE = ("NotAvailable", "Unrouted")
 UNREAD_SPEED = "unread speed limit in takeoff minimums"
 
 
@@ -18,8 +20,8 @@ def nodes(legs: Column) -> Column:
 
 
 def flies(legs: Column) -> Column:
-    """Whether a group flies a route: it has legs and does not send the pilot to a chart."""
-    return (F.size(legs) > 0) & ~F.array_contains(F.array_compact(nodes(legs)), "GraphicDeparture")
+    """Whether a group flies a route: it has legs, is available, and does not send the pilot to a chart."""
+    return F.exists(legs, lambda x: ~F.coalesce(x["leg"]["node"].isin(*NO_ROUTE), F.lit(False))) & ~F.array_contains(F.array_compact(nodes(legs)), "GraphicDeparture")
 
 
 def climbs_only(legs: Column) -> Column:

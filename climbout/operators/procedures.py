@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import runways, signatures
+from ..functions import labels, runways, signatures
 
-# Atoms of the published phrases.
+# The failure of a hold on the wrong side, atoms of the published phrases.
+CONTRARY_HOLD = "hold side contradicts its inbound course"
 TYPE = r"(?:VOR/DME|VORTAC|VOR|NDB|DME)"
 POINT = r"north(?:east|west)?|south(?:east|west)?|east|west|NE|NW|SE|SW|N|S|E|W"
 TARGET = rf"(?:([A-Z]+(?: [A-Z]+)*) )?\(?\b([A-Z]{{2,5}})\b\)?(?: ({TYPE})| INT)?"
@@ -22,17 +23,19 @@ ALTITUDE = r"(?: (?:to|until) (?:(at or above|at or below|at) )?(\d{3,5})(?: MSL
 SIDE = r"(left|right|LT|RT)(?: turns?)?"
 HEADER = r"^(?i:Rwys?) (\d{1,2}[LRC]?(?:/[LRC])*(?:, ?\d{1,2}[LRC]?(?:/[LRC])*)*)(?:[,:] ?| (?=climb))"
 OPENERS = r"(?:[,;]? then |[,;] | and )(?=(?:climb|climbing|proceed|direct|turn|left turn|right turn|intercept|continue)\b)|[,;]? (?=(?:before|prior to) )|[,;]? (?=thence\.\.\.)|[,;]? (?=do not exceed)|[,;]? (?=to cross [A-Z]+ R-)"
-FIELDS = ("direction", "heading", "name", "ident", "type", "radial", "sense", "target_name", "target", "target_type", "kind", "feet", "hold_side", "hold_turns", "inbound", "toward", "kias", "until_phrase", "start", "end", "rotation", "dme")
+FIELDS = ("direction", "heading", "name", "ident", "type", "radial", "sense", "target_name", "target", "target_type", "kind", "feet", "hold_side", "hold_turns", "inbound", "toward", "kias", "until_phrase", "start", "end", "rotation", "dme", "toward_or")
 NUMBERS = {"heading", "radial", "feet", "inbound", "kias", "start", "end"}
 
 #: (node, pattern, field of each capture); the first full match wins.
 LEGS: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("Thence", r"(?:thence)?\.\.\.", ()),
     ("NotAvailable", r"(?:departures? )?NA(?: ?- ?(?:Obstacles|ATC|Terrain|Environmental))?", ()),
+    ("Unrouted", r"(?i)(?:left|right) turns? on departure NA", ()),
+    ("Unrouted", r"(?i)diverse departures? (?:auth(?:orized)?|NA(?:[.,] use (?:RADAR vectors or )?published departure(?: procedures?)?(?: \(DP\))?(?: for obstacle avoidance)?)?)", ()),
     ("GraphicDeparture", r"(?:[Uu]se|[Ss]ee) ([A-Z]+(?: [A-Z]+)*) DEPARTURE(?: \([A-Z]+\))*", ("name",)),
     ("SpeedRestriction", r"do not exceed (\d+) KIAS until (.+)", ("kias", "until_phrase")),
     ("ProceedOnCourse", r"(?:(?:before|prior to) proceeding|proceed|climb) on course", ()),
-    ("ProceedOnCourse", rf"(?:before|prior to) (?:turning|proceeding) (?:{SIDE} )?(?:on course )?({POINT})(?:bound)?", ("direction", "toward")),
+    ("ProceedOnCourse", rf"(?:before|prior to) (?:turning|proceeding) (?:{SIDE} )?(?:on course )?({POINT})(?: ?bound)?(?: or ({POINT})(?: ?bound)?)?", ("direction", "toward", "toward_or")),
     ("ProceedOnCourse", r"(?:before|prior to) (?:turning (left|right)|(?:a )?(left|right) turn)(?: on course)?", ("direction", "toward")),
     ("ProceedOnCourse", r"(?:before|prior to) (?:turning|turn)(?: on course)?", ()),
     ("Direct", rf"(?:before|prior to) proceeding direct {TARGET}", ("target_name", "target", "target_type")),
@@ -50,6 +53,8 @@ LEGS: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("CrossRadial", rf"to cross {TARGET},? R-(\d{{3}})", ("name", "ident", "type", "radial")),
 )
 #: A turn is one leg with what it turns to.
+UNROUTED_TURN = r"(?i)turns? on departure NA\z"
+AIRWAY = r"\bthen (\w+bound) on\b"
 TURN = rf"^(?:climbing )?(?:{SIDE}|turn)(?: turn)?(?: to)?(?: (.+))?\z"
 
 
@@ -88,20 +93,27 @@ def groups(procedures: DataFrame) -> DataFrame:
     return out.withColumn("runways", F.when(F.col("tail"), F.expr("cast(array() as array<string>)")).otherwise(F.col("runways")))
 
 
-def legs(group_rows: DataFrame) -> DataFrame:
-    """(block, line, seq, piece, direction, leg, signature): each piece with its leg, or with a failure's signature."""
+def legs(group_rows: DataFrame, check_holds: bool = False) -> DataFrame:
+    """(block, line, seq, piece, turns, side, leg, signature): each piece with its leg, or with a failure's signature.
+
+    check_holds fails a hold whose printed side is not where its inbound course puts it.
+    """
     rows = group_rows.where("runways is not null").select("block", "line", F.posexplode(F.split(F.regexp_replace("body", OPENERS, "\u0001"), "\u0001")).alias("seq", "piece"))
-    turning = F.col("piece").rlike(r"^(?:climbing|turn|left|right|LT|RT)\b")
+    turning = F.col("piece").rlike(r"^(?:climbing|turn|left|right|LT|RT)\b") & ~F.col("piece").rlike(UNROUTED_TURN)
     side = F.upper(F.substring(F.regexp_extract("piece", TURN, 1), 1, 1))
     onto = F.regexp_extract("piece", TURN, 2)
     rows = rows.withColumn("turns", turning & F.col("piece").rlike(TURN)).withColumn("onto", F.when(F.col("turns"), onto).otherwise(F.col("piece")))
     rows = with_leg(rows.withColumn("side", F.when(F.col("turns"), F.nullif(side, F.lit("")))), "onto")
     bare = F.col("turns") & (F.col("onto") == "")
     failed = F.col("leg").isNull() & ~bare
-    return rows.select("block", "line", "seq", "piece", "turns", "side", "leg", F.when(failed, F.concat(F.lit('unmatched phrase "'), signatures.phrase_signature(F.col("piece")), F.lit('"'))).alias("signature"))
+    airway = F.regexp_extract("piece", AIRWAY, 1)
+    contrary = F.lit(check_holds) & (F.col("leg.node") == "ClimbInHold") & ~labels.side_agrees(labels.compass_point(F.col("leg.hold_side")), F.col("leg.inbound"))
+    unread = F.concat(F.lit('unmatched phrase "'), signatures.phrase_signature(F.col("piece")), F.lit('"'))
+    signature = F.when(failed & (airway != ""), F.concat(F.lit('unsupported routing "then '), F.lower(airway), F.lit(' on"'))).when(failed, unread).when(contrary, CONTRARY_HOLD)
+    return rows.select("block", "line", "seq", "piece", "turns", "side", "leg", signature.alias("signature"))
 
 
-def parse(procedures: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse(procedures: DataFrame, check_holds: bool = False) -> tuple[DataFrame, DataFrame]:
     """(readable groups, failures) of procedures(block, text).
 
     groups: block, line, runways, tail, legs in order.  failures: block, line, runways, signature (the first
@@ -109,7 +121,7 @@ def parse(procedures: DataFrame) -> tuple[DataFrame, DataFrame]:
     text that names none takes down the whole block, as does a failed tail.
     """
     rows = groups(procedures)
-    each = legs(rows)
+    each = legs(rows, check_holds)
     first = each.where("signature is not null").groupBy("block", "line").agg(F.min_by("signature", "seq").alias("signature"))
     loose = rows.where("runways is null").select("block", "line", F.concat(F.lit('unmatched phrase "'), signatures.phrase_signature(F.col("body")), F.lit('"')).alias("signature"))
     failures = rows.select("block", "line", "runways", "tail").join(first.unionByName(loose), ["block", "line"])

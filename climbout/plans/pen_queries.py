@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geodesy, labels
-from ..operators import parts, pens, procedures
+from ..operators import parts, pens, procedures, visual_climbs
 from ..sources import kml, sinks
 from .procedure_queries import departures
 from .queries import query, r6, table, text
@@ -234,3 +234,57 @@ def not_shown_labels(spark, sf_dir):
     short = labels.part_name(F.array(text(a)))
     named = F.when(k % 2 == 0, F.array(short, F.lit("VCOA"), short)).otherwise(F.array(long, F.lit("VCOA")))
     return table(spark, sf_dir, "part").select(k.alias("k"), F.array_join(labels.not_shown(named), "|").alias("lines"))
+
+
+def visual_sections(spark, sf_dir):
+    """A section per order, of one or two lines: runways or all of them, an airport or a fix, a direction, a limit of speed, or a word too many."""
+    k = F.col("o_orderkey")
+    approval = ", obtain ATC approval for VCOA when requesting IFR clearance. "
+    crossing = F.when(k % 3 == 0, text("ABCDE ")).when(k % 3 == 1, "Elk River Muni airport southeast bound ").otherwise("Elk River/Bend Fld airport ")
+    route = F.when(k % 2 == 0, text(" direct ELK VORTAC, continue climb in ELK holding pattern (NE, RT, ", F.lpad(k % 360, 3, "0"), "° inbound) to ", 9000 + k % 9 * 100)).otherwise(" before proceeding on course")
+    one = text(F.when(k % 5 == 0, "All runways").otherwise("Rwys 4, 13L/R"), approval, F.when(k % 7 == 0, "Slowly climb").otherwise("Climb"), " in visual conditions to cross ", crossing, "at or above ", 5000 + k % 50 * 100, route, ".", F.when(k % 4 == 1, " Do not exceed 180 KIAS until reaching 9000 MSL.").otherwise(""))
+    two = F.when(k % 4 == 3, text("\nRwy 22", approval, "Climb in visual conditions to cross Elk River airport at or above 8000 before proceeding east.", F.when(k % 8 == 3, " Do not exceed 200 KIAS.").otherwise(""))).otherwise("")
+    return table(spark, sf_dir, "orders").select(k.alias("block"), F.concat(one, two).alias("vcoa"))
+
+
+SQL_AGREES = "abs((45 - k % 360 + 360) % 360 - 180) <= 30"
+
+
+@query(
+    f"""with o as (select o_orderkey as k from orders)
+    select k as block, 0 as line, case when k % 5 = 0 then '' else '4,13L,13R' end as runways, case when k % 3 = 0 then 'ABCDE' end as cross_fix, case when k % 3 = 1 then 'southeast' end as bound, cast(5000 + k % 50 * 100 as int) as feet, case when k % 4 = 1 then 180 end as kias,
+       case when k % 4 = 1 then 'reaching 9000 MSL' end as until_phrase, case when k % 2 = 0 then 'Direct,ClimbInHold' else 'ProceedOnCourse' end as nodes from o where k % 7 > 0 and (k % 2 = 1 or {SQL_AGREES})
+    union all select k, 1, '22', null, null, 8000, null, null, 'ProceedOnCourse' from o where k % 8 = 7"""
+)
+def visual_climb_sections(spark, sf_dir):
+    climbs, _ = visual_climbs.read(visual_sections(spark, sf_dir))
+    nodes = F.array_join(F.transform("legs", lambda x: x["leg"]["node"]), ",")
+    return climbs.select("block", "line", F.array_join("runways", ",").alias("runways"), F.col("cross").alias("cross_fix"), "bound", "feet", "kias", "until_phrase", nodes.alias("nodes"))
+
+
+@query(
+    f"""with o as (select o_orderkey as k from orders)
+    select k as block, 0 as line, 'hold side contradicts its inbound course' as failure from o where k % 2 = 0 and k % 7 > 0 and not ({SQL_AGREES})
+    union all select k, 0, 'unmatched' from o where k % 7 = 0 union all select k, 1, 'speed limit after several visual climbs' from o where k % 8 = 3"""
+)
+def visual_climb_failures(spark, sf_dir):
+    _, failures = visual_climbs.read(visual_sections(spark, sf_dir))
+    return failures.select("block", "line", F.regexp_replace("signature", "^(unmatched) phrase.*", "$1").alias("failure"))
+
+
+@query(
+    f"""with o as (select o_orderkey as k from orders)
+    select k as block, 0 as line, case k % 4 when 0 then 'Unrouted' when 1 then 'Unrouted' when 2 then 'ClimbHeading,ProceedOnCourse' else '' end as nodes, case k % 4 when 2 then 'east/south' end as toward, k % 4 = 2 as flies,
+       case when k % 4 = 3 then 'unsupported routing "then westbound on"' end as failure from o"""
+)
+def unrouted_groups(spark, sf_dir):
+    """Groups without a route, of two directions, and along an airway."""
+    k = F.col("o_orderkey")
+    bodies = F.array(F.lit("left turn on departure NA."), F.lit("diverse departures NA, use RADAR vectors or published departure procedures for obstacle avoidance."), F.lit("climb heading 090° to 4000 before proceeding east or south bound."), F.lit("climb heading 090° to 4000, then westbound on V326 to GINNA."))
+    rows = procedures.groups(table(spark, sf_dir, "orders").select(k.alias("block"), text("Rwy 4, ", F.element_at(bodies, (k % 4 + 1).cast("int"))).alias("text")))
+    each = procedures.legs(rows, check_holds=True)
+    one = F.transform(F.array_sort(F.collect_list(F.struct("seq", F.struct("leg").alias("step")))), lambda x: x["step"])
+    read = each.groupBy("block", "line").agg(one.alias("legs"), F.max("signature").alias("failure"), F.max(F.concat_ws("/", "leg.toward", "leg.toward_or")).alias("toward"))
+    ok = F.col("failure").isNull()
+    nodes = F.when(ok, F.array_join(F.transform("legs", lambda x: x["leg"]["node"]), ",")).otherwise("")
+    return read.select("block", "line", nodes.alias("nodes"), F.when(ok, F.nullif(F.col("toward"), F.lit(""))).alias("toward"), (ok & parts.flies(F.col("legs"))).alias("flies"), "failure")

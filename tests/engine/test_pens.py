@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from climbout.functions import labels, shades
-from climbout.operators import parts, pens, procedures
+from climbout.operators import parts, pens, procedures, visual_climbs
 from climbout.sources import kml, sinks
 
 
@@ -152,3 +152,35 @@ def test_note_breaks_only_after_a_slash(spark):
     assert one(spark, labels.not_shown(strings())) == ["ODP NOT SHOWN"]
     assert one(spark, labels.not_shown(strings("RWY 4", "RWY 22", "RWY 4", "VCOA", "other runways"))) == ["ODP NOT SHOWN", "RWY 4, RWY 22, VCOA,", "other runways"]
     assert one(spark, labels.speed(F.lit(200), F.lit(None).cast("string"))) == "≤200 KIAS"
+
+
+def test_visual_climbs_of_a_section(spark):
+    ask = "obtain ATC approval for VCOA when requesting IFR clearance. "
+    climb = "Climb in visual conditions to cross "
+    texts = [
+        (1, f"Rwys 4, 13, {ask}{climb}Elk Mountain airport at or above 9200 before proceeding on course."),
+        (2, f"{ask.capitalize()}{climb}OAKEY westbound or above 4300 MSL. When executing VCOA, notify ATC prior to departure."),
+        (3, f"All runways: obtain ATC approval for climb in visual conditions when requesting IFR clearance. {climb}ELK VORTAC at or above 5000."),
+        (4, f"Rwy 9, {ask}{climb}Augusta Rgnl at Bush Fld at or above 5000, climb heading 090° to 6000 thence..."),
+        (5, None), (6, ""), (7, f"Rwy 9, {ask}{climb}Elk airport at or above 5000 direct nowhere at all."),
+    ]
+    climbs, failures = visual_climbs.read(spark.createDataFrame(texts, "block int, vcoa string"))
+    got = {r.block: (r.runways, r.cross, r.bound, r.feet, [x.leg.node for x in r.legs or []]) for r in climbs.collect()}
+    assert got == {1: (["4", "13"], None, None, 9200, ["ProceedOnCourse"]), 2: ([], "OAKEY", "west", 4300, [])}
+    lost = {r.block: r.signature for r in failures.collect()}
+    assert set(lost) == {3, 4, 7} and lost[3] == "unsupported VCOA crossing a navaid"
+    assert lost[4] == "visual climb into the shared tail" and lost[7].startswith("unmatched phrase")
+
+
+def test_routes_that_are_none(spark):
+    texts = [(1, "Rwy 9, NA - Obstacles."), (2, "Rwy 9, left turns on departure NA."), (3, "Rwy 9, diverse departures authorized."), (4, "Rwy 9, climb heading 090° to 2000.")]
+    read, failures = procedures.parse(spark.createDataFrame(texts, "block int, text string"))
+    assert failures.isEmpty() and {r.block for r in read.where(parts.flies(F.col("legs"))).collect()} == {4}
+    assert {r.block for r in parts.parts(read).collect()} == {4}
+
+
+def test_holds_on_the_wrong_side_fail_where_asked(spark):
+    hold = lambda side: f"Rwy 9, climb in ELK holding pattern (hold {side}, RT, 246° inbound) to 5000."
+    texts = spark.createDataFrame([(1, hold("northeast")), (2, hold("south")), (3, hold("E"))], "block int, text string")
+    assert {r.block: r.signature for r in procedures.parse(texts, check_holds=True)[1].collect()} == {2: procedures.CONTRARY_HOLD}
+    assert procedures.parse(texts)[1].isEmpty()
