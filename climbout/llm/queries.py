@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -85,8 +88,54 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_store, op3_packing, op4_toxicity, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_lm_score, op9_quality_knn, op10_exact_dedup)}
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .byte_bpe import decode, encode
+
+    back = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return back.select("doc_id", "n_tokens", F.sha2(F.col("decimals").cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def planted(doc_id: Column, text: Column) -> Column:
+    """The text whose words from some word on repeat, for one doc_id in ten by its crc32; other texts as they are."""
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, h = F.size(words).cast("long"), F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    cycle = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(cycle, F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int"))
+    repeated = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")
+    return F.when((h % 10 == 0) & (n > 0), repeated).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import periodic_runs
 
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    found = periodic_runs(docs).select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), listed.alias("listed"), "collapsed")
+    return found.select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import digest, field, fold, proof_digest, prove
+
+    docs = table(spark, sf_dir, "documents")
+    head = [field(F.col(c)) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", _UPPER, _LOWER)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, digest(*head, field(lowered)))
+    found = prove(docs.select("doc_id", "source", digest(*head, field(F.col("text"))).alias("leaf"), tampered.alias("other")))
+    folded = found.select("doc_id", "leaf", "subroot", "root", proof_digest().alias("proof_sha256"), fold(F.coalesce("other", "leaf")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_store, op3_packing, op4_toxicity, op5_decontamination, op6_url_filter, op7_jaccard_join, op8_lm_score, op9_quality_knn, op10_exact_dedup, op11_byte_bpe, op12_periodic_runs, op13_merkle_manifest)}
 
 
 def _url_sql() -> str:
@@ -108,7 +157,34 @@ def _url_sql() -> str:
         from r"""
 
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+def _merkle_sql(levels: int = 8) -> str:
+    """op13 in SQL: `levels` levels of each of the two trees, enough for 16 ** levels rows of a source; a root is carried up."""
+    field = lambda c: f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    bit = "case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end"
+    code = "cast(ascii(substr(cast(doc_id as varchar), i, 1)) as bigint)"
+    crc = f"xor(4294967295, list_reduce([{code} for i in range(1, len(cast(doc_id as varchar)) + 1)], lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: {bit}, xor(c, b)), 4294967295::bigint))"
+    run = "(partition by g, i // 16 order by i rows between"
+    parts = [f"""leaves as (select doc_id, case when source is null then '0' else '1' || source end as g, sha256({head} || {field("text")}) as leaf,
+                sha256({head} || {field(f"translate(text, '{_UPPER}', '{_LOWER}')")}) as other, coalesce({crc} % 5 = 0, false) as tampered from documents),
+        s0 as (select doc_id, other, tampered, g, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by g) as n, leaf as h from leaves)"""]
+    for t in "su":
+        if t == "u":
+            parts.append(f"u0 as (select g as source, 'all' as g, row_number() over (order by g) - 1 as i, count(*) over () as n, h from s{levels})")
+        for k in range(levels):
+            parts.append(f"""{t}{k}w as (select g, i, n, case when n = 1 then '' else coalesce(string_agg(h, '') over {run} 15 preceding and 1 preceding), '') end as l,
+                case when n = 1 then '' else coalesce(string_agg(h, '') over {run} 1 following and 15 following), '') end as r from {t}{k})""")
+            parts.append(f"""{t}{k + 1} as (select g, i // 16 as i, (any_value(n) + 15) // 16 as n, case when any_value(n) = 1 then any_value(h) else sha256(string_agg(h, '' order by i)) end as h
+                from {t}{k} group by g, i // 16)""")
+    parts.append("d0 as (select s0.doc_id, s0.g as sg, s0.i as si, u0.i as ui, s0.h as leaf, u0.h as subroot, case when tampered then other else s0.h end as folded, '' as proof from s0 join u0 on u0.source = s0.g)")
+    for k in range(2 * levels):
+        t, level, group, index = ("s", k, "d.sg", "d.si") if k < levels else ("u", k - levels, "'all'", "d.ui")
+        parts.append(f"""d{k + 1} as (select d.* replace (case when x.n = 1 then d.folded else sha256(x.l || d.folded || x.r) end as folded, d.proof || x.l || x.r as proof)
+                from d{k} d join {t}{level}w x on x.g = {group} and x.i = {index} // {16**level})""")
+    return f"""
+        with {", ".join(parts)}
+        select doc_id, leaf, subroot, h as root, sha256(proof) as proof_sha256, folded as folded_root, folded = h as verified from d{2 * levels} join u{levels} on true"""
+
 
 ORACLES = {
     "op5_decontamination": rf"""
@@ -133,6 +209,7 @@ ORACLES = {
         r(doc_id, reach) as (select doc_id, doc_id from d union select r.doc_id, links.b from r join links on links.a = r.reach)
         select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id
         from d left join n using (doc_id) join (select doc_id, min(reach) as component_id from r group by doc_id) m using (doc_id)""",
+    "op13_merkle_manifest": _merkle_sql(),
     "op10_exact_dedup": r"""
         with t as (
             select doc_id, length(coalesce(text, '')) as points,
