@@ -16,7 +16,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id
 
 def corpus(seed=11, n=70):
     rng = random.Random(seed)
-    words = ["".join(rng.choice("abcdeéß日1'. ") for _ in range(rng.randint(1, 6))).strip() or "x" for _ in range(40)]
+    words = ["".join(rng.choice("abcDeéß日1'. ") for _ in range(rng.randint(1, 6))).strip() or "x" for _ in range(40)]
     texts = []
     for i in range(n):
         w = [rng.choice(words[: rng.choice([2, 5, 40])]) for _ in range(rng.randint(0, 90))]
