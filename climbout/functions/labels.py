@@ -122,7 +122,7 @@ def heading_phrase(magnetic: Column, feet: Column) -> Column:
 
 
 def radial_phrase(ident: Column, degrees: Column, outbound: Column) -> Column:
-    """TPH R-210 inbound."""
+    """QVX R-210 inbound."""
     return F.concat(radial(degrees, ident), F.when(outbound, " outbound").otherwise(" inbound"))
 
 

@@ -1,87 +1,66 @@
-"""Canonical spelling of departure-procedure text: ordered rules, each a Column to Column function."""
+"""Canonical spelling of departure-procedure text.
 
-from __future__ import annotations
+A rule is a joint: what stands between a left and a right context is replaced.  Joints that put the same text share one
+alternation and so one pass over the text; a context is captured and written back, which needs no lookbehind.  The passes
+are plain nested expressions inside generated code.
+"""
 
-import functools
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Glyph pairs and patterns of the published text.
+# Glyph pairs of the published text.
 QUOTES = ("‘’“”º", "''\"\"°")
 FRACTIONS = {"¼": "1/4", "½": "1/2", "¾": "3/4", "⅛": "1/8", "⅜": "3/8", "⅝": "5/8", "⅞": "7/8"}
 
-
-#: Blanks within a line, as a character class.
+#: Blanks within a line, and any white space, as character classes.
 BLANK = r"[\h\f\r\x0B\x1C-\x1F\x85\u2028\u2029&&[^\u180e]]"
-
-Rule = Callable[[Column], Column]
-
-
-def chain(*rules: Rule) -> Rule:
-    def run(c: Column) -> Column:
-        for rule in rules:
-            c = rule(c)
-        return c
-
-    return run
-
-
-def guarded(rule: Rule, *marks: str) -> Rule:
-    """The rule for texts that hold one of the marks; others, most of them, pass for the price of a search."""
-
-    def run(c: Column) -> Column:
-        held = lambda x: functools.reduce(Column.__or__, [x.contains(m) for m in marks])
-        # the array names the text once, however often the rule does
-        return F.transform(F.array(c), lambda x: F.when(held(x), rule(x)).otherwise(x))[0]
-
-    return run
-
-
-def sub(pattern: str, to: str, *marks: str) -> Rule:
-    rule = lambda c: F.regexp_replace(c, pattern, to)
-    return guarded(rule, *marks) if marks else rule
-
-
-def fractions(c: Column) -> Column:
-    """A glyph after a digit is set off by a space; a bare one is just spelled out."""
-    c = F.regexp_replace(c, f"(?<=\\d)(?=[{''.join(FRACTIONS)}])", " ")
-    for glyph, plain in FRACTIONS.items():
-        c = F.replace(c, F.lit(glyph), F.lit(plain))
-    return c
-
-
-#: Rules in the order in which they apply.
-RULES: dict[str, Rule] = {
-    "straight_quotes": lambda c: F.translate(c, *QUOTES),
-    "ellipsis": chain(lambda c: F.replace(c, F.lit("…"), F.lit("...")), sub(r"\.[ \t]?\.(?:[ \t]?\.)+", "...", "..", ". .", ".\t.")),
-    "radials": sub(rf"(?U)\b[rR][-·](?:{BLANK}|\n)*(?=\d{{3}}\b)", "R-", "R-", "r-", "R·", "r·"),
-    "navaid_slash": sub(rf"(?U)(?<=\bVOR/|\bNDB/)(?:{BLANK}|\n)+(?=DME\b)", "", "VOR/", "NDB/"),
-    "heading_space": sub(r"(?iU)(?<=\bheading|\bhdg)(?=\d)", " ", "eading", "EADING", "dg", "DG"),
-    "heading_decimals": sub(r"(?iU)(?<=\b(?:heading|hdg) \d{1,3})\.0+\b", "", ".0"),
-    "climb_in_hold": sub(rf"(?iU)(?<=\bclimb)(?:-in(?:{BLANK}|\n)*-?|(?:{BLANK}|\n)+in(?:{BLANK}|\n)*-)(?:{BLANK}|\n)*(?=hold)", "-in-", "-in", "-IN", "-In", "in-", "in ", "IN-", "IN "),
-    "at_or_above": sub(r"(?iU)(?<=\bat)/(?=above\b)", " or ", "/a", "/A"),
-    "thousands": sub(r"(?<![\d,])(\d{1,2}),(?=\d{3}(?![\d,]))", "$1", ","),
-    "speed_limits": sub(r"(?iU)(?<=\bexceed \d{1,9}) ?k(?:nots|ts?)?\b", " KIAS", "xceed", "XCEED"),
-    "single_period": sub(r"(?<!\.)\.(?=\.(?!\.))", "", ".."),
-    "min_climb": sub(r"(?U)\bw(?:/ ?|ith a )min\b\.?", "with a min.", "min"),
-    "vcoa": sub(r"(?U)\bVOCA\b", "VCOA", "VOCA"),
-    "runway_heading_to": sub(rf"(?iU)(?<=\brunway heading)(?:{BLANK}|\n)+(?=[1-9]\d{{3,4}}\b)", " to ", "eading", "EADING"),
-    "fractions": guarded(fractions, *FRACTIONS),
-    "foot_marks": guarded(chain(sub(r"(?<=\d)'(?=\s*(?:per NM|/NM))", " ft"), sub(r"(?<=\d)'", "")), "'"),
-    "blanks": sub(rf"{BLANK}{{2,}}|[{BLANK}&&[^ ]]", " "),
-    # a line has one blank at its ends at most by now, and the text's own ends come last
-    "strip_lines": lambda c: F.replace(F.replace(c, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")),
-    "proceeding": sub(r"(?U)\bpreceding(?= on course\b)", "proceeding", "preceding"),
-    "climb_on_course": sub(r"(?U)\b([Cc])ontinue climb(?:ing)?(?= on course\b)", "$1limb", "ontinue climb"),
-    "blank_lines": sub(r"(?<=\n\n)\n+", "", "\n\n\n"),
-    "doubled_of": sub(r"(?U)\bof (?=of\b)", "", "of of"),
-    "hold_spec": sub(r"(?iU)(?<=\bholding pattern)\.(?= \(hold\b)", "", ". (h", ". (H"),
-    "strip": lambda c: F.btrim(c, F.lit(" \n")),
-}
+SPACE = rf"(?:{BLANK}|\n)"
+HEADING = r"\b(?i:heading|hdg)"
+
+Joint = tuple[str, str, str]
+
+#: (text to put, joints (left, between, right)): what a line says before its blanks are settled.
+WORDING: tuple[tuple[str, tuple[Joint, ...]], ...] = (
+    ("...", (("", r"\.(?:[ \t]?\.){2,}", ""),)),
+    ("R-", (("", rf"\b[Rr][-·]{SPACE}*", r"\d{3}\b"),)),
+    (" ", ((HEADING, "", r"\d"), (r"\d", "", f"[{''.join(FRACTIONS)}]"))),
+    ("", ((r"\b(?:VOR|NDB)/", f"{SPACE}+", r"DME\b"), (rf"{HEADING} \d{{1,3}}", r"\.0+\b", ""), (r"(?<![\d,])\d{1,2}", ",", r"\d{3}(?![\d,])"))),
+    ("-in-", ((r"\b(?i:climb)", rf"(?i:-in{SPACE}*-?|{SPACE}+in{SPACE}*-){SPACE}*", r"(?i:hold)"),)),
+    (" or ", ((r"\b(?i:at)", "/", r"(?i:above)\b"),)),
+    (" KIAS", ((r"\b(?i:exceed) \d+", r" ?(?i:k|kts?|knots)\b", ""),)),
+    (".", (("", r"(?<!\.)\.\.(?!\.)", ""),)),
+    ("with a min.", (("", r"\bw(?:/ ?|ith a )min\b\.?", ""),)),
+    ("VCOA", (("", r"\bVOCA\b", ""),)),
+    (" to ", ((r"\b(?i:runway heading)", f"{SPACE}+", r"[1-9]\d{3,4}\b"),)),
+    (" ft", ((r"\d", "'", r"\s*(?:per NM|/NM)"),)),
+    ("", ((r"\d", "'", ""),)),
+    (" ", (("", f"{BLANK}+", ""),)),
+)
+#: The same for lines whose blanks are settled.
+PHRASES: tuple[tuple[str, tuple[Joint, ...]], ...] = (
+    ("proceeding", (("", r"\bpreceding", r" on course\b"),)),
+    ("limb", ((r"\b[Cc]", "ontinue climb(?:ing)?", r" on course\b"),)),
+    ("", (("\n\n", "\n+", ""), (r"\bof", " of", r"\b"), (r"\b(?i:holding pattern)", r"\.", r" \((?i:hold)\b"))),
+)
+
+
+def put(text: Column, what: str, joints: tuple[Joint, ...]) -> Column:
+    """text with `what` at all the joints."""
+    places = "|".join(f"({left}){between}" + (f"(?={right})" if right else "") for left, between, right in joints)
+    back = "".join(f"${k + 1}" for k in range(len(joints)))
+    return F.regexp_replace(text, places, back + what)
 
 
 def normalize(text: Column) -> Column:
-    """All rules in order."""
-    return chain(*RULES.values())(text)
+    """The canonical spelling; null stays null."""
+    text = F.replace(F.translate(text, *QUOTES), F.lit("…"), F.lit("..."))
+    for what, joints in WORDING:
+        text = put(text, what, joints)
+    for glyph, plain in FRACTIONS.items():
+        text = F.replace(text, F.lit(glyph), F.lit(plain))
+    text = F.replace(F.replace(text, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    for what, joints in PHRASES:
+        text = put(text, what, joints)
+    return F.btrim(text, F.lit(" \n"))

@@ -200,7 +200,7 @@ QUERIES["token_counts_whole"], ORACLES["token_counts_whole"] = QUERIES["token_co
 def phrase_signatures(spark, sf_dir):
     k = F.col("p_partkey")
     word = F.when(k % 2 == 0, "NDB").otherwise("QRS")
-    phrase = text("Rwy ", k % 36 + 1, ", climb  TPH VORTAC R-", k % 360, " to ", k * 10, " ", word)
+    phrase = text("Rwy ", k % 36 + 1, ", climb  QVX VORTAC R-", k % 360, " to ", k * 10, " ", word)
     return table(spark, sf_dir, "part").select("p_partkey", signatures.phrase_signature(phrase).alias("signature"), signatures.is_ident_word(word).alias("names"))
 
 

@@ -66,10 +66,10 @@ def test_runways(spark):
 
 
 def test_signatures(spark):
-    assert column(spark, ["Climb to 9300 via TPH VORTAC R-210"], signatures.phrase_signature) == ["climb to <n> via <id> vortac r-<n>"]
-    assert column(spark, ["VOR", "TPH", "X", "Ab"], lambda c: signatures.is_ident_word(c)) == [False, True, False, False]
-    assert column(spark, ["at  ktph: TPH VOR R-210, 3U3 to 9300"], lambda c: signatures.finding_signature(c, F.lit("KTPH"))) == ["at id: id vor r-nnn, id to nnnn"]
-    (key,) = column(spark, ["TPH 12"], lambda c: signatures.signature_key(F.lit("parse"), c, F.lit(None)))
+    assert column(spark, ["Climb to 9300 via QVX VORTAC R-210"], signatures.phrase_signature) == ["climb to <n> via <id> vortac r-<n>"]
+    assert column(spark, ["VOR", "QVX", "X", "Ab"], lambda c: signatures.is_ident_word(c)) == [False, True, False, False]
+    assert column(spark, ["at  kqvx: QVX VOR R-210, 3U3 to 9300"], lambda c: signatures.finding_signature(c, F.lit("KQVX"))) == ["at id: id vor r-nnn, id to nnnn"]
+    (key,) = column(spark, ["QVX 12"], lambda c: signatures.signature_key(F.lit("parse"), c, F.lit(None)))
     assert key == hashlib.sha1(b"parse:id nn").hexdigest()
     assert column(spark, ["climb...to 9.5ft R-210é ¾"], signatures.tokens) == [["climb", "...", "to", "9.5ft", "R-210", "é", "¾"]]
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from climbout.sources import files, kml, sinks
 
-XML = """<?xml version="1.0"?><digital_tpp cycle="2609"><state_code ID="NV" state_fullname="Nevada">
-<city_name ID="TONOPAH" volume="SW-4"><airport_name ID="TONOPAH" military="N" apt_ident="TPH" icao_ident="KTPH" alnum="1">
+XML = """<?xml version="1.0"?><digital_tpp cycle="2609"><state_code ID="ID" state_fullname="Nevada">
+<city_name ID="QUAVERLY" volume="XX-7"><airport_name ID="QUAVERLY" military="N" apt_ident="QVX" icao_ident="KQVX" alnum="1">
 <record><chart_code>MIN</chart_code><chart_name>TAKEOFF MINIMUMS</chart_name><pdf_name>DELETED_JOB.PDF</pdf_name></record>
-<record><chart_code>MIN</chart_code><chart_name>TAKEOFF MINIMUMS</chart_name><pdf_name>SW4TO.PDF</pdf_name></record></airport_name>
-<airport_name ID="OTHER" military="N" apt_ident="05U" icao_ident="" alnum="2"><record><chart_code>MIN</chart_code><chart_name>TAKEOFF MINIMUMS</chart_name><pdf_name>SW4TO.PDF</pdf_name></record></airport_name>
+<record><chart_code>MIN</chart_code><chart_name>TAKEOFF MINIMUMS</chart_name><pdf_name>XX7TO.PDF</pdf_name></record></airport_name>
+<airport_name ID="OTHER" military="N" apt_ident="9Q4" icao_ident="" alnum="2"><record><chart_code>MIN</chart_code><chart_name>TAKEOFF MINIMUMS</chart_name><pdf_name>XX7TO.PDF</pdf_name></record></airport_name>
 <airport_name ID="NONE" military="N" apt_ident="XXX" icao_ident="" alnum="3"><record><chart_code>IAP</chart_code><chart_name>ILS</chart_name><pdf_name>1.PDF</pdf_name></record></airport_name>
 </city_name></state_code></digital_tpp>"""
 
@@ -20,18 +20,18 @@ XML = """<?xml version="1.0"?><digital_tpp cycle="2609"><state_code ID="NV" stat
 def test_metafile(spark, tmp_path):
     (tmp_path / "m.xml").write_text(XML)
     got = {r.lid: r for r in files.metafile(spark, str(tmp_path / "m.xml")).collect()}
-    assert set(got) == {"TPH", "05U"} and got["05U"].icao is None
-    assert (got["TPH"].icao, got["TPH"].city, got["TPH"].state, got["TPH"].volume) == ("KTPH", "TONOPAH", "NV", "SW4")
+    assert set(got) == {"QVX", "9Q4"} and got["9Q4"].icao is None
+    assert (got["QVX"].icao, got["QVX"].city, got["QVX"].state, got["QVX"].volume) == ("KQVX", "QUAVERLY", "ID", "XX7")
 
 
 def test_zipped_csv_and_pages(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "APT_CSV.zip", "w") as z:
-        z.writestr("APT_RWY.csv", '"ARPT_ID","RWY_ID","X"\n"TPH","11/29",""\n"05U","4",""\n')
+        z.writestr("APT_RWY.csv", '"ARPT_ID","RWY_ID","X"\n"QVX","11/29",""\n"9Q4","4",""\n')
     got = files.zipped_csv(spark, str(tmp_path / "APT_CSV.zip"), "APT_RWY.csv", ["RWY_ID", "ARPT_ID"]).collect()
-    assert [(r.RWY_ID, r.ARPT_ID) for r in got] == [("11/29", "TPH"), ("4", "05U")]
+    assert [(r.RWY_ID, r.ARPT_ID) for r in got] == [("11/29", "QVX"), ("4", "9Q4")]
     (tmp_path / "pages").mkdir()
-    (tmp_path / "pages" / "SW4.txt").write_text("one\ntwo\fthree")
-    assert sorted(map(tuple, files.pages(spark, str(tmp_path / "pages")).collect())) == [("SW4", 1, "one\ntwo"), ("SW4", 2, "three")]
+    (tmp_path / "pages" / "XX7.txt").write_text("one\ntwo\fthree")
+    assert sorted(map(tuple, files.pages(spark, str(tmp_path / "pages")).collect())) == [("XX7", 1, "one\ntwo"), ("XX7", 2, "three")]
 
 
 def test_issues_and_outputs(spark, tmp_path):
