@@ -4,7 +4,8 @@ A text is split by the vocabulary's pattern.  A piece that is itself a token is
 merged byte by byte under a segment tree over its byte positions: a leaf holds the rank of the pair that begins
 there, an inner node the leftmost minimum of its leaves.  The root names the next merge; a merge changes the pair
 at its own position, the pair of the live neighbour before it, and closes the position that it swallows, each a
-point update of logarithmic cost.  So a piece of n bytes takes n log n steps, however long it is.
+point update of logarithmic cost.  So a piece of n bytes takes n log n steps, however long it is.  The trees of all the short
+pieces of a slice of rows merge in step, as the rows of numpy arrays; a long piece has a tree of its own.
 
 The character classes of the pattern are those of the tiktoken library of the installation: its tables of letters, digits
 and blanks are asked once by the driver, and characters on which the regex module differs are read as one of the right class.
@@ -34,6 +35,8 @@ from .shared import small_batches
 CACHE_PIECES, CACHE_CHARS = 300_000, 48
 #: Tokens that are decoded at once.
 DECODE_TOKENS = 200_000
+#: Bytes of a piece whose tree is a row among others, and trees that merge in step.
+SHORT, TOGETHER = 64, 20_000
 #: Trees over more positions than this are kept in packed arrays.
 PACKED = 1 << 14
 
@@ -84,13 +87,6 @@ def stand_ins() -> dict[int, str]:
     return _classes[0]
 
 
-def any_of(points: list[int]) -> str:
-    """A pattern of these code points, as ranges."""
-    points = np.array(sorted(points))
-    cut = np.flatnonzero(np.diff(points) > 1)
-    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(points[np.r_[0, cut + 1]], points[np.r_[cut, len(points) - 1]], strict=True)) + "]"
-
-
 class PairTree:
     """Segment tree over the byte positions of a piece: which live pair merges next."""
 
@@ -142,6 +138,80 @@ class PairTree:
         return out
 
 
+class Pairs:
+    """The rank of the token that two tokens make, for many pairs at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        made = [(ranks[w[:k]] << 32 | ranks[w[k:]], rank) for w, rank in ranks.items() for k in range(1, len(w)) if w[:k] in ranks and w[k:] in ranks]
+        made.sort()
+        self.keys = np.array([k for k, _ in made] + [1 << 62], np.int64)
+        self.rank = np.array([r for _, r in made] + [0], np.int32)
+        self.bytes = np.array([ranks.get(bytes([i]), 0) for i in range(256)], np.int32)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, whether there is such a token)."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.keys, key)
+        return self.rank[at], self.keys[at] == key
+
+
+def merge_together(pieces: list[bytes], pairs: Pairs) -> list[bytes]:
+    """Ids (little-endian u32 bytes) of short pieces: one segment tree a row, all of them merging in step.
+
+    A key is rank and position in one number, so that the minimum is the leftmost pair of the least rank.
+    """
+    none, m = np.int64(1) << 62, len(pieces)
+    n = np.fromiter(map(len, pieces), np.int64, m)
+    width = max(2, 1 << int(n.max() - 1).bit_length())
+    token = np.zeros((m, width + 1), np.int32)
+    alive = np.arange(width + 1) < n[:, None]
+    token[alive] = pairs.bytes[np.frombuffer(b"".join(pieces), np.uint8)]
+    after = np.tile(np.arange(1, width + 2), (m, 1))
+    before = after - 2
+    tree = np.full((m, 2 * width), none)
+
+    flat_token, flat_after, flat_before, flat_alive, flat_tree = (x.reshape(-1) for x in (token, after, before, alive, tree))
+
+    def keys(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        base = rows * (width + 1)
+        right = flat_after[base + at]
+        inside = right < n[rows]
+        rank, known = pairs.of(flat_token[base + at], flat_token[base + np.where(inside, right, 0)])
+        return np.where(inside & known, rank.astype(np.int64) << 8 | at, none)
+
+    rows, at = np.nonzero(alive[:, :width])
+    tree[rows, width + at] = keys(rows, at)
+    for i in range(width - 1, 0, -1):
+        tree[:, i] = np.minimum(tree[:, 2 * i], tree[:, 2 * i + 1])
+    rows = np.arange(m)
+    while True:
+        top = flat_tree[rows * 2 * width + 1]
+        rows, top = rows[top < none], top[top < none]
+        if not len(rows):
+            break
+        base, root, at = rows * (width + 1), rows * (2 * width), top & 255
+        gone = flat_after[base + at]
+        right = flat_after[base + gone]
+        flat_token[base + at], flat_alive[base + gone] = top >> 8, False
+        flat_after[base + at] = right
+        flat_before[base + np.minimum(right, width)] = at
+        left = flat_before[base + at]
+        left = np.where(left < 0, at, left)
+        flat_tree[root + width + gone] = none
+        for where in (at, left):
+            flat_tree[root + width + where] = keys(rows, where)
+        paths, level = [width + gone, width + at, width + left], width
+        while level > 1:
+            level >>= 1
+            for k, path in enumerate(paths):
+                paths[k] = path >> 1
+                under = root + 2 * paths[k]
+                flat_tree[root + paths[k]] = np.minimum(flat_tree[under], flat_tree[under + 1])
+    ends = np.cumsum(alive.sum(1)) * 4
+    flat = token[alive].astype("<u4").tobytes()
+    return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
 class Vocabulary(dict):
     """Pieces of a text and their ids (little-endian u32 bytes), of which short ones are remembered; and the way back."""
 
@@ -152,8 +222,10 @@ class Vocabulary(dict):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.split = regex.compile(pattern)
+        self.pairs = Pairs(self.ranks)
         self.other = other
-        self.odd = regex.compile(any_of(list(other))) if other else None
+        self.odd = np.zeros(0x110000, bool)
+        self.odd[list(other)] = True
         size = max(self.ranks.values()) + 1
         words = [b""] * size
         for word, rank in self.ranks.items():
@@ -162,22 +234,40 @@ class Vocabulary(dict):
         self.words, self.decimals = Pool(words), Pool([b"%d," % i for i in range(size)])
 
     def pieces(self, text: str) -> list[str]:
-        if self.odd is None or text.isascii() or not self.odd.search(text):
+        if text.isascii() or not self.odd[np.frombuffer(text.encode("utf-32-le"), "<u4")].any():
             return self.split.findall(text)
         return [text[m.start() : m.end()] for m in self.split.finditer(text.translate(self.other))]
 
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8")
-        rank = self.ranks.get(raw)
-        ids = np.array(PairTree(raw, self.ranks).ids() if rank is None else [rank], "<u4").tobytes()
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.pieces(text)))
+    def learn(self, pieces: set[str]) -> None:
+        """Remember the ids of these pieces; short ones are merged together by the size of their trees."""
+        names = list(pieces)
+        raws = [p.encode("utf-8") for p in names]
+        ranks = list(map(self.ranks.get, raws))
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+        open_ = np.fromiter((r is None for r in ranks), bool, len(raws))
+        for i in np.flatnonzero(~open_).tolist():
+            self[names[i]] = ranks[i].to_bytes(4, "little")
+        for i in np.flatnonzero(open_ & (sizes > SHORT)).tolist():
+            self[names[i]] = np.array(PairTree(raws[i], self.ranks).ids(), "<u4").tobytes()
+        for k in range(1, SHORT.bit_length()):
+            group = np.flatnonzero(open_ & (sizes > 1 << k - 1) & (sizes <= 1 << k))
+            for j in range(0, len(group), TOGETHER):
+                part = group[j : j + TOGETHER].tolist()
+                self.update(zip([names[i] for i in part], merge_together([raws[i] for i in part], self.pairs), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        split = [self.pieces(t) for t in texts]
+        new = {p for pieces in split for p in pieces if p not in self}
+        if len(self) + len(new) > CACHE_PIECES:
+            self.clear()
+            new = {p for pieces in split for p in pieces}
+        self.learn(new)
+        out = [b"".join(map(self.__getitem__, pieces)) for pieces in split]
+        for piece in new:
+            if len(piece) > CACHE_CHARS:
+                del self[piece]
+        return out
 
 
 class Pool:
@@ -202,7 +292,7 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
         for batch in batches:
             for row in range(0, batch.num_rows, 256):
                 part = batch.slice(row, 256)
-                ids = [words.encode(t or "") for t in part.column("text").to_pylist()]
+                ids = words.encode([t or "" for t in part.column("text").to_pylist()])
                 sizes = pa.array([len(x) // 4 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), sizes, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
 

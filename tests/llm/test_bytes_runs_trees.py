@@ -93,17 +93,17 @@ def test_pieces_of_all_kinds_merge_as_in_tiktoken(tiktoken_encoding):
     for pool in ("abc", "aab ", "éüñ日本語", "ab'st 12.\n\t ", "ÀÁ€👍🏽 x", " \x1c\x85\xa0a1"):
         for _ in range(150):
             text = "".join(rng.choice(pool) for _ in range(rng.choice([0, 1, 2, 3, 9, 60, 400])))
-            assert np.frombuffer(words.encode(text), "<u4").tolist() == plain.encode_ordinary(text)
+            assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == plain.encode_ordinary(text)
     for low in range(0, 0x20000, 0x100):  # every character between letters, digits and blanks
         text = "".join(f"a{chr(c)}a1{chr(c)}1 {chr(c)} " for c in range(low, low + 0x100) if not 0xD800 <= c < 0xE000)
-        assert np.frombuffer(words.encode(text), "<u4").tolist() == plain.encode_ordinary(text)
+        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == plain.encode_ordinary(text)
 
 
 def test_one_piece_of_megabytes(tiktoken_encoding):
     words, plain = tiktoken_encoding
     rng = random.Random(4)
     for text in ("".join(rng.choice("abcdefgh") for _ in range(400_000)), "a" * 300_000):
-        assert np.frombuffer(words.encode(text), "<u4").tolist() == plain.encode_ordinary(text)
+        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == plain.encode_ordinary(text)
 
 
 def test_tree_holds_the_leftmost_least_pair(tiktoken_encoding):
@@ -111,6 +111,9 @@ def test_tree_holds_the_leftmost_least_pair(tiktoken_encoding):
     assert byte_bpe.PairTree(b"aaaab", ranks).ids() == [256, 259]
     assert byte_bpe.PairTree(b"aaa", ranks).ids() == [258]
     assert byte_bpe.PairTree(b"ba", ranks).ids() == [98, 97]
+    rng = random.Random(8)
+    pieces = [bytes(rng.choice(b"aab") for _ in range(rng.randint(1, 64))) for _ in range(300)]
+    assert byte_bpe.merge_together(pieces, byte_bpe.Pairs(ranks)) == [np.array(byte_bpe.PairTree(p, ranks).ids(), "<u4").tobytes() for p in pieces]
 
 
 def test_decode_refuses_unknown_ids(spark):
