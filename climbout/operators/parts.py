@@ -24,6 +24,11 @@ def flies(legs: Column) -> Column:
     return F.exists(legs, lambda x: ~F.coalesce(x["leg"]["node"].isin(*NO_ROUTE), F.lit(False))) & ~F.array_contains(F.array_compact(nodes(legs)), "GraphicDeparture")
 
 
+def no_route(legs: Column) -> Column:
+    """Whether a group gives its runways no route: not available, or a restriction alone."""
+    return F.forall(nodes(legs), lambda n: F.coalesce(n.isin(*NO_ROUTE), F.lit(False)))
+
+
 def climbs_only(legs: Column) -> Column:
     """Whether a group is nothing but a climb gradient."""
     return (F.size(legs) > 0) & F.forall(nodes(legs), lambda n: n.eqNullSafe("MinimumClimb"))

@@ -12,19 +12,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels, runways, signatures
+from ..sources.sinks import written
 
 # The failure of a hold on the wrong side, atoms of the published phrases.
 CONTRARY_HOLD = "hold side contradicts its inbound course"
 TYPE = r"(?:VOR/DME|VORTAC|VOR|NDB|DME)"
 POINT = r"north(?:east|west)?|south(?:east|west)?|east|west|NE|NW|SE|SW|N|S|E|W"
-TARGET = rf"(?:([A-Z]+(?: [A-Z]+)*) )?\(?\b([A-Z]{{2,5}})\b\)?(?: ({TYPE})| INT)?"
+TARGET = rf"(?:([A-Z]+(?: [A-Z]+)*) (?=\())?\(?\b([A-Z]{{2,5}})\b\)?(?: ({TYPE})| INT)?"
+#: A navaid by its name alone; its ident stands elsewhere in the procedure (bindings.named_navaids).
+NAMED = rf"([A-Z]+(?: [A-Z]+)+|[A-Z]{{6,}}) ({TYPE})"
 RADIAL = rf"(?:the )?{TARGET},? R-(\d{{3}})(?: (inbound|outbound))?"
 ALTITUDE = r"(?: (?:to|until) (?:(at or above|at or below|at) )?(\d{3,5})(?: MSL)?)?"
-SIDE = r"(left|right|LT|RT)(?: turns?)?"
-HEADER = r"^(?i:Rwys?) (\d{1,2}[LRC]?(?:/[LRC])*(?:, ?\d{1,2}[LRC]?(?:/[LRC])*)*)(?:[,:] ?| (?=climb))"
+SIDE = r"([Ll]eft|[Rr]ight|LT|RT)(?: turns?)?"
+HEADER = r"^(?i:Rwys?) (\d{1,2}[LRC]?(?:/[LRC])*(?:, ?\d{1,2}[LRC]?(?:/[LRC])*)*)(?:: ?|, ?(?!\d{1,2}[LRC]?\b)| (?=climb))"
 OPENERS = r"(?:[,;]? then |[,;] | and )(?=(?:climb|climbing|proceed|direct|turn|left turn|right turn|intercept|continue)\b)|[,;]? (?=(?:before|prior to) )|[,;]? (?=thence\.\.\.)|[,;]? (?=do not exceed)|[,;]? (?=to cross [A-Z]+ R-)"
 FIELDS = ("direction", "heading", "name", "ident", "type", "radial", "sense", "target_name", "target", "target_type", "kind", "feet", "hold_side", "hold_turns", "inbound", "toward", "kias", "until_phrase", "start", "end", "rotation", "dme", "toward_or")
-NUMBERS = {"heading", "radial", "feet", "inbound", "kias", "start", "end"}
+NUMBERS = {"dme", "heading", "radial", "feet", "inbound", "kias", "start", "end"}
 
 #: (node, pattern, field of each capture); the first full match wins.
 LEGS: tuple[tuple[str, str, tuple[str, ...]], ...] = (
@@ -44,18 +47,22 @@ LEGS: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("HeadingRange", rf"climb(?:ing)?(?: on)? (?:a )?heading between (\d{{3}})°? (CW|CCW) (?:to )?(\d{{3}})°?(?: from DER)?{ALTITUDE}", ("start", "rotation", "end", "kind", "feet")),
     ("MinimumClimb", r"min\. climb of (\d+) ft per NM to (\d+)", ("kias", "feet")),
     ("RunwayHeading", rf"climb(?: on)? (?:runway|rwy) (?:heading|hdg){ALTITUDE}", ("kind", "feet")),
-    ("StraightAhead", rf"climb straight ahead{ALTITUDE}", ("kind", "feet")),
+    ("StraightAhead", rf"[Cc]limb straight ahead{ALTITUDE}", ("kind", "feet")),
+    ("HeadingAndRadial", rf"(?:climb(?: on| via)? )?(?:heading|hdg) (\d{{3}})°? (?:and|to intercept|to join) (?:on )?{RADIAL}{ALTITUDE} to {TARGET}", ("heading", "name", "ident", "type", "radial", "sense", "kind", "feet", "target_name", "target", "target_type")),
+    ("Radial", rf"(?:climb|proceed|climb via|intercept|to intercept)(?: on| via)? {RADIAL}{ALTITUDE} to {TARGET}", ("name", "ident", "type", "radial", "sense", "kind", "feet", "target_name", "target", "target_type")),
+    ("Radial", rf"(?:climb|proceed|climb via|intercept|to intercept)(?: on| via)? {RADIAL} (?:to|until) (?:[A-Z]{{2,5}} )?(\d{{1,3}}) DME", ("name", "ident", "type", "radial", "sense", "dme")),
     ("HeadingAndRadial", rf"(?:climb(?: on| via)? )?(?:heading|hdg) (\d{{3}})°? (?:and|to intercept|to join) (?:on )?{RADIAL}{ALTITUDE}", ("heading", "name", "ident", "type", "radial", "sense", "kind", "feet")),
     ("ClimbHeading", rf"(?:climb(?: on| via)? )?(?:heading|hdg) (\d{{3}})°?{ALTITUDE}", ("heading", "kind", "feet")),
     ("Radial", rf"(?:climb|proceed|climb via|intercept|to intercept)(?: on| via)? {RADIAL}{ALTITUDE}", ("name", "ident", "type", "radial", "sense", "kind", "feet")),
     ("Direct", rf"(?:climb |proceed )?direct(?: to)? {TARGET}", ("target_name", "target", "target_type")),
+    ("Direct", rf"(?:(?:climb|proceed) )?direct(?: to)? {NAMED}", ("target_name", "target_type")),
     ("CrossAt", rf"(?:to )?cross {TARGET} (at or above|at or below|at) (\d{{3,5}})", ("target_name", "target", "target_type", "kind", "feet")),
     ("CrossRadial", rf"to cross {TARGET},? R-(\d{{3}})", ("name", "ident", "type", "radial")),
 )
 #: A turn is one leg with what it turns to.
 UNROUTED_TURN = r"(?i)turns? on departure NA\z"
 AIRWAY = r"\bthen (\w+bound) on\b"
-TURN = rf"^(?:climbing )?(?:{SIDE}|turn)(?: turn)?(?: to)?(?: (.+))?\z"
+TURN = rf"^(?:[Cc]limbing )?(?:{SIDE}|[Tt]urn)(?: turn)?(?: to)?(?: (.+))?\z"
 
 
 def with_leg(rows: DataFrame, piece: str, table: tuple = LEGS) -> DataFrame:
@@ -93,13 +100,13 @@ def groups(procedures: DataFrame) -> DataFrame:
     return out.withColumn("runways", F.when(F.col("tail"), F.expr("cast(array() as array<string>)")).otherwise(F.col("runways")))
 
 
-def legs(group_rows: DataFrame, check_holds: bool = False) -> DataFrame:
+def legs(group_rows: DataFrame, check_holds: bool = True) -> DataFrame:
     """(block, line, seq, piece, turns, side, leg, signature): each piece with its leg, or with a failure's signature.
 
-    check_holds fails a hold whose printed side is not where its inbound course puts it.
+    check_holds fails a hold whose printed side is not where its inbound course puts it (on unless the caller says otherwise).
     """
     rows = group_rows.where("runways is not null").select("block", "line", F.posexplode(F.split(F.regexp_replace("body", OPENERS, "\u0001"), "\u0001")).alias("seq", "piece"))
-    turning = F.col("piece").rlike(r"^(?:climbing|turn|left|right|LT|RT)\b") & ~F.col("piece").rlike(UNROUTED_TURN)
+    turning = F.col("piece").rlike(r"^(?:[Cc]limbing|[Tt]urn|[Ll]eft|[Rr]ight|LT|RT)\b") & ~F.col("piece").rlike(UNROUTED_TURN)
     side = F.upper(F.substring(F.regexp_extract("piece", TURN, 1), 1, 1))
     onto = F.regexp_extract("piece", TURN, 2)
     rows = rows.withColumn("turns", turning & F.col("piece").rlike(TURN)).withColumn("onto", F.when(F.col("turns"), onto).otherwise(F.col("piece")))
@@ -113,7 +120,7 @@ def legs(group_rows: DataFrame, check_holds: bool = False) -> DataFrame:
     return rows.select("block", "line", "seq", "piece", "turns", "side", "leg", signature.alias("signature"))
 
 
-def parse(procedures: DataFrame, check_holds: bool = False) -> tuple[DataFrame, DataFrame]:
+def parse(procedures: DataFrame, check_holds: bool = True) -> tuple[DataFrame, DataFrame]:
     """(readable groups, failures) of procedures(block, text).
 
     groups: block, line, runways, tail, legs in order.  failures: block, line, runways, signature (the first
@@ -121,7 +128,7 @@ def parse(procedures: DataFrame, check_holds: bool = False) -> tuple[DataFrame,
     text that names none takes down the whole block, as does a failed tail.
     """
     rows = groups(procedures)
-    each = legs(rows, check_holds)
+    each = written(legs(rows, check_holds), "legs")  # read once for groups and failures
     first = each.where("signature is not null").groupBy("block", "line").agg(F.min_by("signature", "seq").alias("signature"))
     loose = rows.where("runways is null").select("block", "line", F.concat(F.lit('unmatched phrase "'), signatures.phrase_signature(F.col("body")), F.lit('"')).alias("signature"))
     failures = rows.select("block", "line", "runways", "tail").join(first.unionByName(loose), ["block", "line"])
