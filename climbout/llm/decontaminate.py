@@ -243,7 +243,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFram
         if not last:
             rows = materialize(rows, "benchmark-hits")
             for block in shared:
-                block.unpersist()
+                block.destroy()
     return rows
 
 
@@ -324,7 +324,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_co
         if not last:
             rows = materialize(rows, "benchmark-hits")
             for block in shared:
-                block.unpersist()
+                block.destroy()
     return rows.toDF(*columns)
 
 

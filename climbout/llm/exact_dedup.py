@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, attach, materialize, union
+from .shared import BROADCAST_ROWS, attach, materialize, positional, union
 
 #: Members of a group that are verified against one copy of the winner's text in one task.
 VERIFY_RUN = 64
@@ -92,6 +92,7 @@ def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha25
 
 def survivors(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns: one for each distinct normalised text."""
+    columns, docs = docs.columns, positional(docs)
     dropped = exact_duplicates(docs).where("group_size > 1").select("doc_id", "digest", "points", "kept")
     dropped = materialize(dropped.distinct(), "lsm-decisions")
     few = dropped.count() <= BROADCAST_ROWS
@@ -104,4 +105,4 @@ def survivors(docs: DataFrame) -> DataFrame:
 
     alone = joined(dropped, "left_anti")
     chosen = joined(dropped.where("kept").select("doc_id", "digest", "points"), "left_semi").dropDuplicates(["_digest", "_points", "doc_id"])
-    return union(alone, chosen).drop("_digest", "_points")
+    return union(alone, chosen).drop("_digest", "_points").toDF(*columns)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .shared import BROADCAST_ROWS, attach, components, materialize, union
+from .shared import BROADCAST_ROWS, attach, components, materialize, positional, union
 
 #: Similarity in percent, words in a shingle.
 PERCENT, WORDS = 80, 5
@@ -513,6 +513,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows are told apart by doc_id and set, so a doc_id that several texts share stays with those not linked;
     of repeated rows one stays, and one of a component without doc_ids.  Rows without words all stay.
     """
+    columns, docs = docs.columns, positional(docs)
     rows = materialize(labelled(docs).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("node") == F.col("head"))), "jaccard-rows")
     # a doc_id of one row decides alone; others, and rows without one, are told apart by their sets
     shared = materialize(rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_doc")), "jaccard-shared")
@@ -524,7 +525,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     here = docs.doc_id.cast("long").eqNullSafe(F.col("_doc"))
     alone = docs.join(side(dropped, dropped.count() <= BROADCAST_ROWS), here, "left_anti")
     if shared.isEmpty():
-        return alone
+        return alone.toDF(*columns)
     alone = alone.join(side(shared, few_shared), here, "left_anti")
     pairs = rows.join(side(shared, few_shared), odd, "left_semi").where("node is not null").groupBy("doc_id", "node", "kept").agg(F.count("*").alias("rows"))
     decided = materialize(pairs.where("not kept or rows > 1").select(F.col("doc_id").alias("_doc"), F.col("node").alias("_set"), "kept"), "jaccard-decided")
@@ -533,4 +534,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     match = keyed.doc_id.cast("long").eqNullSafe(F.col("_doc")) & (F.col("_node") == F.col("_set"))
     others = keyed.join(side(decided, few), match, "left_anti")
     repeated = keyed.join(side(decided.where("kept"), few), match, "left_semi").dropDuplicates(["doc_id", "_node"])
-    return union(alone, others.drop("_node"), repeated.drop("_node"))
+    return union(alone, others.drop("_node"), repeated.drop("_node")).toDF(*columns)

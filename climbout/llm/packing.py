@@ -11,7 +11,9 @@ Each task packs its own documents in bounded pools, so nothing is shuffled and n
 ever gathered; padding is at most one open sequence per pool.
 
 Defined results: null or empty text gives a document of its end id alone; equal pieces are taken in input
-order; an empty table gives no pieces; other columns are ignored.
+order; repeated rows and rows without doc_id are documents of their own, packed like any other; a text of any length is
+tokenized whole and cut into full sequences and a remainder; an empty table gives no pieces; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -85,7 +87,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tokens: int = 4096, segm
     sequence_id holds the task's partition in its upper bits and counts in the lower ones.
     """
     tokenizer = tokenizer or tk.default_tokenizer()
-    capacity = np.array([tokens, segments, loss or tokens], np.int64)
+    capacity = np.array([tokens, segments, tokens if loss is None else loss], np.int64)
+    if capacity.min() < 1:
+        raise ValueError("a sequence must hold at least one token, one segment and one loss-bearing token")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

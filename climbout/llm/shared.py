@@ -54,6 +54,11 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def positional(docs: DataFrame) -> DataFrame:
+    """docs with neutral names for all columns but doc_id and text, so that none clashes with those of an operator."""
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)])
+
+
 def union(*frames: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, frames)
 

@@ -630,3 +630,9 @@ def test_a_cluster_must_name_its_shared_folder():
     session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077"))
     with pytest.raises(ValueError):
         shared.shared_folder(session, "x")
+
+
+def test_packing_refuses_limits_of_nothing(docs):
+    for limits in ({"loss": 0}, {"tokens": 0}, {"segments": 0}):
+        with pytest.raises(ValueError, match="at least one"):
+            packing.pack(docs, **limits)

@@ -46,3 +46,34 @@ def test_stages_in_a_row(spark, sf_dir, tmp_path):
             assert docs.columns == columns
     assert names[-1] == "packing" and docs.groupBy("sequence_id").sum("length").where("`sum(length)` > 4096").count() == 0
     assert corpus_pipeline.run(spark, sf_dir).agg({"length": "sum"}).first()[0] == docs.agg({"length": "sum"}).first()[0]
+
+
+@pytest.fixture(scope="module")
+def clash_dir(spark, sf_dir, tmp_path_factory):
+    """The same tables with columns named like those that the operators use, and repeated doc_ids."""
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path_factory.mktemp("clash"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.union(docs.where("doc_id in (3, 4)").withColumn("text", F.concat("text", F.lit(" more words here for another row")))).union(docs.where("doc_id = 5"))
+    for name in ("_node", "_digest", "_points", "_doc", "_set", "kept", "digest", "bits", "n"):
+        docs = docs.withColumn(name, F.lit(name))
+    docs.write.parquet(f"{path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+def test_columns_with_clashing_names_stay(spark, clash_dir):
+    docs = spark.read.parquet(f"{clash_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, clash_dir)
+        assert kept.columns == docs.columns, name
+        rows = kept.collect()
+        assert rows and all(r[c] == c for r in rows for c in docs.columns[5:]), name
+
+
+def test_empty_tables_give_no_pieces(spark, sf_dir, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).isEmpty()
