@@ -159,3 +159,18 @@ def swept(start: Column, end: Column, clockwise: Column) -> Column:
 def other_headings(named: Column) -> Column:
     """The whole-degree headings that are not named, ascending."""
     return F.array_except(F.sequence(F.lit(0), F.lit(359)), named)
+
+
+def fewest_lines(runways: Column, phrases: Column) -> Column:
+    """The lines of a range of headings: the runways lead its first phrase, or lead it without its `hdg`, or stand alone.
+
+    Of the ways that fit a label the one with the fewest lines wins, the first of them on ties; runways that fit no label are left out.
+    """
+    tag, first = runway_tag(runways), phrases[0]
+    rest = F.slice(phrases, F.lit(2), F.greatest(F.size(phrases) - 1, F.lit(0)))
+    leads = [F.concat(tag, F.lit(" "), first), F.concat(tag, F.lit(" "), F.regexp_replace(first, r"^(.*?)hdg ", "$1"))]
+    standing = F.concat(F.lit("RWY "), tag)
+    alone = F.when((tag != ALL_RUNWAYS) & (F.char_length(standing) <= LABEL_LIMIT), standing).otherwise(tag)
+    ways = [F.when(F.char_length(lead) <= LABEL_LIMIT, wrapped(F.concat(F.array(lead), rest))) for lead in leads] + [F.concat(F.array(alone), wrapped(phrases))]
+    ranked = F.transform(F.filter(F.array(*[F.struct(F.size(w).alias("n"), F.lit(i).alias("i"), w.alias("lines")) for i, w in enumerate(ways)]), lambda w: w["lines"].isNotNull()), lambda w: w)
+    return F.when(tag.isNull(), wrapped(phrases)).otherwise(F.array_min(ranked)["lines"])
