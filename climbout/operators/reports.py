@@ -111,3 +111,45 @@ def digests(rows: DataFrame, key: str, order: str, shape: Column) -> DataFrame:
     """(key, digest): the first twelve hex digits of the SHA-1 of a key's shapes in order."""
     shapes = F.transform(F.array_sort(F.collect_list(F.struct(order, shape.alias("s")))), lambda x: x["s"])
     return rows.groupBy(key).agg(F.substring(F.sha1(F.array_join(shapes, ",").cast("binary")), 1, 12).alias("digest"))
+
+
+#: Members of a group that an issue lists; the rest are only counted.
+LISTED = 50
+
+
+def issue_texts(findings: DataFrame, cycle: str, listed: int = LISTED) -> DataFrame:
+    """(key, title, body, n) of findings(seq, kind, signature, airport, amendment, detail, verbatim_text): an issue a group.
+
+    The body names at most `listed` members, those first by airport; they are numbered by a window and only they are gathered, so that a
+    frequent signature is no larger a row than a rare one.
+    """
+    keyed = findings.withColumn("key", signatures.signature_key(F.col("kind"), F.col("signature"), F.col("airport")))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.struct("kind", "signature"), "seq").alias("first"))
+    named = heads(keyed, ["key"], [F.col("airport"), F.col("seq")], listed)
+    empty = lambda c: F.coalesce(F.col(c), F.lit(""))
+    row = F.concat(F.lit("| "), empty("airport"), F.lit(" | "), empty("amendment"), F.lit(" | "), empty("detail"), F.lit(" |"))
+    block = F.concat(F.lit("### "), empty("airport"), F.lit("\n```\n"), empty("verbatim_text"), F.lit("\n```\n"))
+    lines = F.array_sort(F.collect_list(F.struct("_n", row.alias("row"), block.alias("block"))))
+    told = named.groupBy("key").agg(lines.alias("lines")).join(sizes, "key")
+    more = F.when(F.col("n") > listed, F.concat(F.lit("… and "), (F.col("n") - listed).cast("string"), F.lit(" more, see report.json in the release\n"))).otherwise("")
+    head = F.concat(F.lit("<!-- odp-signature: "), "key", F.lit(f" -->\n\nCycle {cycle}, "), F.col("n").cast("string"), F.lit(" airports.\n\n| Airport | Amendment | Detail |\n| --- | --- | --- |\n"))
+    body = F.concat(head, F.array_join(F.transform("lines", lambda x: x["row"]), "\n"), F.lit("\n"), more, F.lit("\n"), F.array_join(F.transform("lines", lambda x: x["block"]), "\n"))
+    title = F.concat(F.lit("[odp] "), "first.kind", F.lit(": "), signatures.finding_signature(F.col("first.signature")))
+    return told.select("key", title.alias("title"), body.alias("body"), "n")
+
+
+def heads(rows: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    """The first n rows of each key, numbered from 1 as `_n`.
+
+    Rows are numbered within a share of their key first and again among the n of each share, so no task holds a frequent key.
+    """
+    share = F.pmod(F.xxhash64(*order), F.lit(64))
+    part = Window.partitionBy(*keys, "_share").orderBy(*order)
+    few = rows.withColumn("_share", share).withColumn("_n", F.row_number().over(part)).where(F.col("_n") <= n)
+    return few.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= n).drop("_share")
+
+
+def clusters(rows: DataFrame, key: str) -> DataFrame:
+    """(key, n), most frequent keys first, then by key."""
+    counted = rows.groupBy(key).agg(F.count("*").alias("n"))
+    return counted.orderBy(F.desc("n"), key)

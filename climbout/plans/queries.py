@@ -190,8 +190,6 @@ def token_counts(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(F.explode(signatures.tokens(line)).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
-QUERIES["token_counts_whole"], ORACLES["token_counts_whole"] = QUERIES["token_counts"], ORACLES["token_counts"]
-
 
 @query(
     """select p_partkey, 'rwy <n>, climb <id> vortac r-<n> to <n>' || case when p_partkey % 2 = 0 then ' ndb' else ' <id>' end as signature,
@@ -235,8 +233,6 @@ def airport_blocks(spark, sf_dir):
     return blocks_of(table(spark, sf_dir, "customer"))
 
 
-QUERIES["airport_blocks_whole"], ORACLES["airport_blocks_whole"] = QUERIES["airport_blocks"], ORACLES["airport_blocks"]
-
 
 def blocks_of(customers: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
@@ -379,8 +375,6 @@ def neighbour_pairs(spark, sf_dir):
     return facilities.neighbours(points, 40.0).select("a", "b", F.round("nm", 6).alias("nm"))
 
 
-QUERIES["neighbour_pairs_whole"], ORACLES["neighbour_pairs_whole"] = QUERIES["neighbour_pairs"], ORACLES["neighbour_pairs"]
-
 
 @query(None)
 def greedy_palette(spark, sf_dir):
@@ -403,17 +397,6 @@ def airport_lookup_fallback(spark, sf_dir):
     return facilities.find_airport(refs, airports).select("c_custkey", "ident", "lid", "found_by")
 
 
-QUERIES["airport_lookup_fallback_whole"], ORACLES["airport_lookup_fallback_whole"] = QUERIES["airport_lookup_fallback"], ORACLES["airport_lookup_fallback"]
-
-
-@query(
-    """with o as (select distinct o_custkey as k from orders), c as (select c_custkey as k from customer)
-    select 'left' as side, k from c where k not in (select k from o) union all select 'right', k from o where k not in (select k from c)"""
-)
-def reconcile_both_ways(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
-    return facilities.reconcile(c, table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), "k")
-
 
 @query(
     """select a.l_orderkey as lid, a.l_linenumber as end_id, min(b.l_linenumber) as reciprocal_id from lineitem a join lineitem b

@@ -18,7 +18,7 @@ def sf_dir(spark, tmp_path_factory):
 
 
 def test_tokens_of_all_orders(spark, sf_dir):
-    got = {r.token: r.n for r in QUERIES["token_counts_whole"](spark, sf_dir).collect()}
+    got = {r.token: r.n for r in QUERIES["token_counts"](spark, sf_dir).collect()}
     assert got["URGENT"] == got["..."] == got["NA"] == 400
     assert all(got[f"R-{k * 7}"] == got[f"{k}.25ft"] == 1 for k in range(1, 401))
 
@@ -26,12 +26,12 @@ def test_tokens_of_all_orders(spark, sf_dir):
 def test_neighbours_of_all_customers(spark, sf_dir):
     place = {k: (30 + k * 37 % 1000 / 100, -120 + k * 91 % 2000 / 100) for k in range(1, 1301)}
     want = {(a, b) for a in place for b in place if a < b and abs(place[a][0] - place[b][0]) < 1 and nm(place[a], place[b]) <= 40}
-    got = [(r.a, r.b) for r in QUERIES["neighbour_pairs_whole"](spark, sf_dir).collect()]
+    got = [(r.a, r.b) for r in QUERIES["neighbour_pairs"](spark, sf_dir).collect()]
     assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_airports_of_all_suppliers_and_customers(spark, sf_dir):
-    rows = QUERIES["airport_lookup_fallback_whole"](spark, sf_dir).collect()
+    rows = QUERIES["airport_lookup_fallback"](spark, sf_dir).collect()
     lids = {f"A{s}" for s in range(1, 131)}
     icao = {f"K{s}": f"A{s}" for s in range(3, 131, 3) if s > 99}
     for r in rows:
@@ -44,5 +44,5 @@ def test_airports_of_all_suppliers_and_customers(spark, sf_dir):
 
 
 def test_blocks_of_all_customers(spark, sf_dir):
-    got = {(r.volume, r.lid): (r.page, r.obstacle_notes) for r in QUERIES["airport_blocks_whole"](spark, sf_dir).collect()}
+    got = {(r.volume, r.lid): (r.page, r.obstacle_notes) for r in QUERIES["airport_blocks"](spark, sf_dir).collect()}
     assert got == {(k // 1000, f"K{k % 1000:03}"): (k % 1000 // 2, f"Rwy 4, trees {k} from DER.") for k in range(1, 1301)}
