@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from climbout.operators import routes, whole_sections
 
 R = routes.RADIUS
-NAMES = ("node", "side", "turns", "heading", "feet", "fx", "fy", "nx", "ny", "radial", "sense", "dme", "at_navaid", "onto")
+NAMES = ("node", "side", "turns", "heading", "feet", "fx", "fy", "nx", "ny", "radial", "sense", "dme", "at_navaid", "onto", "inbound")
 SCHEMA = f"id int, x double, y double, course double, base_ft double, ft_per_nm double, to_ft double, legs array<struct<{', '.join(f.replace(' ', ': ', 1) for f in routes.LEG.split(', '))}>>"
 
 
@@ -26,7 +26,7 @@ class Plain:
 
     def __init__(self, x, y, course, base, steep, top):
         self.at, self.course, self.runway, self.base, self.steep, self.top = complex(x, y), course, course, base, steep, top
-        self.along, self.open, self.straight = 1.0, False, True
+        self.along, self.open, self.straight, self.ranged = 1.0, False, True, False
 
     @staticmethod
     def way(course):
@@ -64,6 +64,8 @@ class Plain:
 
     def fly(self, v):
         node, side = v["node"], v["side"]
+        if self.ranged and node not in ("ProceedOnCourse", "SpeedRestriction"):
+            raise Stop("leg after a heading range")
         if node in routes.HEADINGS:
             if node == "StraightAhead" and (v["turns"] or not self.straight):
                 raise Stop("unsupported leg")
@@ -85,12 +87,27 @@ class Plain:
             self.go(abs(fix - self.at))
         elif node in routes.RADIALS:
             self.radial(v)
+        elif node == "HeadingRange":
+            if v["feet"] is not None and v["feet"] <= self.base:
+                raise Stop("altitude not above current")
+            self.ranged = True
+        elif node == "ClimbInHold":
+            if v["inbound"] is None:
+                raise Stop("hold unspecified")
+            fix = complex(v["fx"], v["fy"])
+            if abs(fix - self.at) > 0.01:
+                if abs((math.degrees(math.atan2((fix - self.at).real, (fix - self.at).imag)) - self.course + 180) % 360 - 180) > 90:
+                    raise Stop("hold fix behind")
+                self.fly({**v, "node": "Direct", "side": None})
+            self.at, self.course = fix, v["inbound"]
+            if v["feet"] is not None:
+                self.base, self.along = v["feet"], 0.0
         elif node == "CrossAt":
             off = (complex(v["fx"], v["fy"]) - self.at) / self.way(self.course)
             if abs(off.real) > 0.01 or abs(off.imag) > 0.5:
                 raise Stop("crossing off the route")
         self.open = self.open if node == "Thence" else node in ("ClimbHeading", "RunwayHeading") and v["feet"] is None
-        self.straight = self.straight and node not in ("ClimbHeading", "Direct", *routes.RADIALS)
+        self.straight = self.straight and node not in ("ClimbHeading", "Direct", "ClimbInHold", "HeadingRange", *routes.RADIALS)
 
     def radial(self, v):
         if v["sense"] is None:
@@ -192,7 +209,7 @@ class Plain:
 def random_route(rng):
     legs, side = [], lambda: rng.choice([None, "L", "R"])
     for _ in range(rng.randint(1, 4)):
-        kind = rng.choice(["heading", "heading", "runway", "ahead", "direct", "both", "both", "radial", "onto", "cross", "thence", "course"])
+        kind = rng.choice(["heading", "heading", "runway", "ahead", "direct", "both", "both", "radial", "onto", "cross", "thence", "course", "hold", "range"])
         feet = rng.choice([None, rng.choice([900.0, 2500.0, 4000.0, 9000.0])])
         radial = dict(nx=rng.uniform(-12, 12), ny=rng.uniform(-12, 12), radial=rng.uniform(0, 360), sense=rng.choice(["inbound", "outbound", "outbound", None]))
         end = rng.choice([dict(feet=rng.choice([2500.0, 4000.0, 9000.0])), dict(dme=rng.uniform(1, 25)), dict(at_navaid=True, fx=radial["nx"], fy=radial["ny"]), {}, dict(dme=rng.uniform(5, 25), feet=4000.0)])
@@ -211,6 +228,10 @@ def random_route(rng):
             legs.append(leg("Radial", **radial, **end))
         elif kind == "onto":
             legs.append(leg("Radial", onto=True, turns=True, side=s, **radial, **end))
+        elif kind == "hold":
+            legs.append(leg("ClimbInHold", fx=rng.uniform(-9, 9), fy=rng.uniform(-9, 9), inbound=rng.choice([None, 40.0, 215.0]), feet=feet))
+        elif kind == "range":
+            legs.append(leg("HeadingRange", feet=feet))
         elif kind == "cross":
             legs.append(leg("CrossAt", fx=rng.uniform(-1, 1), fy=rng.uniform(-1, 1), feet=5000.0))
         else:
@@ -235,6 +256,7 @@ def aimed_routes(rng, n):
         legs = [*first, leg(kind, heading=course, **spot, **end), leg("ProceedOnCourse")]
         if rng.random() < 0.4:
             legs = [leg("Direct", fx=navaid.real, fy=navaid.imag), leg("Radial", **{**spot, "sense": "outbound"}, dme=20.0, feet=6000.0), leg("ClimbHeading", heading=radial, feet=8000.0)]
+            legs += [leg("ClimbInHold", fx=20 * way(radial).real, fy=20 * way(radial).imag, inbound=radial, feet=9000.0)] if rng.random() < 0.5 else []
             legs[1] = leg("Radial", onto=rng.random() < 0.3, side=rng.choice(["L", "R"]), turns=True, **{**spot, "sense": "outbound"}, dme=20.0, feet=6000.0)
         out.append((course, legs))
     return out
@@ -291,3 +313,19 @@ def test_from_text_to_routes(spark):
     got = {r.runways[0]: r.pen for r in routes.fly(bound).collect()}
     assert (got["9"].x, got["9"].y) == pytest.approx((6.5, 0.0)) and got["36"].failure == "unknown place"
     assert (got["27"].x, got["27"].y) == (-8.0, -6.0) and (got["18"].x, got["18"].y, got["18"].course) == (-8.0, -6.0, 270.0)
+
+
+def test_tails_are_flown_and_ranges_end_routes(spark):
+    text = "Rwy 9, climb direct QVX VORTAC thence...\nRwy 27, climb direct QVX VORTAC thence...\n...climb in QVX holding pattern (W, RT, 090° inbound) to 9000 before proceeding on course.\nRwy 18, climb heading between 100° CW to 200° from DER to 3000."
+    both = spark.createDataFrame([("q", text.rsplit("\n", 1)[0]), ("r", text.rsplit("\n", 1)[1])], "block string, text string")
+    groups, _, unparsed = whole_sections.parse(both)
+    assert unparsed.isEmpty()
+    places = spark.createDataFrame([("q", "QVX", "QUAVERLY", -3.0, 6.0)], "block string, ident string, name string, x double, y double")
+    bound = routes.bind(groups, places, F.lit(0.0)).cache()
+    ready = bound.where("not tail").withColumn("runway", F.col("runways")[0]).withColumn("course", F.col("runway").cast("double") * 10)
+    for name, value in (("x", 0.0), ("y", 0.0), ("along", 1.0), ("base_ft", 500.0)):
+        ready = ready.withColumn(name, F.lit(value))
+    flown = routes.fly(ready.withColumn("ft_per_nm", F.lit(None).cast("double")).withColumn("to_ft", F.lit(None).cast("double"))).select("block", "grp", "runway", "pen")
+    tail = routes.fly_tails(flown.where("block = 'q'"), bound.where("tail").select("block", "legs")).first()
+    assert tail.failure is None and (tail.pen.x, tail.pen.y, tail.pen.course, tail.pen.base_ft) == (-3.0, 6.0, 90.0, 9000.0)
+    assert [(w.block, w.runway, w.course) for w in routes.wedges(flown).collect()] == [("r", "18", 180.0)]
