@@ -6,11 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words that never name a facility, the abbreviations kept in signatures, the token pattern.
-RESERVED = "ATC CCW CW DER DME IFR KIAS LT MCA MEA MOCA MSL NA NDB RNAV RT VCOA VOR VORTAC".split()
+RESERVED = (
+    "ATC", "CCW", "CW", "DER", "DME", "IFR", "KIAS", "LT", "MCA", "MEA", "MOCA", "MSL", "NA", "NDB", "RNAV", "RT", "VCOA", "VOR", "VORTAC",
+)
 KEPT = (
-    "AGL AMDT ATC CCW CW DER DME DP DVA E FAA FT ICA IFR ILS KIAS KT LOC LT MCA MEA MOCA MSL N NA NDB NE NM NW ODP ORIG "
-    "RNAV RT S SE SID SM STAR SW TACAN TODA TORA VCA VCOA VFR VOR VORTAC W"
-).split()
+    "AGL", "AMDT", "ATC", "CCW", "CW", "DER", "DME", "DP", "DVA", "E", "FAA", "FT", "ICA", "IFR", "ILS", "KIAS", "KT", "LOC", "LT", "MCA", "MEA",
+    "MOCA", "MSL", "N", "NA", "NDB", "NE", "NM", "NW", "ODP", "ORIG", "RNAV", "RT", "S", "SE", "SID", "SM", "STAR", "SW", "TACAN", "TODA", "TORA",
+    "VCA", "VCOA", "VFR", "VOR", "VORTAC", "W",
+)
 TOKEN = r"\.\.\.|R-\d+|\d+(?:\.\d+)?[A-Za-z]*|[A-Za-z][A-Za-z0-9]*|\S"
 
 
@@ -20,7 +23,7 @@ def tokens(text: Column) -> Column:
 
 
 def is_ident_word(word: Column) -> Column:
-    return word.rlike(r"^[A-Z]{2,}\z") & ~word.isin(RESERVED)
+    return word.rlike(r"^[A-Z]{2,}\z") & ~word.isin(*RESERVED)
 
 
 def phrase_signature(phrase: Column) -> Column:

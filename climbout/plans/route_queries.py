@@ -76,3 +76,31 @@ def section_routes(spark, sf_dir):
     rows = flown(spark, sf_dir)
     ok = lambda c: F.when(F.col("pen.failure").isNull(), r6(F.col(c)))
     return rows.select("block", F.col("runways")[0].alias("runway"), F.col("pen.failure").alias("failure"), ok("pen.x").alias("x"), ok("pen.y").alias("y"), ok("pen.along").alias("along"))
+
+
+@query(
+    f"""with s as (select s_suppkey as k, {_RADIUS} as r, s_suppkey % 17 - 8.5 as ax, s_suppkey % 13 - 6.5 as ay, 7000 + s_suppkey % 20 * 100.0 as feet from supplier),
+    l as (select *, '9' as rwy, 90.0 as c, null::double as side from s union all select *, '27', 270.0, -1.0 from s),
+    d as (select *, sin(radians(c)) as x0, cos(radians(c)) as y0, ((degrees(atan2(ax - sin(radians(c)), ay - cos(radians(c)))) - c) % 360 + 360) % 360 as off from l),
+    h as (select *, coalesce(side, case when off > 180 then -1.0 else 1.0 end) as hand from d),
+    t as (select *, sqrt(pow(ax - x0 - r * sin(radians(c + 90 * hand)), 2) + pow(ay - y0 - r * cos(radians(c + 90 * hand)), 2)) as reach from h),
+    f as (select k, rwy, ax, ay, feet, case when reach < r then 'fix inside turn circle' when sqrt(reach * reach - r * r) < 0.5 then 'leg too short' end as failure from t),
+    b as (select k, any_value(ax) as ax, any_value(ay) as ay, any_value(feet) as feet, coalesce(min(case when rwy = '9' then failure end), min(case when rwy = '27' then failure end)) as failure from f group by k)
+    select k as block, failure, case when failure is null then ax + 0.0 end as x, case when failure is null then ay + 0.0 end as y, case when failure is null then 236.0::double end as course, case when failure is null then feet::double end as base_ft from b"""
+)
+def section_tails(spark, sf_dir):
+    """Shared tails of whole sections: both runways fly to a navaid and go on in its hold from there."""
+    k = F.col("s_suppkey")
+    said = text(
+        "Rwy 9, climb direct ABC VORTAC thence...\nRwy 27, climbing left turn direct ABC VORTAC thence...\n...climb in ABC holding pattern (NE, RT, 236° inbound) to ", 7000 + k % 20 * 100,
+        " before proceeding on course.",
+    )
+    groups, _, _ = whole_sections.parse(table(spark, sf_dir, "supplier").select(k.alias("block"), said.alias("text")))
+    spots = table(spark, sf_dir, "supplier").select(k.alias("block"), F.lit("ABC").alias("ident"), F.lit("ABLE").alias("name"), (k % 17 - 8.5).cast("double").alias("x"), (k % 13 - 6.5).cast("double").alias("y"))
+    bound = routes.bind(groups, spots, F.lit(0.0))
+    runway = F.col("runways")[0]
+    starts = bound.where("not tail").withColumn("runway", runway).withColumn("course", runway.cast("int") * 10).withColumn("x", F.sin(F.radians("course"))).withColumn("y", F.cos(F.radians("course")))
+    starts = starts.withColumn("along", F.lit(1.0)).withColumn("base_ft", F.lit(535.0)).withColumn("ft_per_nm", F.lit(None).cast("double")).withColumn("to_ft", F.lit(None).cast("double"))
+    tails = routes.fly_tails(routes.fly(starts).select("block", "grp", "runway", "pen"), bound.where("tail").select("block", "legs"))
+    ok = lambda c: F.when(F.col("failure").isNull(), r6(F.col(c)))
+    return tails.select("block", "failure", *[ok(f"pen.{c}").alias(c) for c in ("x", "y", "course", "base_ft")])
