@@ -68,22 +68,28 @@ TURN = rf"^(?:[Cc]limbing )?(?:{SIDE}|[Tt]urn)(?: turn)?(?: to)?(?: (.+))?\z"
 def with_leg(rows: DataFrame, piece: str, table: tuple = LEGS) -> DataFrame:
     """rows with `leg`: struct<node, fields...> of the first pattern that fits the whole piece; null if none does.
 
-    The pattern is found first; each field then looks only at the patterns that capture it.
+    The pattern is found first and then applied once more for all its captures together; a field is a place among them.
     """
-    which = F.lit(None).cast("int")
-    for k in reversed(range(len(table))):
-        which = F.when(F.col(piece).rlike(rf"^(?:{table[k][1]})\z"), k).otherwise(which)
-    rows = rows.withColumn("_which", which)
+    which, captures = F.lit(None).cast("int"), F.lit(None).cast("array<string>")
+    for k, (_, pattern, names) in reversed(list(enumerate(table))):
+        which = F.when(F.col(piece).rlike(rf"^(?:{pattern})\z"), k).otherwise(which)
+        if names:
+            all_ = "\u0001".join(f"${i + 1}" for i in range(len(names)))
+            captures = F.when(F.col("_which") == k, F.split(F.regexp_replace(piece, rf"^(?:{pattern})\z", all_), "\u0001")).otherwise(captures)
+    rows = rows.withColumn("_which", which).withColumn("_captures", captures)
     fields = []
     for f in FIELDS:
-        got = F.lit(None).cast("string")
-        for k, (_, pattern, names) in enumerate(table):
+        at: dict[int, list[int]] = {}
+        for k, (_, _, names) in enumerate(table):
             if f in names:
-                got = F.when(F.col("_which") == k, F.regexp_extract(piece, rf"^(?:{pattern})\z", names.index(f) + 1)).otherwise(got)
-        got = F.nullif(got, F.lit(""))
+                at.setdefault(names.index(f), []).append(k)
+        place = F.lit(None).cast("int")
+        for i, ks in at.items():
+            place = F.when(F.col("_which").isin(ks), i).otherwise(place)
+        got = F.nullif(F.get("_captures", place), F.lit("")) if at else F.lit(None).cast("string")
         fields.append((got.cast("int") if f in NUMBERS else got).alias(f))
     node = F.element_at(F.array(*[F.lit(t[0]) for t in table]), F.col("_which") + 1)
-    return rows.withColumn("leg", F.when(F.col("_which").isNotNull(), F.struct(node.alias("node"), *fields))).drop("_which")
+    return rows.withColumn("leg", F.when(F.col("_which").isNotNull(), F.struct(node.alias("node"), *fields))).drop("_which", "_captures")
 
 
 def groups(procedures: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import procedures, traces
-from .queries import query, r6, table, text
+from .queries import query, r6, spread, table, text
 
 
 def departures(spark, sf_dir) -> DataFrame:
@@ -18,7 +18,7 @@ def departures(spark, sf_dir) -> DataFrame:
     two = text("Rwys 22, 35L/R, climbing ", side, " turn heading ", deg(k * 7), "° and ABC VORTAC R-", deg(k * 3), " outbound to ", 5000 + k % 40 * 100, F.when(k % 3 == 0, " thence...").otherwise(" before proceeding on course."))
     tail = F.when(k % 3 == 0, text("\n...continue climb in XYZ holding pattern (NE, RT, ", deg(k * 5), "° inbound) to cross XYZ VORTAC at or above ", 9000 + k % 9 * 100, " before proceeding on course.")).otherwise("")
     loose = F.when(k % 13 == 0, "\nAll aircraft whistle.").otherwise("")
-    return table(spark, sf_dir, "orders").select(k.alias("block"), F.concat(one, F.lit("\n"), two, tail, loose).alias("text"))
+    return spread(table(spark, sf_dir, "orders").select("o_orderkey")).select(k.alias("block"), F.concat(one, F.lit("\n"), two, tail, loose).alias("text"))
 
 
 @query(

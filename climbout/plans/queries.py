@@ -31,6 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows over all cores where their table has fewer input partitions than there are (one small file); else as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -176,7 +182,7 @@ def normalize_text(spark, sf_dir):
         "  climb heading", deg, ".00º to  ", F.format_number(10000 + k % 9 * 1000, 0), "' and ABC VORTAC r- ", deg, " outbound. . . . do not exceed ", 150 + k % 90, " knots, w/ min climb of ",
         200 + k % 300, "’ per NM to cross XYZ VOR/ DME at/above ", 5000 + k % 7 * 100, "', continue climbing on course.. Visibility 2¾ for VOCA of of VOR \n\n \n\n before preceding on course.\t",
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", spelling.normalize(raw).alias("spelled"))
+    return spread(table(spark, sf_dir, "orders").select("o_orderkey")).select("o_orderkey", spelling.normalize(raw).alias("spelled"))
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import routes, whole_sections
-from .queries import query, r6, table, text
+from .queries import query, r6, spread, table, text
 
 _RADIUS = "(select greatest(150.0 * 150 / (68626 * tan(radians(25))), 150 / 188.5))"
 
@@ -19,7 +19,7 @@ def texts(spark, sf_dir) -> DataFrame:
     one = text("Rwy 9, climb heading ", deg(k * 29), "° to ", 1800 + k % 40 * 100, " before proceeding on course.")
     two = text("Rwy 27, climbing ", side, " turn direct ABC VORTAC.")
     three = text("Rwy 27, climb heading ", deg(k * 7), "° to intercept QUAVERLY (QVX) VOR/DME R-", deg(k * 13), " outbound to ", 3000 + k % 30 * 100, ".")
-    return table(spark, sf_dir, "part").select(k.alias("block"), text(one, F.lit("\n"), F.when(k % 3 == 0, two).otherwise(three)).alias("text"))
+    return spread(table(spark, sf_dir, "part").select("p_partkey")).select(k.alias("block"), text(one, F.lit("\n"), F.when(k % 3 == 0, two).otherwise(three)).alias("text"))
 
 
 def flown(spark, sf_dir) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import whole_sections
-from .queries import query, table, text
+from .queries import query, spread, table, text
 
 FORMS = 12
 
@@ -36,7 +36,7 @@ def sections(spark, sf_dir) -> DataFrame:
     form = F.lit("")
     for i, f in enumerate(forms):
         form = F.when(k % FORMS == i, f).otherwise(form)
-    return table(spark, sf_dir, "customer").select(k.alias("block"), form.alias("text"))
+    return spread(table(spark, sf_dir, "customer").select("c_custkey")).select(k.alias("block"), form.alias("text"))
 
 
 @query(
