@@ -24,7 +24,7 @@ NAMED = rf"([A-Z]+(?: [A-Z]+)+|[A-Z]{{6,}}) ({TYPE})"
 RADIAL = rf"(?:the )?{TARGET},? R-(\d{{3}})(?: (inbound|outbound))?"
 ALTITUDE = r"(?: (?:to|until) (?:(at or above|at or below|at) )?(\d{3,5})(?: MSL)?)?"
 SIDE = r"([Ll]eft|[Rr]ight|LT|RT)(?: turns?)?"
-HEADER = r"^(?i:Rwys?) (\d{1,2}[LRC]?(?:/[LRC])*(?:, ?\d{1,2}[LRC]?(?:/[LRC])*)*)(?:: ?|, ?(?!\d{1,2}[LRC]?\b)| (?=climb))"
+HEADER = r"^(?i:Rwys?) (\d{1,2}[LRC]?(?:/[LRC])*(?:, ?\d{1,2}[LRC]?(?:/[LRC])*)*)(?:: ?|,(?! ?\d{1,2}[LRC]?\b) ?| (?=climb))"
 OPENERS = r"(?:[,;]? then |[,;] | and )(?=(?:climb|climbing|proceed|direct|turn|left turn|right turn|intercept|continue)\b)|[,;]? (?=(?:before|prior to) )|[,;]? (?=thence\.\.\.)|[,;]? (?=do not exceed)|[,;]? (?=to cross [A-Z]+ R-)"
 FIELDS = ("direction", "heading", "name", "ident", "type", "radial", "sense", "target_name", "target", "target_type", "kind", "feet", "hold_side", "hold_turns", "inbound", "toward", "kias", "until_phrase", "start", "end", "rotation", "dme", "toward_or")
 NUMBERS = {"dme", "heading", "radial", "feet", "inbound", "kias", "start", "end"}

@@ -145,7 +145,8 @@ def parse(sections: DataFrame, check_holds: bool = True) -> tuple[DataFrame, Dat
     """(groups, climbs, unparsed) of sections(block, text), in part: what can be read, and the rest with its scope.
 
     groups: block, grp, alt, runways (none: all), tail, legs.  climbs: block, grp, runways, cross, bound, feet, legs of the
-    visual climbs written into the section.  unparsed: block, line, start, end, runways, everywhere, vcoa, signature.
+    visual climbs written into the section.  unparsed: block, line, start, end, runways, everywhere, vcoa, signature, withheld (a
+    group that was read, but that unread text elsewhere in the section may bind).
     A group is left out if it could not be read, if unread text names one of its runways or may restrict every departure,
     or if it has no certain reading beside the other groups and the tail.
     """
@@ -220,6 +221,10 @@ def parse(sections: DataFrame, check_holds: bool = True) -> tuple[DataFrame, Dat
     climbs, climb_failures = inline_climbs(rows.where(F.col("_first_bad").isNull()), groups)
     unparsed = unparsed.unionByName(climb_failures.select("block", "line", "start", "end", "runways", F.lit(False).alias("everywhere"), "signature", F.lit(True).alias("vcoa")))
     readable = groups.where("_reason is null").select("block", "grp", "alt", "runways", "tail", "legs")
+    lost = [withheld(readable.where("not tail"), text_failures, F.lit(False)), withheld(climbs, text_failures, F.lit(True))]
+    for rows_ in lost:
+        unparsed = unparsed.withColumn("withheld", F.lit(False)) if "withheld" not in unparsed.columns else unparsed
+        unparsed = unparsed.unionByName(rows_.join(spans.withColumnRenamed("line", "grp"), ["block", "grp"]).withColumnRenamed("grp", "line").withColumn("withheld", F.lit(True)))
     return withhold(readable, text_failures), withhold(climbs, text_failures), unparsed
 
 
@@ -246,6 +251,21 @@ def withhold(groups: DataFrame, unparsed: DataFrame) -> DataFrame:
     return keep.select(groups.columns)
 
 
+def withheld(groups: DataFrame, unparsed: DataFrame, vcoa: Column) -> DataFrame:
+    """(block, grp, runways, everywhere, signature, vcoa) of the groups that `withhold` takes out, each with the first text that binds it.
+
+    The first in the text that may restrict every departure, else that of the group's first runway that any names.
+    """
+    texts = F.array_sort(F.collect_list(F.struct("line", "runways", "everywhere", "signature")))
+    met = groups.join(unparsed.groupBy("block").agg(texts.alias("_texts")), "block")
+    first = lambda keep: F.try_element_at(F.filter("_texts", keep), F.lit(1))["signature"]
+    by_runway = F.transform("runways", lambda r: first(lambda t: F.array_contains(t["runways"], r)))
+    for_all = F.when((F.size("runways") == 0) & F.lit("cross" in groups.columns), first(lambda t: F.size(t["runways"]) > 0))
+    signature = F.coalesce(first(lambda t: t["everywhere"]), F.try_element_at(F.array_compact(by_runway), F.lit(1)), for_all)
+    rows = met.withColumn("signature", signature).where("signature is not null")
+    return rows.select("block", "grp", "runways", F.lit(False).alias("everywhere"), "signature", vcoa.alias("vcoa"))
+
+
 def inline_climbs(rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(climbs, failures): visual climbs written into runway sentences or behind the tail, read as their section would have them."""
     said = rows.where(F.col("alt") == 0).where(F.col("text").rlike(VISUAL))

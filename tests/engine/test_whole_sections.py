@@ -86,7 +86,7 @@ def test_alternatives_are_groups_of_the_same_runways(parsed):
 
 def test_scope_of_unread_text(parsed):
     scope = {}
-    for u in parsed[2]:
+    for u in (u for u in parsed[2] if not u.withheld):
         scope.setdefault(u.block, set()).add((tuple(u.runways), u.everywhere, u.signature))
     assert scope["resumes"] == {(("4",), False, 'unmatched phrase "climb sideways to <n>"')}
     assert scope["between"] == {(("4",), False, 'unmatched phrase "avoid the mast"')}
@@ -102,7 +102,7 @@ def test_scope_of_unread_text(parsed):
 
 def test_visual_climbs_in_the_section(parsed):
     assert [(c.block, c.runways, c.feet, c.cross) for c in parsed[1]] == [("visual", ["5"], 3000, None)]
-    assert {(u.block, u.signature) for u in parsed[2] if u.vcoa} == {("closed visual", whole_sections.CLOSED)}
+    assert {(u.block, u.signature) for u in parsed[2] if u.vcoa and not u.withheld} == {("closed visual", whole_sections.CLOSED)}
 
 
 def test_the_section_on_visual_climbs_drops_repeats(spark, parsed):
@@ -125,3 +125,13 @@ def test_sentences_and_unread_spans_cover_the_text(spark):
 def test_no_sections(spark):
     for frame in whole_sections.parse(spark.createDataFrame([], "block string, text string")):
         assert frame.isEmpty()
+
+
+def test_withheld_groups_name_the_text_that_binds_them(parsed):
+    got = {}
+    for u in parsed[2]:
+        if u.withheld:
+            got.setdefault(u.block, []).append((u.runways, u.signature))
+    assert got["before all"] == [(["4"], 'unmatched phrase "avoid the mast"')]
+    assert [r for r, _ in got["could mean any"]] == [["4"]] and [r for r, _ in got["condition"]] == [["22"]]
+    assert not {"resumes", "between", "one line"} & set(got)
