@@ -16,3 +16,13 @@ def test_neighbours_of_copied_places(spark):
     assert pairs.where("a >= b").isEmpty() and {round(r.nm, 6) for r in pairs.where("nm > 0").select("nm").distinct().collect()} == {round(nm(spots[0], spots[1]), 6)}
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_places_of_references_are_compared_once(spark):
+    """Rows that go into the distance join are places, however many references and candidates lie there."""
+    refs = spark.range(2000).select(F.col("id").alias("ref_id"), (F.col("id") % 2).alias("key"), F.lit(40.0).alias("lat"), (F.col("id") % 4).cast("double").alias("lon"))
+    cand = spark.range(900).select(F.col("id").alias("c_id"), (F.col("id") % 2).alias("key"), F.lit(41.0).alias("c_lat"), F.when(F.col("id") == 1, 3.0).otherwise(90.0).alias("c_lon"))
+    met = facilities.in_range(refs.select("key", "lat", "lon").distinct(), cand.select("key", "c_lat", "c_lon").distinct(), ["key"], 150.0)
+    assert met.count() == 2
+    got = facilities.resolve_one(refs, cand, ["key"], "navaid").groupBy("matches", "c_id", "failure", F.col("ref_id") % 2).count().collect()
+    assert {tuple(r) for r in got} == {(1, 1, None, 1, 1000), (0, None, "navaid not found", 0, 1000)}
