@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geodesy
-from .facilities import reciprocals
+from .facilities import TASKS_A_CORE, chunked, reciprocals
 
 # Destinations of the front matter, length of an id that has a destination.
 FRONT_MATTER = ("DPs", "DVA", "ICA")
@@ -48,11 +48,22 @@ def runway_starts(departures: DataFrame, airports: DataFrame, runways: DataFrame
 def matching_holds(legs: DataFrame, holds: DataFrame, navaids: DataFrame) -> DataFrame:
     """legs(block, fix) with the published holds(fix, navaid, ...) that may be meant; none gives no row.
 
-    A hold counts if it has no navaid, if that is its fix, or if it is one of the block's navaids(block, ident).
+    A hold counts if it has no navaid, if that is its fix, or if it is one of the block's navaids(block, ident).  That is
+    decided once for all holds of a fix and navaid; they are arrays of bounded length, and the legs of one fix are dealt over shares, so
+    that no task holds a frequent fix.
     """
+    shares = TASKS_A_CORE * legs.sparkSession.sparkContext.defaultParallelism
+    each = F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("_s")
+    dealt = legs.withColumn("_s", F.pmod(F.xxhash64("block"), F.lit(shares)).cast("int"))
     known = navaids.select("block", F.col("ident").alias("navaid"), F.lit(True).alias("_known")).distinct()
-    both = legs.join(holds, "fix").join(known, ["block", "navaid"], "left")
-    return both.where("navaid is null or navaid = fix or _known").drop("_known")
+    kinds = holds.select("fix", "navaid").distinct()
+    met = dealt.join(kinds.select("*", each), ["fix", "_s"]).join(known, ["block", "navaid"], "left").where("navaid is null or navaid = fix or _known").drop("_known")
+    rest = [c for c in holds.columns if c not in ("fix", "navaid")]
+    held = chunked(holds, ["fix", "navaid"], rest).select(F.col("fix").alias("_fix"), F.col("navaid").alias("_navaid"), "_members", each)
+    same = (F.col("fix") == F.col("_fix")) & F.col("navaid").eqNullSafe(F.col("_navaid"))
+    # spread first: where the holds are few they are broadcast, and the legs would stay in the tasks that read them
+    both = met.repartition(shares).join(held.withColumnRenamed("_s", "_t"), same & (F.col("_s") == F.col("_t")))
+    return both.select(*legs.columns, "navaid", F.explode("_members").alias("_m")).select(*legs.columns, "navaid", "_m.*")
 
 
 def variation(airports: DataFrame, model: DataFrame) -> DataFrame:

@@ -26,3 +26,15 @@ def test_places_of_references_are_compared_once(spark):
     assert met.count() == 2
     got = facilities.resolve_one(refs, cand, ["key"], "navaid").groupBy("matches", "c_id", "failure", F.col("ref_id") % 2).count().collect()
     assert {tuple(r) for r in got} == {(1, 1, None, 1, 1000), (0, None, "navaid not found", 0, 1000)}
+
+
+def test_holds_of_a_frequent_fix_are_dealt(spark):
+    """One fix of many legs and holds: no task gets all of its rows."""
+    legs = spark.range(1200).select(F.col("id").alias("block"), F.lit(7).alias("fix"))
+    holds = spark.range(1100).select(F.lit(7).alias("fix"), F.when(F.col("id") % 3 == 1, 7).when(F.col("id") % 3 == 2, 1).cast("int").alias("navaid"), F.col("id").alias("hold"))
+    navaids = legs.select("block", (F.col("block") % 2).cast("int").alias("ident"))
+    rows = bindings.matching_holds(legs, holds, navaids)
+    free, tied = 367 + 367, 366
+    assert rows.count() == rows.select("block", "hold").distinct().count() == 1200 * free + 600 * tied
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 16 and max(sizes) < rows.count() / 8
