@@ -28,6 +28,13 @@ def test_places_of_references_are_compared_once(spark):
     assert {tuple(r) for r in got} == {(1, 1, None, 1, 1000), (0, None, "navaid not found", 0, 1000)}
 
 
+def test_navaids_of_copied_references(spark):
+    sites = spark.createDataFrame([("ABC", "VOR", 40.0, 0.0, 2.0)] * 2 + [("ABC", "NDB", 40.0, 0.0, None)], "ident string, type string, lat double, lon double, mag_var_east double")
+    refs = spark.range(300).select(F.col("id").alias("ref_id"), F.lit("ABC").alias("ident"), F.when(F.col("id") % 3 == 0, "VOR").when(F.col("id") % 3 == 1, "NDB").alias("type"), F.lit(40.5).alias("lat"), F.lit(0.0).alias("lon"), (F.col("id") % 5).cast("double").alias("variation"))
+    got = {r.ref_id: (r.matches, r.type, r.variation, r.failure) for r in facilities.resolve_navaids(refs, sites).collect()}
+    assert got == {k: ((2, None, None, "navaid ambiguous"), (1, "NDB", float(k % 5), None), (3, None, None, "navaid ambiguous"))[k % 3] for k in range(300)}
+
+
 def test_holds_of_a_frequent_fix_are_dealt(spark):
     """One fix of many legs and holds: no task gets all of its rows."""
     legs = spark.range(1200).select(F.col("id").alias("block"), F.lit(7).alias("fix"))
