@@ -25,7 +25,8 @@ RADIAL = rf"(?:the )?{TARGET},? R-(\d{{3}})(?: (inbound|outbound))?"
 ALTITUDE = r"(?: (?:to|until) (?:(at or above|at or below|at) )?(\d{3,5})(?: MSL)?)?"
 SIDE = r"([Ll]eft|[Rr]ight|LT|RT)(?: turns?)?"
 HEADER = r"^(?i:Rwys?) (\d{1,2}[LRC]?(?:/[LRC])*(?:, ?\d{1,2}[LRC]?(?:/[LRC])*)*)(?:: ?|,(?! ?\d{1,2}[LRC]?\b) ?| (?=climb))"
-OPENERS = r"(?:[,;]? then |[,;] | and )(?=(?:climb|climbing|proceed|direct|turn|left turn|right turn|intercept|continue)\b)|[,;]? (?=(?:before|prior to) )|[,;]? (?=thence\.\.\.)|[,;]? (?=do not exceed)|[,;]? (?=to cross [A-Z]+ R-)"
+#: All of them open with a blank or a sign before it, which is looked for first: other places are passed in one step.
+OPENERS = r"(?=[ ,;])(?:(?:[,;]? then |[,;] | and )(?=(?:climb|climbing|proceed|direct|turn|left turn|right turn|intercept|continue)\b)|[,;]? (?=(?:before|prior to) )|[,;]? (?=thence\.\.\.)|[,;]? (?=do not exceed)|[,;]? (?=to cross [A-Z]+ R-))"
 FIELDS = ("direction", "heading", "name", "ident", "type", "radial", "sense", "target_name", "target", "target_type", "kind", "feet", "hold_side", "hold_turns", "inbound", "toward", "kias", "until_phrase", "start", "end", "rotation", "dme", "toward_or")
 NUMBERS = {"dme", "heading", "radial", "feet", "inbound", "kias", "start", "end"}
 
@@ -98,11 +99,11 @@ def groups(procedures: DataFrame) -> DataFrame:
     A line without a header continues nothing here: it is unread text of all runways.
     """
     lines = procedures.select("block", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    header = F.regexp_extract("raw", HEADER, 1)
+    lines = lines.where("raw <> ''").withColumn("header", F.regexp_extract("raw", HEADER, 1))
     tail = F.col("raw").startswith("...")
-    body = F.when(tail, F.expr("substring(raw, 4)")).otherwise(F.regexp_replace("raw", HEADER, ""))
+    body = F.when(tail, F.expr("substring(raw, 4)")).when(F.col("header") != "", F.regexp_replace("raw", HEADER, "")).otherwise(F.col("raw"))
     body = F.regexp_replace(body, r"(?<!\.)\.\s*\z", "")
-    out = lines.where("raw <> ''").select("block", "line", F.when(header != "", runways.expand(header)).alias("runways"), F.trim(body).alias("body"), tail.alias("tail"))
+    out = lines.select("block", "line", F.when(F.col("header") != "", runways.expand(F.col("header"))).alias("runways"), F.trim(body).alias("body"), tail.alias("tail"))
     return out.withColumn("runways", F.when(F.col("tail"), F.expr("cast(array() as array<string>)")).otherwise(F.col("runways")))
 
 
@@ -110,8 +111,15 @@ def legs(group_rows: DataFrame, check_holds: bool = True) -> DataFrame:
     """(block, line, seq, piece, turns, side, leg, signature): each piece with its leg, or with a failure's signature.
 
     check_holds fails a hold whose printed side is not where its inbound course puts it (on unless the caller says otherwise).
+    Pieces recur in many procedures, and a piece alone tells its leg: each is read once, into a table.
     """
     rows = group_rows.where("runways is not null").select("block", "line", F.posexplode(F.split(F.regexp_replace("body", OPENERS, "\u0001"), "\u0001")).alias("seq", "piece"))
+    read = written(read_pieces(rows.select("piece").distinct(), check_holds), "pieces")
+    return rows.join(read, "piece").select("block", "line", "seq", "piece", "turns", "side", "leg", "signature")
+
+
+def read_pieces(rows: DataFrame, check_holds: bool) -> DataFrame:
+    """rows(piece) with turns, side, leg and signature."""
     turning = F.col("piece").rlike(r"^(?:[Cc]limbing|[Tt]urn|[Ll]eft|[Rr]ight|LT|RT)\b") & ~F.col("piece").rlike(UNROUTED_TURN)
     side = F.upper(F.substring(F.regexp_extract("piece", TURN, 1), 1, 1))
     onto = F.regexp_extract("piece", TURN, 2)
@@ -123,7 +131,7 @@ def legs(group_rows: DataFrame, check_holds: bool = True) -> DataFrame:
     contrary = F.lit(check_holds) & (F.col("leg.node") == "ClimbInHold") & ~labels.side_agrees(labels.compass_point(F.col("leg.hold_side")), F.col("leg.inbound"))
     unread = F.concat(F.lit('unmatched phrase "'), signatures.phrase_signature(F.col("piece")), F.lit('"'))
     signature = F.when(failed & (airway != ""), F.concat(F.lit('unsupported routing "then '), F.lower(airway), F.lit(' on"'))).when(failed, unread).when(contrary, CONTRARY_HOLD)
-    return rows.select("block", "line", "seq", "piece", "turns", "side", "leg", signature.alias("signature"))
+    return rows.select("piece", "turns", "side", "leg", signature.alias("signature"))
 
 
 def parse(procedures: DataFrame, check_holds: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -133,8 +141,8 @@ def parse(procedures: DataFrame, check_holds: bool = True) -> tuple[DataFrame, D
     of its line).  A failure takes down the groups whose runways it names, in the same block; unread
     text that names none takes down the whole block, as does a failed tail.
     """
-    rows = groups(procedures)
-    each = written(legs(rows, check_holds), "legs")  # read once for groups and failures
+    rows = written(groups(procedures), "groups")  # both are read several times, for groups and failures
+    each = written(legs(rows, check_holds), "legs")
     first = each.where("signature is not null").groupBy("block", "line").agg(F.min_by("signature", "seq").alias("signature"))
     loose = rows.where("runways is null").select("block", "line", F.concat(F.lit('unmatched phrase "'), signatures.phrase_signature(F.col("body")), F.lit('"')).alias("signature"))
     failures = rows.select("block", "line", "runways", "tail").join(first.unionByName(loose), ["block", "line"])

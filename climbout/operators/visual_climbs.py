@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import runways, signatures
+from ..sources.sinks import written
 from . import procedures
 
 # The published sentences of the section and the words of its names.
@@ -38,7 +39,7 @@ def read(sections: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = (fix | name.rlike(r"[A-Za-z][a-z]")) & ~navaid
     unread = F.concat(F.lit('unmatched phrase "'), signatures.phrase_signature(F.col("raw")), F.lit('"'))
     rows = shaped.withColumn("_failure", F.when(~F.col("fits"), unread).when(~named, F.when(navaid, "unsupported VCOA crossing a navaid").otherwise(unread)).when(unclear, SEVERAL))
-    rows = rows.withColumn("cross", F.when(fix, name))
+    rows = written(rows.withColumn("cross", F.when(fix, name)), "visual_climbs")  # read for their legs and again beside them
     flown = procedures.legs(rows.where("_failure is null and body is not null").select("block", "line", "runways", "body"), check_holds=True)
     tail = F.when(F.col("leg.node") == "Thence", INTO_TAIL)
     one = F.struct("seq", F.struct("turns", "side", "leg").alias("step"))

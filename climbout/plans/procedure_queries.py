@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import procedures, traces
+from ..sources.sinks import written
 from .queries import query, r6, spread, table, text
 
 
@@ -47,7 +48,7 @@ def parse_failures(spark, sf_dir):
     """select o_orderkey as block, 'ABC' as ident, 'VORTAC' as type from orders union all select o_orderkey, 'XYZ', null from orders where o_orderkey % 3 = 0"""
 )
 def procedure_references(spark, sf_dir):
-    rows = procedures.legs(procedures.groups(departures(spark, sf_dir)))
+    rows = procedures.legs(written(procedures.groups(departures(spark, sf_dir)), "groups"))
     return procedures.references(rows).groupBy("block", "ident").agg(F.max("type").alias("type"))
 
 
