@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..operators import fans, layout
-from .queries import query, r6, table, text
+from .queries import query, r6, spread, table, text
 
 
 @query(
@@ -89,4 +89,4 @@ def range_label_lines(spark, sf_dir):
     runways = F.when(k % 4 == 0, F.array(F.lit("4"))).when(k % 4 == 1, F.array(F.lit("17R"), F.lit("17L"))).when(k % 4 == 2, F.array(F.lit("4"), F.lit("17L"), F.lit("17R"), F.lit("22"))).otherwise(F.expr("cast(array() as array<string>)"))
     sector = F.array(F.struct((k % 360).alias("start"), F.lit(True).alias("clockwise"), (k * 7 % 360).alias("end")))
     phrases = labels.heading_range(sector, F.when(k % 3 == 0, "L"), F.when(k % 5 < 3, text(1000 + F.col("p_size") * 100, "'")))
-    return table(spark, sf_dir, "part").select(k.alias("k"), F.array_join(labels.fewest_lines(runways, phrases), "|").alias("lines"))
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select(k.alias("k"), F.array_join(labels.fewest_lines(runways, phrases), "|").alias("lines"))

@@ -8,7 +8,7 @@ from ..functions import geodesy, labels
 from ..operators import parts, pens, procedures, visual_climbs
 from ..sources import kml, sinks
 from .procedure_queries import departures
-from .queries import query, r6, table, text
+from .queries import query, r6, spread, table, text
 from .shape_queries import SQL_RADIUS
 
 
@@ -244,7 +244,7 @@ def visual_sections(spark, sf_dir):
     route = F.when(k % 2 == 0, text(" direct ELK VORTAC, continue climb in ELK holding pattern (NE, RT, ", F.lpad(k % 360, 3, "0"), "° inbound) to ", 9000 + k % 9 * 100)).otherwise(" before proceeding on course")
     one = text(F.when(k % 5 == 0, "All runways").otherwise("Rwys 4, 13L/R"), approval, F.when(k % 7 == 0, "Slowly climb").otherwise("Climb"), " in visual conditions to cross ", crossing, "at or above ", 5000 + k % 50 * 100, route, ".", F.when(k % 4 == 1, " Do not exceed 180 KIAS until reaching 9000 MSL.").otherwise(""))
     two = F.when(k % 4 == 3, text("\nRwy 22", approval, "Climb in visual conditions to cross Elk River airport at or above 8000 before proceeding east.", F.when(k % 8 == 3, " Do not exceed 200 KIAS.").otherwise(""))).otherwise("")
-    return table(spark, sf_dir, "orders").select(k.alias("block"), F.concat(one, two).alias("vcoa"))
+    return spread(table(spark, sf_dir, "orders").select("o_orderkey")).select(k.alias("block"), F.concat(one, two).alias("vcoa"))
 
 
 SQL_AGREES = "abs((45 - k % 360 + 360) % 360 - 180) <= 30"

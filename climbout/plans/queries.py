@@ -31,10 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Fixed value: tasks for each core where rows of much work are dealt.
+TASKS_A_CORE = 4
+
+
 def spread(rows: DataFrame) -> DataFrame:
-    """rows over all cores where their table has fewer input partitions than there are (one small file); else as they are."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    """rows dealt over all cores, several tasks each: a file of one row group is read by one task, into however many splits it is cut."""
+    return rows.repartition(TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def text(*parts: Column | str) -> Column:
@@ -236,7 +239,7 @@ BLOCK_LINES = ("RENO, NV", "AIRPORT {k} ({lid})", "TAKEOFF MINIMUMS AND (OBSTACL
 )
 def airport_blocks(spark, sf_dir):
     """Pages of two airports each, through all line and section operators, and back to one row per airport."""
-    return blocks_of(table(spark, sf_dir, "customer"))
+    return blocks_of(spread(table(spark, sf_dir, "customer").select("c_custkey")))
 
 
 
@@ -469,7 +472,7 @@ def geodesy_basics(spark, sf_dir):
 )
 def turn_arc_points(spark, sf_dir):
     k = F.col("p_partkey")
-    p = table(spark, sf_dir, "part").select(k.alias("id"), (k * 7 % 360).cast("double").alias("c"), (k * 13 % 360).cast("double").alias("t"), F.when(k % 2 == 0, "R").otherwise("L").alias("side"))
+    p = spread(table(spark, sf_dir, "part").select("p_partkey")).select(k.alias("id"), (k * 7 % 360).cast("double").alias("c"), (k * 13 % 360).cast("double").alias("t"), F.when(k % 2 == 0, "R").otherwise("L").alias("side"))
     turn = geodesy.signed_turn(F.col("c"), F.col("t"), F.col("side"))
     zero = F.lit(0.0)
     arc = geodesy.turn_arc(zero, zero, F.col("c"), turn, geodesy.turn_radius(F.lit(150.0), F.lit(25.0)))
