@@ -66,8 +66,11 @@ def shared_wedges(wedges: DataFrame, reach: float = SHARED_NM) -> DataFrame:
     def step(fans: Column, w: Column) -> Column:
         def takes(fan: Column) -> Column:
             near = F.forall(fan, lambda o: F.sqrt(F.pow(o["x"] - w["x"], 2) + F.pow(o["y"] - w["y"], 2)) <= reach)
-            names = F.array_distinct(F.concat(F.flatten(F.transform(fan, lambda o: o["runways"])), w["runways"]))
-            return near & labels.runway_tag(names).isNotNull()
+            held = F.flatten(F.transform(fan, lambda o: o["runways"]))
+            names = F.array_distinct(F.concat(held, w["runways"]))
+            # the label of a fan of several wedges fits already, and runways that it has do not change it
+            same = (F.size(fan) > 1) & (F.size(F.array_except(w["runways"], held)) == 0)
+            return near & (same | labels.runway_tag(names).isNotNull())
 
         at = F.array_position(F.transform(fans, takes), True)
         return F.when(at == 0, F.concat(fans, F.array(F.array(w)))).otherwise(F.transform(fans, lambda fan, i: F.when(i == at - 1, F.concat(fan, F.array(w))).otherwise(fan)))
