@@ -41,7 +41,10 @@ def finding_signature(text: Column, airport: Column | None = None) -> Column:
     """
     if airport is not None:
         own = F.concat(F.lit(r"(?iU)\b"), F.regexp_replace(airport, r"([^A-Za-z0-9])", r"\\$1"), F.lit(r"\b"))
-        text = F.when(F.coalesce(airport, F.lit("")) != "", F.regexp_replace(text, own, F.lit("ID"))).otherwise(text)
+        # a pattern of its own for each row is dear: only for texts that hold the airport in some case of letters
+        plain = lambda c: F.lower(F.upper(F.translate(c, "İ", "I")))
+        named = (F.coalesce(airport, F.lit("")) != "") & F.contains(plain(text), plain(airport))
+        text = F.when(named, F.regexp_replace(text, own, F.lit("ID"))).otherwise(text)
     out = F.regexp_replace(text, rf"(?U)\b(?!(?:{'|'.join(KEPT)})\b)(?![0-9]+\b)[A-Z0-9]{{2,5}}\b", "ID")
     out = F.regexp_replace(F.regexp_replace(F.lower(out), r"(?U)\s+", " "), r"^ | \z", "")
     return F.regexp_replace(out, r"(?U)\d", "n")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import facilities, reports
 from ..sources import facilities as files
-from .queries import query, table, text
+from .queries import query, spread, table, text
 
 
 def navaid_strings(spark, sf_dir) -> DataFrame:
@@ -82,5 +82,6 @@ def navaids_by_type(spark, sf_dir):
 def issue_bodies(spark, sf_dir):
     """Titles and bodies of the issues of all groups, each with its first fifty members and the number of the rest."""
     sig = text("climb to ", F.col("l_suppkey") % 4, " feet")
-    rows = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"), text("kind", F.col("l_linenumber") % 3).alias("kind"), sig.alias("signature"), text("A", F.col("l_partkey")).alias("airport"), F.col("l_linestatus").alias("amendment"), F.col("l_returnflag").alias("detail"), sig.alias("verbatim_text"))
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_linestatus", "l_returnflag"))
+    rows = lines.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"), text("kind", F.col("l_linenumber") % 3).alias("kind"), sig.alias("signature"), text("A", F.col("l_partkey")).alias("airport"), F.col("l_linestatus").alias("amendment"), F.col("l_returnflag").alias("detail"), sig.alias("verbatim_text"))
     return reports.issue_texts(rows, "2609").select("title", "n", F.sha2(F.col("body").cast("binary"), 256).alias("body_sha256"))

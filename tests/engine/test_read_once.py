@@ -50,3 +50,36 @@ def test_rows_of_one_row_group_are_spread(spark, tmp_path):
             assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) < sum(sizes) / 4
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_spelling_looks_for_openings_first(spark):
+    """Each pass begins with the characters that its joints open with, and puts what it did without."""
+    from climbout.functions import spelling
+
+    raw = "Climb hdg040.00º to 2,500’ r- 120. . . .exceed 200 knots w/ min climb at/above 9  VOR/ DME climb -in- hold VOCA of of X runway heading 4000 2¾ \n\n\n holding pattern. (hold preceding on course, continue climbing on course.."
+
+    def without(text):
+        text = F.replace(F.translate(text, *spelling.QUOTES), F.lit("…"), F.lit("..."))
+        def put(text, what, joints):
+            places = "|".join(f"({left}){between}" + (f"(?={right})" if right else "") for left, between, right in joints)
+            return F.regexp_replace(text, places, "".join(f"${k + 1}" for k in range(len(joints))) + what)
+        for what, _, joints in spelling.WORDING:
+            text = put(text, what, joints)
+        for glyph, plain in spelling.FRACTIONS.items():
+            text = F.replace(text, F.lit(glyph), F.lit(plain))
+        text = F.replace(F.replace(text, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+        for what, _, joints in spelling.PHRASES:
+            text = put(text, what, joints)
+        return F.btrim(text, F.lit(" \n"))
+
+    rows = spark.createDataFrame([(raw,), (raw.upper(),), (raw.replace(" ", "\u2003"),), ("",), (None,)], "t string")
+    assert all(r.a == r.b for r in rows.select(spelling.normalize(F.col("t")).alias("a"), without(F.col("t")).alias("b")).collect())
+    assert all(opens for _, opens, _ in (*spelling.WORDING, *spelling.PHRASES))
+
+
+def test_airports_are_blurred_in_any_case(spark):
+    """The airport's own pattern runs only where the text holds it, whatever the case of its letters."""
+    from climbout.functions import signatures
+
+    rows = spark.createDataFrame([("at kren now", "KREN"), ("at \u212aren now", "KREN"), ("at xkren now", "KREN"), ("climb", "A12"), ("climb", None), ("climb", "")], "t string, a string")
+    assert [r.s for r in rows.select(signatures.finding_signature(F.col("t"), F.col("a")).alias("s")).collect()] == ["at id now", "at id now", "at xkren now", "climb", "climb", "climb"]
