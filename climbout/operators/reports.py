@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import functools
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from ..sources.sinks import written
 
 #: Colours of the palette.
 COLOURS = 6
+# Counts that the points of one window add to, and tasks for each core where points are dealt.
+WINDOW, TASKS_A_CORE = 1_000_000, 4
 
 
 def by_kind(findings: DataFrame) -> DataFrame:
@@ -68,24 +72,85 @@ def outcome(drawn: Column, partial: Column, charted: Column) -> Column:
 def colour(points: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, colour): each point in id order takes the colour its coloured neighbours use least, the lowest on ties.
 
-    pairs(a, b) are neighbours, a < b.  A point is coloured in the round after its last smaller neighbour, from counts
-    of their colours, so no row and no task holds a cluster; there are as many rounds as the longest chain of
-    ever larger neighbours has points.
+    pairs(a, b) are neighbours, a < b.
     """
-    ids = points.select("id").distinct()
-    known = lambda c: ids.select(F.col("id").alias(c))
-    waiting = written(pairs.join(known("a"), "a", "left_semi").join(known("b"), "b", "left_semi").select(F.col("b").alias("id"), "a", F.lit(None).cast("int").alias("k")).distinct(), "colour-waiting")
-    fresh = written(ids.join(waiting, "id", "left_anti").select("id", F.lit(0).alias("colour")), "colour-round")
-    found = [fresh]
-    least = F.array_min(F.array(*[F.struct(F.count_if(F.col("k") == k).alias("n"), F.lit(k).alias("k")) for k in range(COLOURS)]))
+    both = pairs.select(F.col("a").alias("place"), F.col("b").alias("other")).union(pairs.select("b", "a")).where("place <> other")
+    return colour_members(points.select("id", F.col("id").alias("place")), both)
+
+
+def colour_members(members: DataFrame, links: DataFrame, width: int = WINDOW) -> DataFrame:
+    """(id, colour) as `colour`, of members(id, place): points are neighbours if links(place, other), which go both ways, hold their places.
+
+    A colour depends on those of all smaller neighbours, so the points of a cluster of linked places are coloured in windows of
+    ids, one after another, those of all clusters side by side.  A window holds points that add to about `width` counts at most,
+    whatever the size of the cluster, and takes from earlier ones only the counts of colours near each place: neither
+    pairs of points nor chains of neighbours make rows or rounds.
+    """
+    spark = members.sparkSession
+    tasks = TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    members, links = written(members.distinct(), "colour-members"), written(links.distinct(), "colour-links")
+    weights = links.groupBy("place").agg((F.count("*") + 1).alias("weight"))
+    rows = members.join(linked_clusters(links), "place").join(weights, "place")
+    # the running weight in a cluster: within slices of ids, from the sums of the slices before
+    dealt = written(rows.repartitionByRange(tasks, "id").withColumn("slice", F.spark_partition_id()), "colour-slices")
+    sums = dealt.groupBy("cluster", "slice").agg(F.sum("weight").alias("before"))
+    earlier = Window.partitionBy("cluster").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("before", F.coalesce(F.sum("before").over(earlier), F.lit(0)))
+    running = F.sum("weight").over(Window.partitionBy("cluster", "slice").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    window = F.expr(f"(before + running - 1) div {width}").cast("int").alias("round")
+    queued = dealt.withColumn("running", running).join(offsets, ["cluster", "slice"]).select("cluster", "id", "place", window)
+    queued = written(queued.repartition(tasks, "cluster", "round"), "colour-queued", "round")
+    spots = queued.select("round", "cluster", "place").distinct()
+    inside = spots.select("round", F.col("place").alias("other"), F.lit(True).alias("inside"))
+    ties = written(spots.join(links, "place").join(inside, ["round", "other"], "left").repartition(tasks, "cluster", "round"), "colour-ties", "round")
+    last = queued.groupBy("place").agg(F.max("round").alias("last"))
+    used = [f"n{k}" for k in range(COLOURS)]
+    told = spots.limit(0).select("place", *[F.lit(0).cast("long").alias(c) for c in used])
+    found = [members.join(links, "place", "left_anti").select("id", F.lit(0).alias("colour"))]
+    schema = f"id {members.schema['id'].dataType.simpleString()}, place {members.schema['place'].dataType.simpleString()}, colour int"
+    for i in range((queued.agg(F.max("round")).first()[0] or 0) + 1):
+        now, tied = queued.where(F.col("round") == i), ties.where(F.col("round") == i)
+        begun = now.join(told, "place", "left").select("cluster", "id", "place", *[F.coalesce(c, F.lit(0)).alias(c) for c in used])
+        near = tied.where("inside").select("cluster", "place", "other")
+        fresh = written(begun.groupBy("cluster").cogroup(near.groupBy("cluster")).applyInPandas(paint, schema), "colour-round")
+        found.append(fresh.select("id", "colour"))
+        counts = fresh.groupBy("place").agg(*[F.count_if(F.col("colour") == k).alias(c) for k, c in enumerate(used)])
+        heard = tied.join(counts, "place").select(F.col("other").alias("place"), *used).union(told.select("place", *used))
+        told = written(heard.join(last.where(F.col("last") > i), "place", "left_semi").groupBy("place").agg(*[F.sum(c).alias(c) for c in used]), "colour-told")
+    return functools.reduce(DataFrame.union, found)
+
+
+def paint(rows: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+    """One window of a cluster: rows(id, place, counts of colours near the place so far) in id order, near(place, other) among its places."""
+    rows = rows.sort_values("id")
+    at, places = pd.factorize(rows["place"])
+    _, first = np.unique(at, return_index=True)
+    counts = rows[[f"n{k}" for k in range(COLOURS)]].to_numpy()[first]
+    names = pd.Index(places)
+    one, two = names.get_indexer(near["place"]), names.get_indexer(near["other"])
+    order = np.argsort(one, kind="stable")
+    others = np.split(two[order], np.searchsorted(one[order], np.arange(1, len(names))))
+    taken = np.empty(len(at), np.int32)
+    for i, p in enumerate(at):
+        taken[i] = k = counts[p].argmin()
+        counts[others[p], k] += 1
+    return pd.DataFrame({"id": rows["id"], "place": rows["place"], "colour": taken})
+
+
+def linked_clusters(links: DataFrame) -> DataFrame:
+    """(place, cluster) of links(place, other) that go both ways: the smallest place that links reach.
+
+    The smallest names spread along links and to the places named so far, and names of names are followed, until nothing changes.
+    """
+    names = written(links.groupBy("place").agg(F.least("place", F.min("other")).alias("cluster")), "cluster-names")
     while True:
-        told = waiting.join(fresh, "id", "left_anti").join(fresh.select(F.col("id").alias("a"), "colour"), "a", "left")
-        waiting = written(told.select("id", "a", F.coalesce("k", "colour").alias("k")), "colour-waiting")
-        if waiting.isEmpty():
-            return functools.reduce(DataFrame.union, found)
-        ready = waiting.groupBy("id").agg(least.alias("least"), F.count_if(F.col("k").isNull()).alias("open")).where("open = 0")
-        fresh = written(ready.select("id", F.col("least.k").alias("colour")), "colour-round")
-        found.append(fresh)
+        heard = links.join(names.select(F.col("place").alias("other"), "cluster"), "other").groupBy("place").agg(F.min("cluster").alias("heard"))
+        nearer = names.join(heard, "place").select("place", "cluster", F.least("cluster", "heard").alias("via"))
+        nearer = nearer.select("place", "via").union(nearer.select("cluster", "via")).groupBy("place").agg(F.min("via").alias("via")).join(names.withColumnRenamed("cluster", "was"), "place")
+        found = written(nearer.join(names.select(F.col("place").alias("via"), "cluster"), "via").select("place", "was", "cluster"), "cluster-names")
+        names = found.select("place", "cluster")
+        if found.where("was <> cluster").isEmpty():
+            return names
 
 
 def paths(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:

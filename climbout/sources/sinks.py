@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """The rows of df as a table below spark.checkpoint.dir, so that later rounds do not depend on lost executors.
 
-    A local master without that setting gets a temporary folder (tests); a cluster must name a shared one.
+    A table written by a column is read by its values apart.  A local master without that setting gets a temporary folder (tests); a cluster must name a shared one.
     """
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -25,7 +25,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
         root = "file://" + tempfile.mkdtemp(prefix="climbout-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

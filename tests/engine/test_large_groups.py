@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from climbout.operators import bindings, facilities
+from climbout.operators import bindings, facilities, reports
 from tests.engine.test_operators import nm
 
 
@@ -45,3 +45,29 @@ def test_holds_of_a_frequent_fix_are_dealt(spark):
     assert rows.count() == rows.select("block", "hold").distinct().count() == 1200 * free + 600 * tied
     sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 16 and max(sizes) < rows.count() / 8
+
+
+def test_colours_of_copied_places(spark, monkeypatch):
+    """Copies of a place are neighbours of each other, yet neither tables written nor rows of a task grow with them; windows give what a plain loop gives."""
+    spots = [(40.0, -100.0), (40.3, -100.0), (40.6, -100.2), (10.0, 20.0), (10.2, 20.0), (-60.0, 0.0), (None, None)]
+    places = {i: spots[i * i % 11 % 7] for i in range(300)}
+    frame = spark.createDataFrame([(i, *p) for i, p in places.items()] + [(7, *places[7])], "id long, lat double, lon double")
+    plain = {}
+    for i, p in places.items():
+        used = [plain[j] for j in plain if None not in p and None not in places[j] and nm(p, places[j]) <= 40]
+        plain[i] = min(range(6), key=lambda k: (used.count(k), k))
+    tables, written = [], reports.written
+    monkeypatch.setattr(reports, "written", lambda df, name, by=None: tables.append((name, written(df, name, by))) or tables[-1][1])
+    members, links = facilities.linked_places(frame, 40.0)
+    assert links.count() < 20
+
+    def coloured(**width):
+        tables.clear()
+        rows = reports.colour_members(members, links, **width).collect()
+        assert len(rows) == 300 and {r.id: r.colour for r in rows} == plain
+
+    coloured()
+    assert len(tables) < 15
+    coloured(width=100)
+    rounds = [t for name, t in tables if name == "colour-round"]
+    assert len(rounds) > 3 and max(t.count() for t in rounds) < 120
