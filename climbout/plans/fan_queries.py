@@ -64,10 +64,12 @@ def label_layout(spark, sf_dir):
     """Labels of an order placed one after another: what is placed is clutter for the next."""
     from pyspark.sql import Window
 
-    seq = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")).cast("long")
+    seq = F.row_number().over(Window.partitionBy("lid").orderBy("l_linenumber", "l_partkey", "l_suppkey")).cast("long")
     a, b = F.col("l_partkey") % 30 / 10.0, F.col("l_suppkey") % 20 / 10.0
     spot = lambda x, y, c: F.struct(x.alias("x"), y.alias("y"), F.lit(c).alias("cost"))
-    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("lid"), seq.alias("seq"), F.lit(0.5).alias("w"), F.lit(0.3).alias("h"), F.array(spot(a, b, 0.0), spot(a + 1, b, 0.25), spot(a, b + 1, 0.5), spot(a - 1, b - 1, 0.75)).alias("spots"))
+    # dealt by order before the spots are made, so that these are not shuffled
+    rows = spread(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("lid"), "l_linenumber", "l_partkey", "l_suppkey"), "lid").withColumn("seq", seq)
+    rows = rows.select("lid", "seq", F.lit(0.5).alias("w"), F.lit(0.3).alias("h"), F.array(spot(a, b, 0.0), spot(a + 1, b, 0.25), spot(a, b + 1, 0.5), spot(a - 1, b - 1, 0.75)).alias("spots"))
     boxes = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("lid"), (F.col("o_custkey") % 25 / 10.0).alias("x"), (F.col("o_custkey") % 15 / 10.0).alias("y"), F.lit(0.4).alias("w"), F.lit(0.2).alias("h"))
     lines = boxes.limit(0).select("lid", *[F.lit(0.0).alias(c) for c in ("x0", "y0", "x1", "y1", "weight")])
     return layout.place(rows, boxes, lines).select("lid", "seq", r6(F.col("x")).alias("x"), r6(F.col("y")).alias("y"))

@@ -35,9 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 TASKS_A_CORE = 4
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """rows dealt over all cores, several tasks each: a file of one row group is read by one task, into however many splits it is cut."""
-    return rows.repartition(TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows dealt over all cores (by keys, if any), several tasks each: a file of one row group is read by one task, into however many splits it is cut."""
+    return rows.repartition(TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def text(*parts: Column | str) -> Column:

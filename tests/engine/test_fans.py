@@ -167,3 +167,22 @@ def test_blocks_of_lines(spark):
     r = frame.select(layout.half_size(F.col("t")).alias("half"), layout.lines_at(F.lit(1.0), F.lit(2.0), F.col("t")).alias("at"), layout.beyond(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(90.0), F.lit(0.5), F.lit(0.3)).alias("b"), layout.note_candidates(F.lit(0.0), F.lit(0.0)).alias("n")).first()
     assert (r.half.w, r.half.h) == pytest.approx((16 * 0.16 / 2, 3 * 0.32 / 2)) and [round(x.y, 6) for x in r.at] == [2.16, 1.84]
     assert (r.b.x, r.b.y) == pytest.approx((1.6, 0.0)) and len(r.n) == 7 * 24 and (r.n[0].x, r.n[0].y) == pytest.approx((0.0, -0.5))
+
+
+def test_labels_of_all_airports_are_placed_side_by_side(spark):
+    """The fold runs over Arrow batches, not an expression a label, and drawn boxes do not pass the driver; odd labels keep their rows."""
+    spots = "array<struct<x: double, y: double, cost: double>>"
+    near, far = (0.0, 0.0, 0.0), (3.0, 0.0, 0.1)
+    rows = [(1, 2, 0.5, 0.3, [near, far]), (1, 1, 0.5, 0.3, [near, far]), (2, 1, 0.5, 0.3, []), (2, 2, 0.5, 0.3, None), (2, 3, 0.5, 0.3, [(None, 1.0, 0.0), near]), (2, 4, 0.5, 0.3, [near]), (3, 1, 0.5, 0.3, [far, (9.0, 9.0, None)]), (4, 1, 0.5, 0.3, [far, near])]
+    frame = spark.createDataFrame([*rows, *[(i, 1, 0.5, 0.3, [near, far]) for i in range(10, 2010)]], f"lid int, seq int, w double, h double, spots {spots}")
+    boxes = spark.createDataFrame([(i, 0.1, 0.0, 0.4, 0.2) for i in range(10, 2010, 2)] + [(5, 0.0, 0.0, 1.0, 1.0)], "lid int, x double, y double, w double, h double")
+    lines = spark.createDataFrame([(4, -2.0, 0.0, 2.0, 0.0, 4.0), (4, None, 0.0, 2.0, 0.0, 4.0), (11, -2.0, 0.0, 2.0, 0.0, 4.0)], "lid int, x0 double, y0 double, x1 double, y1 double, weight double")
+    placed = layout.place(frame, boxes, lines)
+    got = {(r.lid, r.seq): (r.x, r.y, r.cost) for r in placed.collect()}
+    want = {(1, 1): near, (1, 2): far, (2, 1): (None, None, None), (2, 2): (None, None, None), (2, 3): (None, 1.0, 0.0), (2, 4): near, (3, 1): (9.0, 9.0, None), (4, 1): (3.0, 0.0, None)}
+    want |= {(i, 1): far if i % 2 == 0 or i == 11 else near for i in range(10, 2010)}
+    assert got == want
+    free = {(r.lid, r.seq): (r.x, r.cost) for r in layout.place(frame, boxes, lines, first_free=True).where("lid < 12").collect()}
+    assert free == {(1, 1): (0.0, 0.0), (1, 2): (3.0, 0.1), (2, 1): (None, None), (2, 2): (None, None), (2, 3): (None, 0.0), (2, 4): (0.0, 0.0), (3, 1): (3.0, 0.1), (4, 1): (3.0, 0.1), (10, 1): (3.0, 0.1), (11, 1): (0.0, 0.0)}
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Broadcast" not in plan
