@@ -1,6 +1,6 @@
 """One pen over all legs of a route: from read groups and bound places to positions, moves and failures.
 
-`bind` gives each leg the places it names as points of the departure's plane (an equi-join by block and ident), `fly` folds the legs of a
+`bind` gives each leg the places it names as points of the departure's plane (a merge join by block and ident), `fly` folds the legs of a
 route: the pen carries position, course, distance flown since the climb's base, that base, whether it holds an open heading, and the first
 failure, and each leg adds a move: a turn, a straight line, and for a joined radial a second turn and line.
 The fold is one aggregate expression over the array of legs, so a route stays in its row and nothing is shuffled for it.
@@ -49,10 +49,10 @@ def bind(groups: DataFrame, places: DataFrame, variation: Column, holds: DataFra
     refs = flat.select(*key, "seq", F.explode(F.array(F.struct(F.lit("f").alias("what"), F.col("target").alias("ident"), F.col("target_name").alias("name")), F.struct(F.lit("n").alias("what"), F.col("ident").alias("ident"), F.col("name").alias("name")))).alias("r"))
     refs = refs.select(*key, "seq", "r.*").where("ident is not null or name is not null")
     known = places.select(F.col("block").alias("_block"), F.col("ident").alias("_ident"), F.col("name").alias("_name"), "x", "y")
-    by_ident = refs.where("ident is not null").join(known, (F.col("block") == F.col("_block")) & (F.col("ident") == F.col("_ident")))
-    by_name = refs.where("ident is null").join(known, (F.col("block") == F.col("_block")) & (F.col("name") == F.col("_name")))
+    by_ident = refs.where("ident is not null").join(known.hint("merge"), (F.col("block") == F.col("_block")) & (F.col("ident") == F.col("_ident")))
+    by_name = refs.where("ident is null").join(known.hint("merge"), (F.col("block") == F.col("_block")) & (F.col("name") == F.col("_name")))
     at = by_ident.unionByName(by_name).groupBy(*key, "seq").agg(*[F.max(F.when(F.col("what") == w, F.col(c))).alias(w + c) for w in "fn" for c in "xy"])
-    rows = flat.join(at, [*key, "seq"], "left")
+    rows = flat.join(at.hint("merge"), [*key, "seq"], "left")
     true = lambda c: geodesy.to_true(F.col(c).cast("double"), variation)
     same = F.coalesce("target", "target_name").eqNullSafe(F.coalesce("ident", "name")) & F.coalesce("target", "target_name").isNotNull()
     onto = (F.col("node") == "Radial") & F.col("turns") & F.col("heading").isNull()
@@ -61,7 +61,7 @@ def bind(groups: DataFrame, places: DataFrame, variation: Column, holds: DataFra
         true("radial").alias("radial"), "sense", F.col("dme").cast("double").alias("dme"), same.alias("at_navaid"), F.coalesce(onto, F.lit(False)).alias("onto"), true("inbound").alias("inbound"),
     )
     gathered = rows.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", leg.alias("leg")))), lambda s: s["leg"]).alias("legs"))
-    return groups.drop("legs").join(gathered, key)
+    return groups.drop("legs").join(gathered.hint("merge"), key)
 
 
 def fly(routes: DataFrame, radius: float = RADIUS, gradient: float = GRADIENT) -> DataFrame:
@@ -241,7 +241,7 @@ def tail_starts(flown: DataFrame, legs: DataFrame) -> DataFrame:
     gap = F.sqrt(F.pow(F.col("pen.x") - F.col("_first.x"), 2) + F.pow(F.col("pen.y") - F.col("_first.y"), 2))
     one = first.groupBy("block").agg(F.min_by("pen", "_n").alias("pen"), F.max(gap).alias("_gap"), F.min_by(F.col("pen.failure"), F.when(F.col("pen.failure").isNotNull(), F.col("_n"))).alias("_failure"))
     failure = F.coalesce("_failure", F.when(F.col("_gap") > CONVERGED_NM, "shared tail start mismatch"))
-    return one.select("block", *[F.col(f"pen.{c}").alias(c) for c in ("x", "y", "course", "along", "base_ft")], failure.alias("tail_failure")).join(legs, "block")
+    return one.select("block", *[F.col(f"pen.{c}").alias(c) for c in ("x", "y", "course", "along", "base_ft")], failure.alias("tail_failure")).join(legs.hint("merge"), "block")
 
 
 def wedges(flown: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def read(sections: DataFrame) -> tuple[DataFrame, DataFrame]:
     name = F.col("name")
     fix = name.rlike(r"^[A-Z]{5}\z")
     navaid = name.rlike(rf"\b{procedures.TYPE}\b")
-    shaped = lines.join(last, "block").select("block", "line", "raw", "_last", "_first", F.col("raw").rlike(LINE).alias("fits"), F.coalesce(runways.expand(group(1)), F.expr("cast(array() as array<string>)")).alias("runways"), group(2).alias("name"), group(3).alias("bound"), group(4).cast("int").alias("feet"), group(5).alias("body"), group(6).cast("int").alias("kias"), group(7).alias("until_phrase"))
+    shaped = lines.join(last.hint("merge"), "block").select("block", "line", "raw", "_last", "_first", F.col("raw").rlike(LINE).alias("fits"), F.coalesce(runways.expand(group(1)), F.expr("cast(array() as array<string>)")).alias("runways"), group(2).alias("name"), group(3).alias("bound"), group(4).cast("int").alias("feet"), group(5).alias("body"), group(6).cast("int").alias("kias"), group(7).alias("until_phrase"))
     unclear = F.col("kias").isNotNull() & (F.col("line") == F.col("_last")) & (F.col("line") > F.col("_first"))
     named = (fix | name.rlike(r"[A-Za-z][a-z]")) & ~navaid
     unread = F.concat(F.lit('unmatched phrase "'), signatures.phrase_signature(F.col("raw")), F.lit('"'))
@@ -44,6 +44,6 @@ def read(sections: DataFrame) -> tuple[DataFrame, DataFrame]:
     tail = F.when(F.col("leg.node") == "Thence", INTO_TAIL)
     one = F.struct("seq", F.struct("turns", "side", "leg").alias("step"))
     read_ = flown.groupBy("block", "line").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["step"]).alias("legs"), F.min_by(F.coalesce("signature", tail), F.when(F.coalesce("signature", tail).isNotNull(), F.col("seq"))).alias("_leg_failure"))
-    all_ = rows.join(read_, ["block", "line"], "left").withColumn("signature", F.coalesce("_failure", "_leg_failure"))
+    all_ = rows.join(read_.hint("merge"), ["block", "line"], "left").withColumn("signature", F.coalesce("_failure", "_leg_failure"))
     climbs = all_.where("signature is null").select("block", "line", "runways", "cross", "bound", "feet", "kias", "until_phrase", "legs")
     return climbs, all_.where("signature is not null").select("block", "line", "signature")

@@ -5,7 +5,8 @@ a shared tail or a sentence for all.  Each sentence has a kind and its span in t
 islands); a sentence that goes on with a route joins the group before it where its meaning is certain, else it is
 unread.  Reading resumes at the next header: what cannot be read is a row with the runways it may bind, or with `everywhere` where it
 may restrict every departure.  Every step is a window over a section or a join by section, so sections are independent.
-Sentences, their legs and the groups are written as tables once, since several results are made from them.
+Sentences, their legs and the groups are written as tables once, since several results are made from them.  Joins by section are
+merge joins: the written tables are small as files only, and a broadcast would pass the rows of all sections through the driver.
 """
 
 from __future__ import annotations
@@ -90,7 +91,7 @@ def routes(rows: DataFrame, check_holds: bool) -> DataFrame:
     step = F.struct("seq", F.struct("turns", "side", "leg").alias("step"))
     legs = F.transform(F.array_sort(F.collect_list(step)), lambda x: x["step"]).alias("legs")
     bad = F.min_by("signature", F.when(F.col("signature").isNotNull(), F.col("seq"))).alias("signature")
-    return read.groupBy("block", "line").agg(legs, bad).join(keyed.select("block", "line", "_line", "alt"), ["block", "line"]).select("block", F.col("_line").alias("line"), "alt", "legs", "signature")
+    return read.groupBy("block", "line").agg(legs, bad).join(keyed.select("block", "line", "_line", "alt").hint("merge"), ["block", "line"]).select("block", F.col("_line").alias("line"), "alt", "legs", "signature")
 
 
 def last(legs: Column, at: int = -1) -> Column:
@@ -152,7 +153,7 @@ def parse(sections: DataFrame, check_holds: bool = True) -> tuple[DataFrame, Dat
     """
     lines = written(sentences(sections), "sentences")
     legs = written(routes(lines.where("kind in ('header', 'all', 'on', 'speed', 'tail', 'chart', 'none')"), check_holds), "sentence_legs")
-    rows = bound(lines.join(legs, ["block", "line"], "left").withColumn("alt", F.coalesce("alt", F.lit(0))))
+    rows = bound(lines.join(legs.hint("merge"), ["block", "line"], "left").withColumn("alt", F.coalesce("alt", F.lit(0))))
     # one failure a sentence: its legs, or that it stands where nothing certain can be made of it
     silent = F.col("kind").isin("header", "all") & F.col("text").rlike(VISUAL) & F.col("legs").isNull()
     heads = F.col("kind").isin("header", "tail", "chart", "none") | ((F.col("kind") == "all") & (silent | F.coalesce(last(F.col("legs"), 1)["leg"]["node"] == "GraphicDeparture", F.lit(False))))
@@ -169,9 +170,9 @@ def parse(sections: DataFrame, check_holds: bool = True) -> tuple[DataFrame, Dat
     bad = rows.where((F.col("signature").isNotNull() & ~F.col("_skipped")) | (F.col("_skipped") & (F.col("kind") != "statement")))
     bad = bad.withColumn("everywhere", everywhere)
     owner = rows.where(F.col("kind").isin("header", "lost")).groupBy("block", F.col("line").alias("grp")).agg(F.first("runways").alias("owned"))
-    before = rows.where("kind = 'lost'").select("block", F.col("line").alias("_lost")).join(owner.withColumnRenamed("grp", "_h"), "block").where("_h < _lost").groupBy("block", F.col("_lost").alias("grp")).agg(F.max_by("owned", "_h").alias("earlier"))
+    before = rows.where("kind = 'lost'").select("block", F.col("line").alias("_lost")).join(owner.withColumnRenamed("grp", "_h").hint("merge"), "block").where("_h < _lost").groupBy("block", F.col("_lost").alias("grp")).agg(F.max_by("owned", "_h").alias("earlier"))
     none = F.expr("cast(array() as array<string>)")
-    bad = bad.join(owner, ["block", "grp"], "left").join(before, ["block", "grp"], "left")
+    bad = bad.join(owner.hint("merge"), ["block", "grp"], "left").join(before.hint("merge"), ["block", "grp"], "left")
     names = F.array_union(F.coalesce("owned", none), F.when(F.col("kind") == "lost", F.coalesce("earlier", none)).otherwise(none))
     text_failures = bad.select("block", "line", "start", "end", names.alias("runways"), F.coalesce("everywhere", F.lit(False)).alias("everywhere"), F.coalesce("signature", unread(F.col("text"))).alias("signature"), is_tail.alias("_tail")).distinct()
 
@@ -182,11 +183,11 @@ def parse(sections: DataFrame, check_holds: bool = True) -> tuple[DataFrame, Dat
     kept = kept.withColumn("legs", F.coalesce("legs", thence_leg)).where("legs is not null")
     ordered = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("line", "alt", "legs"))), lambda x: x["legs"]))
     groups = kept.groupBy("block", "grp", F.col("grp_alt").alias("alt")).agg(ordered.alias("legs"), F.first("head_kind").alias("head_kind"), F.max(F.col("text").rlike(r"^(?:\.\.\. ?)?(?:thence )?(?i:all aircraft)")).alias("for_all"))
-    groups = groups.join(owner, ["block", "grp"], "left").withColumn("runways", F.coalesce("owned", none)).drop("owned").withColumn("tail", F.col("head_kind") == "tail")
+    groups = groups.join(owner.hint("merge"), ["block", "grp"], "left").withColumn("runways", F.coalesce("owned", none)).drop("owned").withColumn("tail", F.col("head_kind") == "tail")
     tails = groups.where("tail").groupBy("block").agg(F.max("for_all").alias("_for_all"), F.first("legs").alias("_tail_legs"))
     lost_tails = text_failures.where("_tail").groupBy("block").agg(F.min_by("signature", "line").alias("_tail_error"), F.min("line").alias("_tail_line"))
     all_lines = lines.where(r"kind = 'tail' and text rlike '^(\\.\\.\\. ?)?(thence )?[Aa]ll aircraft'").select("block").distinct().withColumn("_all_text", F.lit(True))
-    groups = groups.join(tails, "block", "left").join(lost_tails, "block", "left").join(all_lines, "block", "left")
+    groups = groups.join(tails.hint("merge"), "block", "left").join(lost_tails.hint("merge"), "block", "left").join(all_lines.hint("merge"), "block", "left")
     flies = parts.flies(F.col("legs")) & ~F.col("tail")
     thence_array = F.array(F.struct(F.lit(False).alias("turns"), F.lit(None).cast("string").alias("side"), thence_struct(rows).alias("leg")))
     enters = F.coalesce("_for_all", F.lit(False)) | F.coalesce("_all_text", F.lit(False))
@@ -212,10 +213,10 @@ def parse(sections: DataFrame, check_holds: bool = True) -> tuple[DataFrame, Dat
     groups = written(groups.withColumn("_reason", reason).withColumn("_entered", entered), "section_groups")
     refused = groups.where("_reason is not null and not tail").select("block", F.col("grp").alias("line"), "runways", F.col("_reason").alias("signature"))
     spans = lines.select("block", "line", "start", "end")
-    refused = refused.join(spans, ["block", "line"]).withColumn("everywhere", F.lit(False))
+    refused = refused.join(spans.hint("merge"), ["block", "line"]).withColumn("everywhere", F.lit(False))
     # a tail that fails binds the groups that enter it; if none does, every departure
     tail_known = groups.groupBy("block").agg(F.max("_entered").alias("_entered"))
-    text_failures = text_failures.join(tail_known, "block", "left").withColumn("everywhere", F.col("everywhere") | (F.col("_tail") & ~F.coalesce("_entered", F.lit(False)))).drop("_entered", "_tail")
+    text_failures = text_failures.join(tail_known.hint("merge"), "block", "left").withColumn("everywhere", F.col("everywhere") | (F.col("_tail") & ~F.coalesce("_entered", F.lit(False)))).drop("_entered", "_tail")
     columns = ["block", "line", "start", "end", "runways", "everywhere", "signature"]
     unparsed = text_failures.select(columns).unionByName(refused.select(columns)).withColumn("vcoa", F.lit(False))
     climbs, climb_failures = inline_climbs(rows.where(F.col("_first_bad").isNull()), groups)
@@ -224,7 +225,7 @@ def parse(sections: DataFrame, check_holds: bool = True) -> tuple[DataFrame, Dat
     lost = [withheld(readable.where("not tail"), text_failures, F.lit(False)), withheld(climbs, text_failures, F.lit(True))]
     for rows_ in lost:
         unparsed = unparsed.withColumn("withheld", F.lit(False)) if "withheld" not in unparsed.columns else unparsed
-        unparsed = unparsed.unionByName(rows_.join(spans.withColumnRenamed("line", "grp"), ["block", "grp"]).withColumnRenamed("grp", "line").withColumn("withheld", F.lit(True)))
+        unparsed = unparsed.unionByName(rows_.join(spans.withColumnRenamed("line", "grp").hint("merge"), ["block", "grp"]).withColumnRenamed("grp", "line").withColumn("withheld", F.lit(True)))
     return withhold(readable, text_failures), withhold(climbs, text_failures), unparsed
 
 
@@ -241,7 +242,7 @@ def withhold(groups: DataFrame, unparsed: DataFrame) -> DataFrame:
     """
     flown = groups.withColumn("_tail", F.col("tail") if "tail" in groups.columns else F.lit(False))
     scope = unparsed.groupBy("block").agg(F.max("everywhere").alias("_everywhere"), F.array_distinct(F.flatten(F.collect_list("runways"))).alias("_named"))
-    met = flown.join(scope, "block", "left")
+    met = flown.join(scope.hint("merge"), "block", "left")
     named = F.coalesce(F.arrays_overlap("runways", "_named"), F.lit(False))
     any_ = (F.size("runways") == 0) & F.coalesce(F.size("_named") > 0, F.lit(False)) & F.lit("cross" in groups.columns)
     keep = met.where(~(F.coalesce("_everywhere", F.lit(False)) | named | any_) | (F.col("_tail") & ~F.coalesce("_everywhere", F.lit(False))))
@@ -257,7 +258,7 @@ def withheld(groups: DataFrame, unparsed: DataFrame, vcoa: Column) -> DataFrame:
     The first in the text that may restrict every departure, else that of the group's first runway that any names.
     """
     texts = F.array_sort(F.collect_list(F.struct("line", "runways", "everywhere", "signature")))
-    met = groups.join(unparsed.groupBy("block").agg(texts.alias("_texts")), "block")
+    met = groups.join(unparsed.groupBy("block").agg(texts.alias("_texts")).hint("merge"), "block")
     first = lambda keep: F.try_element_at(F.filter("_texts", keep), F.lit(1))["signature"]
     by_runway = F.transform("runways", lambda r: first(lambda t: F.array_contains(t["runways"], r)))
     for_all = F.when((F.size("runways") == 0) & F.lit("cross" in groups.columns), first(lambda t: F.size(t["runways"]) > 0))
@@ -272,16 +273,16 @@ def inline_climbs(rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFr
     crossing = F.regexp_extract("text", rf"{VISUAL}[:,]? (?:to )?(?i:cross) (.*)\z", 1)
     order = Window.partitionBy("block").orderBy("line")
     entering = groups.where(~F.col("tail") & parts.ends_in_tail(F.col("legs"))).groupBy("block").agg(F.array_distinct(F.flatten(F.collect_list("runways"))).alias("_entering"))
-    own = said.join(entering, "block", "left").withColumn("runways", F.when(F.col("kind") == "visual", F.col("_entering")).otherwise(F.col("runways"))).withColumn("crossing", crossing)
+    own = said.join(entering.hint("merge"), "block", "left").withColumn("runways", F.when(F.col("kind") == "visual", F.col("_entering")).otherwise(F.col("runways"))).withColumn("crossing", crossing)
     who = F.when(F.size("runways") > 0, F.concat(F.lit("Rwys "), F.array_join("runways", ", "), F.lit(", "))).otherwise("")
     line = F.concat(who, F.lit("Obtain ATC approval for VCOA when requesting IFR clearance. Climb in visual conditions to cross "), F.col("crossing"))
     keyed = own.where("crossing <> ''").withColumn("_n", F.row_number().over(order) - 1)
     texts = keyed.groupBy("block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", line.alias("t")))), lambda x: x["t"]), "\n").alias("vcoa"))
     climbs, failed = visual_climbs.read(texts)
     back = keyed.select("block", F.col("_n").alias("_line"), "line", "start", "end", F.col("runways").alias("_runways"))
-    read = climbs.withColumnRenamed("line", "_line").join(back, ["block", "_line"]).select("block", F.col("line").alias("grp"), "runways", "cross", "bound", "feet", "legs", "start", "end")
+    read = climbs.withColumnRenamed("line", "_line").join(back.hint("merge"), ["block", "_line"]).select("block", F.col("line").alias("grp"), "runways", "cross", "bound", "feet", "legs", "start", "end")
     open_, shut = open_runways(read, groups)
-    lost = failed.withColumnRenamed("line", "_line").join(back, ["block", "_line"]).select("block", "line", "start", "end", F.col("_runways").alias("runways"), "signature")
+    lost = failed.withColumnRenamed("line", "_line").join(back.hint("merge"), ["block", "_line"]).select("block", "line", "start", "end", F.col("_runways").alias("runways"), "signature")
     refused = shut.select("block", F.col("grp").alias("line"), "start", "end", "runways", F.lit(CLOSED).alias("signature"))
     return open_.drop("start", "end"), lost.unionByName(refused)
 
@@ -292,7 +293,7 @@ def open_runways(climbs: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataF
     A closed runway refuses the climbs from it and those for all runways; a section that gives no runway a route refuses all.
     """
     shut = groups.where(parts.no_route(F.col("legs")) & ~F.col("tail")).groupBy("block").agg(F.flatten(F.collect_list("runways")).alias("_shut"), F.max(F.size("runways") == 0).alias("_all_shut"))
-    met = climbs.join(shut, "block", "left")
+    met = climbs.join(shut.hint("merge"), "block", "left")
     refused = F.coalesce(F.col("_all_shut") | (F.size("runways") == 0) | F.arrays_overlap("runways", "_shut"), F.lit(False)) & F.col("_shut").isNotNull()
     marked = met.withColumn("_refused", refused)
     return marked.where("not _refused").select(climbs.columns), marked.where("_refused").select(climbs.columns)
@@ -305,7 +306,7 @@ def section_climbs(inline: DataFrame, section: DataFrame) -> DataFrame:
     seen = key(inline).select(*[F.col(c).alias(f"_{c}") for c in same]).distinct()
     rows = key(section)
     on = (F.col("block") == F.col("_block")) & F.col("runways").eqNullSafe(F.col("_runways")) & F.col("cross").eqNullSafe(F.col("_cross")) & F.col("bound").eqNullSafe(F.col("_bound")) & (F.col("feet") == F.col("_feet")) & F.col("_legs").eqNullSafe(F.col("__legs"))
-    return rows.join(seen, on, "left_anti").select(section.columns)
+    return rows.join(seen.hint("merge"), on, "left_anti").select(section.columns)
 
 
 def uncovered(texts: DataFrame, spans: DataFrame) -> DataFrame:
