@@ -49,21 +49,19 @@ def matching_holds(legs: DataFrame, holds: DataFrame, navaids: DataFrame) -> Dat
     """legs(block, fix) with the published holds(fix, navaid, ...) that may be meant; none gives no row.
 
     A hold counts if it has no navaid, if that is its fix, or if it is one of the block's navaids(block, ident).  That is
-    decided once for all holds of a fix and navaid; they are arrays of bounded length, and the legs of one fix are dealt over shares, so
-    that no task holds a frequent fix.
+    decided once for all holds of a fix and navaid.  The legs and the holds of both are arrays of bounded length, met by a merge join and
+    dealt over all cores before they are paired, so that no task holds a frequent fix and no copies of the holds pass through the driver.
     """
     shares = TASKS_A_CORE * legs.sparkSession.sparkContext.defaultParallelism
-    each = F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("_s")
-    dealt = legs.withColumn("_s", F.pmod(F.xxhash64("block"), F.lit(shares)).cast("int"))
-    known = navaids.select("block", F.col("ident").alias("navaid"), F.lit(True).alias("_known")).distinct()
     kinds = holds.select("fix", "navaid").distinct()
-    met = dealt.join(kinds.select("*", each), ["fix", "_s"]).join(known, ["block", "navaid"], "left").where("navaid is null or navaid = fix or _known").drop("_known")
-    rest = [c for c in holds.columns if c not in ("fix", "navaid")]
-    held = chunked(holds, ["fix", "navaid"], rest).select(F.col("fix").alias("_fix"), F.col("navaid").alias("_navaid"), "_members", each)
+    known = navaids.select("block", F.col("ident").alias("navaid")).distinct()
+    free = legs.join(kinds.where("navaid is null or navaid = fix"), "fix")
+    tied = legs.join(known.hint("merge"), "block").where("navaid <> fix").join(kinds, ["fix", "navaid"], "left_semi")
+    own, rest = ([c for c in frame.columns if c not in ("fix", "navaid")] for frame in (legs, holds))
+    flown = chunked(free.unionByName(tied), ["fix", "navaid"], own, shares).select(F.col("fix").alias("_fix"), F.col("navaid").alias("_navaid"), F.col("_members").alias("_legs"))
     same = (F.col("fix") == F.col("_fix")) & F.col("navaid").eqNullSafe(F.col("_navaid"))
-    # spread first: where the holds are few they are broadcast, and the legs would stay in the tasks that read them
-    both = met.repartition(shares).join(held.withColumnRenamed("_s", "_t"), same & (F.col("_s") == F.col("_t")))
-    return both.select(*legs.columns, "navaid", F.explode("_members").alias("_m")).select(*legs.columns, "navaid", "_m.*")
+    both = flown.join(chunked(holds, ["fix", "navaid"], rest).hint("merge"), same).repartition(shares)
+    return both.select("fix", "navaid", "_members", F.inline("_legs")).select(*legs.columns, "navaid", F.inline("_members"))
 
 
 def variation(airports: DataFrame, model: DataFrame) -> DataFrame:
