@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from climbout.operators import bindings, facilities, routes, whole_sections
+from climbout.plans.catalog import QUERIES
 
 
 def plan(frame) -> str:
@@ -69,3 +70,14 @@ def test_arrays_are_short_where_tasks_would_be_idle(spark):
     rows = spark.range(4000).select(F.lit(1).alias("key"), F.col("id").alias("value"))
     arrays = {tasks: [r.n for r in facilities.chunked(rows, ["key"], ["value"], tasks).select(F.size("_members").alias("n")).collect()] for tasks in (1, 20, 1000)}
     assert [len(n) for n in arrays.values()] == [8, 20, 80] and all(sum(n) == 4000 for n in arrays.values())
+
+
+def test_distances_are_rounded_once_for_two_places(spark, tmp_path):
+    """Rows of pairs are many: what is the same for all pairs of two places is not computed for each."""
+    spark.range(1, 2201).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    rows = QUERIES["neighbour_pairs"](spark, str(tmp_path))
+    assert plan(rows).index("Generate explode") < plan(rows).index("round(")
+    points = rows.select(F.col("a").alias("id")).union(rows.select(F.col("b").alias("id"))).distinct()
+    places = points.select("id", (30 + F.col("id") * 37 % 1000 / 100.0).alias("lat"), (-120 + F.col("id") * 91 % 2000 / 100.0).alias("lon"))
+    whole = facilities.neighbours(places, 40.0).select("a", "b", F.round("nm", 6).alias("nm"))
+    assert rows.count() == whole.count() > 10_000 and rows.exceptAll(whole).isEmpty()
